@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import default_dataset_spec
+from ..operators import splits as SP
 from ..operators.features import prepare_frame
 from ..session import apply_runtime_defaults
 from . import oracle_sql as O
@@ -20,10 +21,84 @@ def q_prepare_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare_frame(lake(spark, sf_dir), default_dataset_spec(), key_columns=["row_id"])
 
 
+def q_split_by_flag(spark, sf_dir):
+    apply_runtime_defaults(spark)
+    return SP.tag_by_flag(lake(spark, sf_dir), default_dataset_spec()).select("row_id", "split", "will_visit")
+
+
+def q_latest_run_delta(spark, sf_dir):
+    apply_runtime_defaults(spark)
+    fs = SP.split_by_flag(lake(spark, sf_dir), default_dataset_spec())
+    return SP.scope_train(fs.train, "latest_run_only").select("row_id", "pipeline_run_date")
+
+
+def _events_ms(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    return e.select("event_id", F.unix_millis(F.col("ts").cast("timestamp")).alias("time"))
+
+
+def q_time_split_2way(spark, sf_dir):
+    apply_runtime_defaults(spark)
+    return SP.time_split(_events_ms(spark, sf_dir), "2024-01-22", 0.0, key_cols=["event_id"]) \
+        .select("event_id", "time", "split")
+
+
+def q_time_split_3way(spark, sf_dir):
+    apply_runtime_defaults(spark)
+    return SP.time_split(_events_ms(spark, sf_dir), "2024-01-22", 0.1, key_cols=["event_id"]) \
+        .select("event_id", "time", "split")
+
+
+def q_stratified_split_counts(spark, sf_dir):
+    apply_runtime_defaults(spark)
+    tagged = SP.percent_split(lake(spark, sf_dir), 0.7, 0.15, "will_visit", ["row_id"], seed=42)
+    return SP.split_report(tagged, "will_visit")
+
+
+def q_stratified_downsample_counts(spark, sf_dir):
+    apply_runtime_defaults(spark)
+    kept = SP.stratified_downsample(table(spark, sf_dir, "labels"), "quality", 150, ["doc_id"], seed=42)
+    return kept.filter(F.col("quality").isNotNull()).groupBy("quality") \
+        .agg(F.count(F.lit(1)).alias("rows"))
+
+
+def q_sequential_split(spark, sf_dir):
+    apply_runtime_defaults(spark)
+    o = table(spark, sf_dir, "orders").select("o_orderkey")
+    return SP.sequential_split(o, 0.7, 0.15, ["o_orderkey"])
+
+
+CAPS = {"train": 3000, "val": 400}
+
+
+def q_capped_time_splits(spark, sf_dir):
+    apply_runtime_defaults(spark)
+    base = lake(spark, sf_dir).select("row_id", "time", "will_visit")
+    tagged = SP.time_split(base, "2024-01-22", 0.1, key_cols=["row_id"])
+    capped = SP.stratified_downsample(tagged, "will_visit", 0, ["row_id"], seed=42, by="split", caps=CAPS)
+    return SP.split_report(capped, "will_visit")
+
+
 QUERIES: dict[str, Query] = {
     "prepare_frame": q_prepare_frame,
+    "split_by_flag": q_split_by_flag,
+    "latest_run_delta": q_latest_run_delta,
+    "time_split_2way": q_time_split_2way,
+    "time_split_3way": q_time_split_3way,
+    "stratified_split_counts": q_stratified_split_counts,
+    "stratified_downsample_counts": q_stratified_downsample_counts,
+    "sequential_split": q_sequential_split,
+    "capped_time_splits": q_capped_time_splits,
 }
 
 ORACLES: dict[str, str] = {
     "prepare_frame": O.prepare_frame_sql(),
+    "split_by_flag": O.split_by_flag_sql(),
+    "latest_run_delta": O.latest_run_delta_sql(),
+    "time_split_2way": O.time_split_2way_sql(),
+    "time_split_3way": O.time_split_3way_sql(0.1),
+    "stratified_split_counts": O.stratified_split_counts_sql(0.7, 0.15),
+    "stratified_downsample_counts": O.stratified_downsample_counts_sql(150),
+    "sequential_split": O.sequential_split_sql(0.7, 0.15),
+    "capped_time_splits": O.capped_time_splits_sql(CAPS, 0.1),
 }

@@ -42,3 +42,92 @@ SELECT *, {', '.join(inter)} FROM expanded"""
 
 def prepare_frame_sql() -> str:
     return f"SELECT * EXCLUDE (split, pipeline_run_date, time) FROM ({prepared_sql()})"
+
+
+CUTOFF_MS_2024_01_22 = 1705881600000  # 2024-01-22T00:00:00Z in epoch ms
+
+
+def split_by_flag_sql() -> str:
+    return f"WITH {LAKE_CTE} SELECT row_id, split, will_visit FROM lake WHERE split IN ('train', 'eval')"
+
+
+def latest_run_delta_sql() -> str:
+    return f"""WITH {LAKE_CTE}, tr AS (SELECT * FROM lake WHERE split = 'train')
+SELECT row_id, pipeline_run_date FROM tr WHERE pipeline_run_date = (SELECT max(pipeline_run_date) FROM tr)"""
+
+
+EVENTS_MS = "SELECT event_id, epoch_us(ts)//1000 AS time FROM events"
+
+
+def time_split_2way_sql() -> str:
+    return f"""SELECT event_id, time, CASE WHEN time < {CUTOFF_MS_2024_01_22} THEN 'train' ELSE 'val' END AS split
+FROM ({EVENTS_MS}) WHERE time IS NOT NULL"""
+
+
+def time_split_3way_sql(test_pct: float = 0.1) -> str:
+    return f"""WITH ev AS ({EVENTS_MS} WHERE ts IS NOT NULL),
+c AS (SELECT count(*) AS total, sum(CASE WHEN time >= {CUTOFF_MS_2024_01_22} THEN 1 ELSE 0 END) AS post FROM ev),
+q AS (SELECT least(CAST(round_even({test_pct}::DOUBLE * total, 0) AS BIGINT), post) AS n_test FROM c),
+r AS (SELECT *, row_number() OVER (ORDER BY time DESC, event_id DESC) AS rk FROM ev WHERE time >= {CUTOFF_MS_2024_01_22})
+SELECT event_id, time, 'train' AS split FROM ev WHERE time < {CUTOFF_MS_2024_01_22}
+UNION ALL SELECT event_id, time, CASE WHEN rk <= (SELECT n_test FROM q) THEN 'test' ELSE 'val' END FROM r"""
+
+
+def _report_from_quotas(quotas_cte: str) -> str:
+    """quotas(cls, n_train, n_val, n_test) -> split report rows."""
+    return f"""{quotas_cte},
+parts AS (
+ SELECT 'train' AS split, cls, n_train AS n FROM quotas UNION ALL
+ SELECT 'val', cls, n_val FROM quotas UNION ALL
+ SELECT 'test', cls, n_test FROM quotas)
+SELECT split, CAST(sum(n) AS BIGINT) AS rows, CAST(sum(n * cls) AS BIGINT) AS positives,
+ CAST(sum(CASE WHEN cls = 0 THEN n ELSE 0 END) AS BIGINT) AS zeros,
+ CAST(sum(n * cls) AS DOUBLE) / sum(n) AS positive_rate
+FROM parts GROUP BY split HAVING sum(n) > 0"""
+
+
+def stratified_split_counts_sql(train_pct: float = 0.7, test_pct: float = 0.15) -> str:
+    quotas = f"""WITH {LAKE_CTE},
+cnt AS (SELECT will_visit AS cls, count(*) AS n FROM lake WHERE will_visit IS NOT NULL GROUP BY 1),
+quotas AS (SELECT cls, CAST(floor(n * {train_pct}::DOUBLE) AS BIGINT) AS n_train,
+  n - CAST(floor(n * {train_pct}::DOUBLE) AS BIGINT) - CAST(floor(n * {test_pct}::DOUBLE) AS BIGINT) AS n_val,
+  CAST(floor(n * {test_pct}::DOUBLE) AS BIGINT) AS n_test FROM cnt)"""
+    return _report_from_quotas(quotas)
+
+
+def stratified_downsample_counts_sql(max_rows: int = 150) -> str:
+    return f"""WITH tot AS (SELECT count(*) AS n FROM labels),
+cnt AS (SELECT quality, count(*) AS n_c FROM labels WHERE quality IS NOT NULL GROUP BY 1)
+SELECT quality, CASE WHEN (SELECT n FROM tot) <= {max_rows} THEN n_c
+  ELSE greatest(1, CAST(floor(CAST({max_rows} * n_c AS DOUBLE) / (SELECT n FROM tot)) AS BIGINT)) END AS rows
+FROM cnt"""
+
+
+def sequential_split_sql(train_pct: float = 0.7, test_pct: float = 0.15) -> str:
+    return f"""WITH r AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS pos, count(*) OVER () AS n FROM orders),
+q AS (SELECT *, CAST(floor(n * {train_pct}::DOUBLE) AS BIGINT) AS n_train,
+  CAST(floor(n * {test_pct}::DOUBLE) AS BIGINT) AS n_test FROM r)
+SELECT o_orderkey, CASE WHEN pos < n_train THEN 'train' WHEN pos < n - n_test THEN 'val' ELSE 'test' END AS split FROM q"""
+
+
+def capped_time_splits_sql(caps: dict, test_pct: float = 0.1) -> str:
+    cap_rows = " UNION ALL ".join(f"SELECT '{k}' AS split, {v} AS cap" for k, v in caps.items())
+    return f"""WITH {LAKE_CTE},
+base AS (SELECT row_id, time, will_visit FROM lake WHERE time IS NOT NULL),
+c AS (SELECT count(*) AS total, sum(CASE WHEN time >= {CUTOFF_MS_2024_01_22} THEN 1 ELSE 0 END) AS post FROM base),
+q AS (SELECT least(CAST(round_even({test_pct}::DOUBLE * total, 0) AS BIGINT), post) AS n_test FROM c),
+r AS (SELECT *, row_number() OVER (ORDER BY time DESC, row_id DESC) AS rk FROM base WHERE time >= {CUTOFF_MS_2024_01_22}),
+tagged AS (SELECT row_id, will_visit, 'train' AS split FROM base WHERE time < {CUTOFF_MS_2024_01_22}
+  UNION ALL SELECT row_id, will_visit, CASE WHEN rk <= (SELECT n_test FROM q) THEN 'test' ELSE 'val' END FROM r),
+caps AS ({cap_rows}),
+fr AS (SELECT split, count(*) AS n FROM tagged GROUP BY 1),
+cl AS (SELECT split, will_visit, count(*) AS n_c FROM tagged WHERE will_visit IS NOT NULL GROUP BY 1, 2),
+kept AS (
+ SELECT cl.split, cl.will_visit,
+  CASE WHEN caps.cap IS NULL OR fr.n <= caps.cap THEN cl.n_c
+       ELSE greatest(1, CAST(floor(CAST(caps.cap * cl.n_c AS DOUBLE) / fr.n) AS BIGINT)) END AS n
+ FROM cl JOIN fr USING (split) LEFT JOIN caps USING (split))
+SELECT split, CAST(sum(n) AS BIGINT) AS rows, CAST(sum(n * will_visit) AS BIGINT) AS positives,
+ CAST(sum(CASE WHEN will_visit = 0 THEN n ELSE 0 END) AS BIGINT) AS zeros,
+ CAST(sum(n * will_visit) AS DOUBLE) / sum(n) AS positive_rate
+FROM kept GROUP BY split"""
