@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import default_dataset_spec
+from ..operators import metrics as M
 from ..operators import splits as SP
 from ..operators.features import prepare_frame
 from ..session import apply_runtime_defaults
@@ -79,6 +80,65 @@ def q_capped_time_splits(spark, sf_dir):
     return SP.split_report(capped, "will_visit")
 
 
+def rounded(df: DataFrame, decimals: int = 10) -> DataFrame:
+    """Round double columns so engines that sum in different orders agree."""
+    return df.select(*[F.round(F.col(f.name), decimals).alias(f.name)
+                       if f.dataType.typeName() == "double" else F.col(f.name)
+                       for f in df.schema.fields])
+
+
+def scored_events(spark, sf_dir) -> DataFrame:
+    """events with a 0/1 label, a tied score (21 levels), its prediction and a
+    fine-grained score; all derived from ``value`` and ``event_id``."""
+    e = table(spark, sf_dir, "events")
+    score = F.least(F.floor(F.col("value") / 8.0) + (F.col("event_id") * 7) % 5, F.lit(20)) / 20.0
+    return e.select(
+        "event_id", "event_type",
+        F.when(F.col("value") > 40, 1).otherwise(0).alias("y"),
+        score.alias("score"),
+        F.when(score >= 0.5, 1).otherwise(0).alias("pred"),
+        (F.col("value") / 500.0 + (F.col("event_id") % 13) / 1000.0).alias("fine_score"))
+
+
+def q_binary_metrics(spark, sf_dir):
+    apply_runtime_defaults(spark)
+    return rounded(M.binary_metrics(scored_events(spark, sf_dir), "y", "pred", "score", ["event_type"]))
+
+
+def q_roc_auc(spark, sf_dir):
+    apply_runtime_defaults(spark)
+    return rounded(M.ranking_metrics(scored_events(spark, sf_dir), "y", "fine_score").select("roc_auc"))
+
+
+def q_average_precision(spark, sf_dir):
+    apply_runtime_defaults(spark)
+    return rounded(M.ranking_metrics(scored_events(spark, sf_dir), "y", "fine_score")
+                   .select("average_precision"))
+
+
+def q_logloss(spark, sf_dir):
+    apply_runtime_defaults(spark)
+    return rounded(M.logloss(scored_events(spark, sf_dir), "y", "score", ["event_type"]))
+
+
+def q_majority_baseline(spark, sf_dir):
+    apply_runtime_defaults(spark)
+    return M.majority_class(table(spark, sf_dir, "labels"), "quality")
+
+
+def q_label_cardinality(spark, sf_dir):
+    apply_runtime_defaults(spark)
+    return M.label_cardinality(table(spark, sf_dir, "labels"), "quality")
+
+
+def q_reference_stats(spark, sf_dir):
+    apply_runtime_defaults(spark)
+    li = table(spark, sf_dir, "lineitem")
+    st = M.reference_stats(li, O.REF_FEATURES, with_sample=False)
+    return st.select("feature", "count", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"),
+                     "min", "max")
+
+
 QUERIES: dict[str, Query] = {
     "prepare_frame": q_prepare_frame,
     "split_by_flag": q_split_by_flag,
@@ -89,6 +149,13 @@ QUERIES: dict[str, Query] = {
     "stratified_downsample_counts": q_stratified_downsample_counts,
     "sequential_split": q_sequential_split,
     "capped_time_splits": q_capped_time_splits,
+    "binary_metrics": q_binary_metrics,
+    "roc_auc": q_roc_auc,
+    "average_precision": q_average_precision,
+    "logloss": q_logloss,
+    "majority_baseline": q_majority_baseline,
+    "label_cardinality": q_label_cardinality,
+    "reference_stats": q_reference_stats,
 }
 
 ORACLES: dict[str, str] = {
@@ -101,4 +168,11 @@ ORACLES: dict[str, str] = {
     "stratified_downsample_counts": O.stratified_downsample_counts_sql(150),
     "sequential_split": O.sequential_split_sql(0.7, 0.15),
     "capped_time_splits": O.capped_time_splits_sql(CAPS, 0.1),
+    "binary_metrics": O.binary_metrics_sql(),
+    "roc_auc": O.roc_auc_sql(),
+    "average_precision": O.average_precision_sql(),
+    "logloss": O.logloss_sql(),
+    "majority_baseline": O.majority_baseline_sql(),
+    "label_cardinality": O.label_cardinality_sql(),
+    "reference_stats": O.reference_stats_sql(),
 }

@@ -131,3 +131,77 @@ SELECT split, CAST(sum(n) AS BIGINT) AS rows, CAST(sum(n * will_visit) AS BIGINT
  CAST(sum(CASE WHEN will_visit = 0 THEN n ELSE 0 END) AS BIGINT) AS zeros,
  CAST(sum(n * will_visit) AS DOUBLE) / sum(n) AS positive_rate
 FROM kept GROUP BY split"""
+
+
+# Scored events: label, a tied score (21 levels), a prediction and a fine score.
+SCORED_EVENTS = """SELECT event_id, event_type, CASE WHEN value > 40 THEN 1 ELSE 0 END AS y,
+ least(floor(value / 8.0) + (event_id * 7) % 5, 20) / 20.0 AS score,
+ CASE WHEN least(floor(value / 8.0) + (event_id * 7) % 5, 20) / 20.0 >= 0.5 THEN 1 ELSE 0 END AS pred,
+ value / 500.0 + (event_id % 13) / 1000.0 AS fine_score
+FROM events"""
+
+
+def _ranking_cte(source: str, group: str | None, score: str) -> str:
+    g = f"{group} AS g" if group else "1 AS g"
+    return f"""ps AS (SELECT g, s, CAST(count(*) AS DOUBLE) AS k, CAST(sum(y) AS DOUBLE) AS p
+  FROM (SELECT {g}, {score} AS s, y FROM ({source})) GROUP BY g, s),
+cum AS (SELECT *, sum(p) OVER w AS cp, sum(k) OVER w AS ck, sum(p) OVER (PARTITION BY g) AS tp,
+  sum(k) OVER (PARTITION BY g) AS tk FROM ps
+  WINDOW w AS (PARTITION BY g ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+rank_m AS (SELECT g, CASE WHEN any_value(tp) = 0 OR any_value(tk) - any_value(tp) = 0 THEN 'nan'::DOUBLE
+   ELSE round(sum((k - p) * (cp - p + p / 2.0)) / (any_value(tp) * (any_value(tk) - any_value(tp))), 10) END AS roc_auc,
+  CASE WHEN any_value(tp) = 0 OR any_value(tk) - any_value(tp) = 0 THEN 'nan'::DOUBLE
+   ELSE round(sum(p * (cp / ck)) / any_value(tp), 10) END AS average_precision
+ FROM cum GROUP BY g)"""
+
+
+def binary_metrics_sql() -> str:
+    return f"""WITH {_ranking_cte(SCORED_EVENTS, 'event_type', 'score')},
+conf AS (SELECT event_type AS g, CAST(count(*) AS DOUBLE) AS n,
+  CAST(sum(CASE WHEN y = 1 AND pred = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS tp,
+  CAST(sum(CASE WHEN y <> 1 AND pred = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS fp,
+  CAST(sum(CASE WHEN y = 1 AND pred <> 1 THEN 1 ELSE 0 END) AS DOUBLE) AS fn,
+  CAST(sum(CASE WHEN y = pred THEN 1 ELSE 0 END) AS DOUBLE) AS ok
+ FROM ({SCORED_EVENTS}) GROUP BY 1)
+SELECT conf.g AS event_type,
+ round(CASE WHEN n = 0 THEN 0.0 ELSE ok / n END, 10) AS accuracy,
+ round(CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END, 10) AS precision,
+ round(CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END, 10) AS recall,
+ round(CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE 2 * tp / (2 * tp + fp + fn) END, 10) AS f1,
+ CAST(n AS BIGINT) AS rows, roc_auc, average_precision
+FROM conf LEFT JOIN rank_m ON conf.g = rank_m.g"""
+
+
+def roc_auc_sql() -> str:
+    return f"WITH {_ranking_cte(SCORED_EVENTS, None, 'fine_score')} SELECT roc_auc FROM rank_m"
+
+
+def average_precision_sql() -> str:
+    return f"WITH {_ranking_cte(SCORED_EVENTS, None, 'fine_score')} SELECT average_precision FROM rank_m"
+
+
+def logloss_sql() -> str:
+    return f"""SELECT event_type, round(-avg(y * ln(least(greatest(score, 1e-15), 1 - 1e-15))
+  + (1 - y) * ln(1 - least(greatest(score, 1e-15), 1 - 1e-15))), 10) AS logloss
+FROM ({SCORED_EVENTS}) GROUP BY 1"""
+
+
+def majority_baseline_sql() -> str:
+    return """WITH c AS (SELECT quality, count(*) AS n FROM labels WHERE quality IS NOT NULL GROUP BY 1)
+SELECT CAST(arg_max(quality, n * 1000000 - quality) AS INT) AS majority_class, CAST(max(n) AS BIGINT) AS majority_count,
+ CAST(sum(n) AS BIGINT) AS rows FROM c"""
+
+
+def label_cardinality_sql() -> str:
+    return "SELECT CAST(count(DISTINCT quality) AS BIGINT) AS distinct_labels FROM labels"
+
+
+REF_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def reference_stats_sql() -> str:
+    parts = " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, CAST({f} AS DOUBLE) AS value FROM lineitem" for f in REF_FEATURES)
+    return f"""SELECT feature, CAST(count(*) AS BIGINT) AS count, round(avg(value), 6) AS mean,
+ round(stddev_samp(value), 6) AS std, min(value) AS min, max(value) AS max
+FROM ({parts}) WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY feature"""
