@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..config import default_dataset_spec
 from ..operators import metrics as M
+from ..operators.preprocess import ImputeScaler
 from ..operators import splits as SP
 from ..operators.features import prepare_frame
 from ..session import apply_runtime_defaults
@@ -139,6 +140,25 @@ def q_reference_stats(spark, sf_dir):
                      "min", "max")
 
 
+def impute_source(spark, sf_dir) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    return e.select(
+        "event_id",
+        F.when(F.col("event_id") % 7 == 0, F.lit(None)).otherwise(F.col("value")).alias("v_value"),
+        F.when(F.col("event_id") % 5 == 0, F.lit(float("nan")))
+         .otherwise(F.col("user_id").cast("double")).alias("v_user"),
+        F.lit(3.0).alias("v_const"),
+        F.lit(None).cast("double").alias("v_empty"))
+
+
+def q_impute_scale(spark, sf_dir):
+    apply_runtime_defaults(spark)
+    src = impute_source(spark, sf_dir)
+    model = ImputeScaler(inputCols=O.IMPUTE_FEATURES).fit(src)
+    out = model.transform(src)
+    return out.select("event_id", *[F.round(c, 8).alias(c) for c in O.IMPUTE_FEATURES])
+
+
 QUERIES: dict[str, Query] = {
     "prepare_frame": q_prepare_frame,
     "split_by_flag": q_split_by_flag,
@@ -156,6 +176,7 @@ QUERIES: dict[str, Query] = {
     "majority_baseline": q_majority_baseline,
     "label_cardinality": q_label_cardinality,
     "reference_stats": q_reference_stats,
+    "impute_scale": q_impute_scale,
 }
 
 ORACLES: dict[str, str] = {
@@ -175,4 +196,5 @@ ORACLES: dict[str, str] = {
     "majority_baseline": O.majority_baseline_sql(),
     "label_cardinality": O.label_cardinality_sql(),
     "reference_stats": O.reference_stats_sql(),
+    "impute_scale": O.impute_scale_sql(),
 }

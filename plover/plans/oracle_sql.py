@@ -205,3 +205,28 @@ def reference_stats_sql() -> str:
     return f"""SELECT feature, CAST(count(*) AS BIGINT) AS count, round(avg(value), 6) AS mean,
  round(stddev_samp(value), 6) AS std, min(value) AS min, max(value) AS max
 FROM ({parts}) WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY feature"""
+
+
+IMPUTE_SOURCE = """SELECT event_id,
+ CASE WHEN event_id % 7 = 0 THEN NULL ELSE value END AS v_value,
+ CASE WHEN event_id % 5 = 0 THEN 'nan'::DOUBLE ELSE CAST(user_id AS DOUBLE) END AS v_user,
+ CAST(3.0 AS DOUBLE) AS v_const,
+ CAST(NULL AS DOUBLE) AS v_empty
+FROM events"""
+IMPUTE_FEATURES = ["v_value", "v_user", "v_const", "v_empty"]
+
+
+def impute_scale_sql() -> str:
+    live = ["v_value", "v_user", "v_const"]
+    med = ", ".join(f"median(CASE WHEN isnan({f}) THEN NULL ELSE {f} END) AS med_{f}" for f in live)
+    imp = ", ".join(f"coalesce(CASE WHEN isnan({f}) THEN NULL ELSE {f} END, med_{f}) AS {f}" for f in live)
+    st = ", ".join(f"avg({f}) AS mu_{f}, stddev_pop({f}) AS sd_{f}" for f in live)
+    out = ", ".join(
+        f"round(({f} - mu_{f}) / CASE WHEN sd_{f} < {ZERO_SCALE_SQL} THEN 1.0 ELSE sd_{f} END, 8) AS {f}"
+        for f in live)
+    return f"""WITH src AS ({IMPUTE_SOURCE}), med AS (SELECT {med} FROM src),
+imp AS (SELECT event_id, {imp} FROM src, med), st AS (SELECT {st} FROM imp)
+SELECT event_id, {out}, 0.0::DOUBLE AS v_empty FROM imp, st"""
+
+
+ZERO_SCALE_SQL = "2.220446049250313e-15"
