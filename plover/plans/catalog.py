@@ -13,6 +13,10 @@ from ..operators import splits as SP
 from ..operators.features import prepare_frame
 from ..session import apply_runtime_defaults
 from . import oracle_sql as O
+from ..config import default_gate_spec
+from ..operators import gates as G
+from ..operators import registry as R
+from .runs import derived_model_versions, derived_runs, scored_events
 from .tables import lake, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,19 +92,6 @@ def rounded(df: DataFrame, decimals: int = 10) -> DataFrame:
                        for f in df.schema.fields])
 
 
-def scored_events(spark, sf_dir) -> DataFrame:
-    """events with a 0/1 label, a tied score (21 levels), its prediction and a
-    fine-grained score; all derived from ``value`` and ``event_id``."""
-    e = table(spark, sf_dir, "events")
-    score = F.least(F.floor(F.col("value") / 8.0) + (F.col("event_id") * 7) % 5, F.lit(20)) / 20.0
-    return e.select(
-        "event_id", "event_type",
-        F.when(F.col("value") > 40, 1).otherwise(0).alias("y"),
-        score.alias("score"),
-        F.when(score >= 0.5, 1).otherwise(0).alias("pred"),
-        (F.col("value") / 500.0 + (F.col("event_id") % 13) / 1000.0).alias("fine_score"))
-
-
 def q_binary_metrics(spark, sf_dir):
     apply_runtime_defaults(spark)
     return rounded(M.binary_metrics(scored_events(spark, sf_dir), "y", "pred", "score", ["event_type"]))
@@ -159,6 +150,90 @@ def q_impute_scale(spark, sf_dir):
     return out.select("event_id", *[F.round(c, 8).alias(c) for c in O.IMPUTE_FEATURES])
 
 
+MODEL_NAME = "WillVisit"
+
+
+def q_quality_gates(spark, sf_dir):
+    apply_runtime_defaults(spark)
+    d = G.gate_decisions(derived_runs(spark, sf_dir), default_gate_spec())
+    return d.select(F.col("tags")["candidate_name"].alias("candidate_name"), "exempt", "passed", "gate_tag",
+                    "registered", F.size("failures").cast("long").alias("n_failures"),
+                    F.concat_ws("; ", "failures").alias("failures_text"))
+
+
+def q_beat_baseline(spark, sf_dir):
+    apply_runtime_defaults(spark)
+    d = G.gate_decisions(derived_runs(spark, sf_dir), default_gate_spec())
+    bc = F.col("baseline_comparison")
+    return d.filter(bc.isNotNull()).select(
+        F.col("tags")["candidate_name"].alias("candidate_name"), bc["metric"].alias("metric"),
+        F.round(bc["candidate"], 10).alias("candidate"), F.round(bc["baseline"], 10).alias("baseline"),
+        F.round(bc["delta"], 10).alias("delta"), bc["min_delta"].alias("min_delta"),
+        (bc["delta"] >= bc["min_delta"]).alias("meets_min_delta"))
+
+
+def _registry_evaluated(spark, sf_dir):
+    runs = derived_runs(spark, sf_dir)
+    return runs, R.threshold_gates(R.recent_candidate_runs(runs, 10), R.baseline_f1(runs))
+
+
+def q_registry_gates(spark, sf_dir):
+    apply_runtime_defaults(spark)
+    _, ev = _registry_evaluated(spark, sf_dir)
+    return ev.select("run_id", "f1_minimum", "auc_minimum", "precision_minimum", "recall_minimum",
+                     "beats_baseline", "all_passed")
+
+
+def q_gate_tags(spark, sf_dir):
+    apply_runtime_defaults(spark)
+    _, ev = _registry_evaluated(spark, sf_dir)
+    return R.gate_tag_updates(ev).select("run_id", "quality_gate_passed", "quality_gate_details")
+
+
+def q_quality_gate_best(spark, sf_dir):
+    apply_runtime_defaults(spark)
+    _, ev = _registry_evaluated(spark, sf_dir)
+    return rounded(R.best_passing_run(ev))
+
+
+def _gate_decision(spark, sf_dir):
+    runs = derived_runs(spark, sf_dir)
+    mv = derived_model_versions(runs, MODEL_NAME)
+    return runs, mv, R.run_quality_gate(runs, mv, MODEL_NAME, 10)
+
+
+def q_production_regression(spark, sf_dir):
+    apply_runtime_defaults(spark)
+    _, _, dec = _gate_decision(spark, sf_dir)
+    return rounded(dec.select("run_id", "f1", "production_f1", "register"))
+
+
+def q_registry_append(spark, sf_dir):
+    apply_runtime_defaults(spark)
+    _, mv, dec = _gate_decision(spark, sf_dir)
+    row = R.next_version(mv, dec, MODEL_NAME)
+    return row.select("name", "version", "stage", "run_id",
+                      F.col("tags")["source_candidate"].alias("source_candidate"))
+
+
+def q_leaderboard(spark, sf_dir):
+    apply_runtime_defaults(spark)
+    return R.leaderboard(derived_runs(spark, sf_dir))
+
+
+def q_retrain_decision(spark, sf_dir):
+    apply_runtime_defaults(spark)
+    s = scored_events(spark, sf_dir)
+    old = M.ranking_metrics(s, "y", "score", ["event_type"]).select("event_type", F.col("roc_auc").alias("o"))
+    new = M.ranking_metrics(s, "y", "fine_score", ["event_type"]).select("event_type", F.col("roc_auc").alias("n"))
+    j = old.join(new, "event_type")
+    delta = F.col("n") - F.col("o")
+    return j.select("event_type", F.lit("roc_auc").alias("primary_metric"),
+                    F.round("o", 10).alias("old_score"), F.round("n", 10).alias("new_score"),
+                    F.round(delta, 10).alias("delta"), F.lit(0.0).alias("threshold"),
+                    G.retrain_decision(F.col("o"), F.col("n"), 0.0).alias("decision"))
+
+
 QUERIES: dict[str, Query] = {
     "prepare_frame": q_prepare_frame,
     "split_by_flag": q_split_by_flag,
@@ -177,6 +252,15 @@ QUERIES: dict[str, Query] = {
     "label_cardinality": q_label_cardinality,
     "reference_stats": q_reference_stats,
     "impute_scale": q_impute_scale,
+    "quality_gates": q_quality_gates,
+    "beat_baseline": q_beat_baseline,
+    "registry_gates": q_registry_gates,
+    "gate_tags": q_gate_tags,
+    "quality_gate_best": q_quality_gate_best,
+    "production_regression": q_production_regression,
+    "registry_append": q_registry_append,
+    "leaderboard": q_leaderboard,
+    "retrain_decision": q_retrain_decision,
 }
 
 ORACLES: dict[str, str] = {
@@ -197,4 +281,13 @@ ORACLES: dict[str, str] = {
     "label_cardinality": O.label_cardinality_sql(),
     "reference_stats": O.reference_stats_sql(),
     "impute_scale": O.impute_scale_sql(),
+    "quality_gates": O.quality_gates_sql(),
+    "beat_baseline": O.beat_baseline_sql(),
+    "registry_gates": O.registry_gates_sql(),
+    "gate_tags": O.gate_tags_sql(),
+    "quality_gate_best": O.quality_gate_best_sql(),
+    "production_regression": O.production_regression_sql(),
+    "registry_append": O.registry_append_sql(),
+    "leaderboard": O.leaderboard_sql(),
+    "retrain_decision": O.retrain_decision_sql(0.0),
 }

@@ -141,18 +141,18 @@ SCORED_EVENTS = """SELECT event_id, event_type, CASE WHEN value > 40 THEN 1 ELSE
 FROM events"""
 
 
-def _ranking_cte(source: str, group: str | None, score: str) -> str:
+def _ranking_cte(source: str, group: str | None, score: str, name: str = "rank_m") -> str:
     g = f"{group} AS g" if group else "1 AS g"
-    return f"""ps AS (SELECT g, s, CAST(count(*) AS DOUBLE) AS k, CAST(sum(y) AS DOUBLE) AS p
+    return f"""{name}_ps AS (SELECT g, s, CAST(count(*) AS DOUBLE) AS k, CAST(sum(y) AS DOUBLE) AS p
   FROM (SELECT {g}, {score} AS s, y FROM ({source})) GROUP BY g, s),
-cum AS (SELECT *, sum(p) OVER w AS cp, sum(k) OVER w AS ck, sum(p) OVER (PARTITION BY g) AS tp,
-  sum(k) OVER (PARTITION BY g) AS tk FROM ps
+{name}_cum AS (SELECT *, sum(p) OVER w AS cp, sum(k) OVER w AS ck, sum(p) OVER (PARTITION BY g) AS tp,
+  sum(k) OVER (PARTITION BY g) AS tk FROM {name}_ps
   WINDOW w AS (PARTITION BY g ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
-rank_m AS (SELECT g, CASE WHEN any_value(tp) = 0 OR any_value(tk) - any_value(tp) = 0 THEN 'nan'::DOUBLE
+{name} AS (SELECT g, CASE WHEN any_value(tp) = 0 OR any_value(tk) - any_value(tp) = 0 THEN 'nan'::DOUBLE
    ELSE round(sum((k - p) * (cp - p + p / 2.0)) / (any_value(tp) * (any_value(tk) - any_value(tp))), 10) END AS roc_auc,
   CASE WHEN any_value(tp) = 0 OR any_value(tk) - any_value(tp) = 0 THEN 'nan'::DOUBLE
    ELSE round(sum(p * (cp / ck)) / any_value(tp), 10) END AS average_precision
- FROM cum GROUP BY g)"""
+ FROM {name}_cum GROUP BY g)"""
 
 
 def binary_metrics_sql() -> str:
@@ -230,3 +230,169 @@ SELECT event_id, {out}, 0.0::DOUBLE AS v_empty FROM imp, st"""
 
 
 ZERO_SCALE_SQL = "2.220446049250313e-15"
+
+
+def _conf_cte(source: str, group: str | None, name: str) -> str:
+    g = group if group else "1"
+    return f"""{name} AS (SELECT {g} AS g, CAST(count(*) AS DOUBLE) AS n,
+  CAST(sum(CASE WHEN y = 1 AND pred = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS tp,
+  CAST(sum(CASE WHEN y <> 1 AND pred = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS fp,
+  CAST(sum(CASE WHEN y = 1 AND pred <> 1 THEN 1 ELSE 0 END) AS DOUBLE) AS fn,
+  CAST(sum(CASE WHEN y = pred THEN 1 ELSE 0 END) AS DOUBLE) AS ok, max(ts) AS max_ts, min(ts) AS min_ts
+ FROM ({source}) GROUP BY 1)"""
+
+
+SCORED_TS = SCORED_EVENTS.replace("SELECT event_id, event_type,", "SELECT event_id, event_type, ts,")
+BASE_SOURCE = f"""SELECT se.*, m.maj AS pred2 FROM ({SCORED_TS}) se,
+ (SELECT arg_max(y, n * 1000000 - y) AS maj FROM (SELECT y, count(*) AS n FROM ({SCORED_TS}) GROUP BY y)) m"""
+BASE_SCORED = f"SELECT event_id, ts, y, pred2 AS pred, CAST(pred2 AS DOUBLE) AS score FROM ({BASE_SOURCE})"
+
+KIND_SQL = ("CASE event_type WHEN 'click' THEN 'xgboost' WHEN 'view' THEN 'xgboost' "
+            "WHEN 'purchase' THEN 'hist_gradient_boosting' WHEN 'signup' THEN 'random_forest' "
+            "WHEN 'error' THEN 'logistic_regression' ELSE 'xgboost' END")
+
+
+def runs_cte() -> str:
+    """Flat runs (one column per tag/param/metric) matching plans.runs."""
+    metric_cols = """CASE WHEN c.n = 0 THEN 0.0 ELSE c.ok / c.n END AS accuracy,
+  CASE WHEN c.tp + c.fp = 0 THEN 0.0 ELSE c.tp / (c.tp + c.fp) END AS precision,
+  CASE WHEN c.tp + c.fn = 0 THEN 0.0 ELSE c.tp / (c.tp + c.fn) END AS recall,
+  CASE WHEN 2 * c.tp + c.fp + c.fn = 0 THEN 0.0 ELSE 2 * c.tp / (2 * c.tp + c.fp + c.fn) END AS f1,
+  r.roc_auc, r.average_precision, c.n AS train_rows, c.n / 1000.0 AS train_seconds,
+  c.n / greatest(c.n / 1000.0, 1e-9) AS rows_per_second"""
+    return f"""{_ranking_cte(SCORED_TS, 'event_type', 'score', 'seg_rank')},
+{_conf_cte(SCORED_TS, 'event_type', 'seg_conf')},
+{_ranking_cte(BASE_SCORED, None, 'score', 'base_rank')},
+{_conf_cte(BASE_SCORED, None, 'base_conf')},
+runs AS (
+ SELECT 'run-' || c.g AS run_id, CAST(c.max_ts AS TIMESTAMP) AS start_time, c.g AS candidate_name,
+  {KIND_SQL.replace('event_type', 'c.g')} AS candidate_kind, 'v' || CAST(length(c.g) AS VARCHAR) AS code_version,
+  CAST(CAST(c.n AS BIGINT) % 7 + 2 AS VARCHAR) AS p_max_depth, '0.1' AS p_learning_rate, NULL::VARCHAR AS p_strategy,
+  'segment ' || c.g AS notes, {metric_cols}
+ FROM seg_conf c JOIN seg_rank r ON c.g = r.g
+ UNION ALL
+ SELECT 'run-baseline', CAST(c.min_ts AS TIMESTAMP), 'baseline', 'dummy', 'v0', NULL, NULL, 'most_frequent',
+  'majority class', {metric_cols}
+ FROM base_conf c JOIN base_rank r ON c.g = r.g)"""
+
+
+NO_BASELINE = ("beat_baseline gate is configured but no baseline metrics were captured "
+               "— train the baseline candidate before other candidates.")
+
+
+def _nan_null(x: str) -> str:
+    return f"CASE WHEN isnan({x}) THEN NULL ELSE {x} END"
+
+
+def gate_decisions_cte() -> str:
+    return f"""WITH {runs_cte()},
+bl AS (SELECT arg_max({_nan_null('roc_auc')}, start_time) AS b_auc, count(*) AS nb FROM runs WHERE candidate_name IN ('baseline')),
+g AS (SELECT r.*, candidate_name IN ('baseline') AS exempt, bl.nb > 0 AS has_base,
+  {_nan_null('r.roc_auc')} AS c_auc, bl.b_auc,
+  {_nan_null('r.roc_auc')} - bl.b_auc AS delta,
+  CASE WHEN {_nan_null('r.roc_auc')} IS NULL THEN 'roc_auc is missing or NaN (threshold 0.55)'
+       WHEN r.roc_auc < 0.55 THEN printf('roc_auc=%.4f below hard minimum 0.55', r.roc_auc) END AS m1,
+  CASE WHEN {_nan_null('r.recall')} IS NULL THEN 'recall is missing or NaN (threshold 0.3)'
+       WHEN r.recall < 0.3 THEN printf('recall=%.4f below hard minimum 0.3', r.recall) END AS m2
+ FROM runs r, bl),
+d AS (SELECT *, has_base AND c_auc IS NOT NULL AND b_auc IS NOT NULL AS comparable FROM g),
+e AS (SELECT *, CASE WHEN NOT has_base THEN '{NO_BASELINE}'
+   WHEN comparable AND delta < 0.02 THEN printf('roc_auc delta vs baseline %+.4f < required min_delta=0.02', delta) END AS m3 FROM d),
+f AS (SELECT *, CASE WHEN exempt THEN '' ELSE concat_ws('; ', m1, m2, m3) END AS failures_text,
+  CASE WHEN exempt THEN 0 ELSE (CASE WHEN m1 IS NULL THEN 0 ELSE 1 END + CASE WHEN m2 IS NULL THEN 0 ELSE 1 END
+   + CASE WHEN m3 IS NULL THEN 0 ELSE 1 END) END AS nf FROM e)"""
+
+
+def quality_gates_sql() -> str:
+    return gate_decisions_cte() + """
+SELECT candidate_name, exempt, exempt OR nf = 0 AS passed,
+ CASE WHEN exempt THEN 'exempt' WHEN nf = 0 THEN 'passed' ELSE 'failed' END AS gate_tag,
+ (NOT exempt) AND nf = 0 AS registered, CAST(nf AS BIGINT) AS n_failures, failures_text
+FROM f"""
+
+
+def beat_baseline_sql() -> str:
+    return gate_decisions_cte() + """
+SELECT candidate_name, 'roc_auc' AS metric, round(c_auc, 10) AS candidate, round(b_auc, 10) AS baseline,
+ round(delta, 10) AS delta, 0.02::DOUBLE AS min_delta, delta >= 0.02 AS meets_min_delta
+FROM f WHERE NOT exempt AND comparable"""
+
+
+def _registry_eval_cte(max_runs: int = 10) -> str:
+    return f"""WITH {runs_cte()},
+bf AS (SELECT arg_max(f1, start_time) AS baseline_f1 FROM runs WHERE candidate_kind = 'dummy'),
+recent AS (SELECT * FROM runs WHERE candidate_kind <> 'dummy' ORDER BY start_time DESC, run_id ASC LIMIT {max_runs}),
+ev AS (SELECT r.*, bf.baseline_f1,
+  NOT isnan(coalesce(f1, 0.0)) AND coalesce(f1, 0.0) >= 0.6 AS f1_minimum,
+  NOT isnan(coalesce(roc_auc, 0.0)) AND coalesce(roc_auc, 0.0) >= 0.7 AS auc_minimum,
+  NOT isnan(coalesce(precision, 0.0)) AND coalesce(precision, 0.0) >= 0.55 AS precision_minimum,
+  NOT isnan(coalesce(recall, 0.0)) AND coalesce(recall, 0.0) >= 0.5 AS recall_minimum,
+  CASE WHEN bf.baseline_f1 IS NULL THEN TRUE ELSE NOT isnan(coalesce(f1, 0.0)) AND coalesce(f1, 0.0) > bf.baseline_f1 + 0.05 END AS beats_baseline
+ FROM recent r, bf),
+ev2 AS (SELECT *, f1_minimum AND auc_minimum AND precision_minimum AND recall_minimum AND beats_baseline AS all_passed FROM ev),
+best AS (SELECT run_id, candidate_name, coalesce(f1, 0.0) AS f1, coalesce(roc_auc, 0.0) AS roc_auc FROM ev2
+ WHERE all_passed AND coalesce(f1, 0.0) > -1.0 ORDER BY coalesce(f1, 0.0) DESC, start_time DESC, run_id ASC LIMIT 1),
+mv AS (SELECT 'WillVisit' AS name, CAST(row_number() OVER (ORDER BY start_time, run_id) AS INT) AS version, run_id
+ FROM runs WHERE candidate_kind <> 'dummy'),
+mv2 AS (SELECT *, CASE WHEN version = 1 THEN 'Production' ELSE 'Archived' END AS stage FROM mv),
+prod AS (SELECT r.f1 AS production_f1 FROM (SELECT arg_max(run_id, version) AS run_id FROM mv2
+  WHERE name = 'WillVisit' AND stage = 'Production') p JOIN runs r ON r.run_id = p.run_id),
+decision AS (SELECT best.*, prod.production_f1,
+  prod.production_f1 IS NULL OR best.f1 >= prod.production_f1 - 0.02 AS register
+ FROM best LEFT JOIN prod ON TRUE)"""
+
+
+def registry_gates_sql() -> str:
+    return _registry_eval_cte() + """
+SELECT run_id, f1_minimum, auc_minimum, precision_minimum, recall_minimum, beats_baseline, all_passed FROM ev2"""
+
+
+def gate_tags_sql() -> str:
+    return _registry_eval_cte() + """
+SELECT run_id, CASE WHEN all_passed THEN 'True' ELSE 'False' END AS quality_gate_passed,
+ '{"f1_minimum": ' || f1_minimum || ', "auc_minimum": ' || auc_minimum || ', "precision_minimum": '
+ || precision_minimum || ', "recall_minimum": ' || recall_minimum || ', "beats_baseline": ' || beats_baseline || '}'
+ AS quality_gate_details FROM ev2"""
+
+
+def quality_gate_best_sql() -> str:
+    return _registry_eval_cte() + "\nSELECT run_id, candidate_name, round(f1, 10) AS f1, round(roc_auc, 10) AS roc_auc FROM best"
+
+
+def production_regression_sql() -> str:
+    return _registry_eval_cte() + """
+SELECT run_id, round(f1, 10) AS f1, round(production_f1, 10) AS production_f1, register FROM decision"""
+
+
+def registry_append_sql() -> str:
+    return _registry_eval_cte() + """
+SELECT 'WillVisit' AS name, CAST((SELECT coalesce(max(version), 0) FROM mv2 WHERE name = 'WillVisit') + 1 AS INT) AS version,
+ 'Staging' AS stage, run_id, candidate_name AS source_candidate FROM decision WHERE register"""
+
+
+def leaderboard_sql() -> str:
+    def kv(key, col, fmt=None):
+        val = f"printf('{fmt}', {col})" if fmt else col
+        return f"CASE WHEN {col} IS NOT NULL THEN '{key}=' || {val} END"
+    params = ", ".join([kv("kind", "candidate_kind"), kv("learning_rate", "p_learning_rate"),
+                        kv("max_depth", "p_max_depth"), kv("strategy", "p_strategy")])
+    quality = ", ".join(kv(k, k, "%.4f") for k in ["accuracy", "f1", "roc_auc", "average_precision"])
+    cost = ", ".join(kv(k, k, "%.2f") for k in ["train_seconds", "rows_per_second"])
+    return f"""WITH {runs_cte()}
+SELECT CAST(row_number() OVER (ORDER BY f1 DESC NULLS LAST, run_id ASC) AS INT) AS rank,
+ coalesce(candidate_name, '-') AS candidate, '-' AS run_link, coalesce(code_version, '-') AS code_version,
+ coalesce(nullif(concat_ws(', ', {params}), ''), '-') AS hyperparams,
+ coalesce(nullif(concat_ws(', ', {quality}), ''), '-') AS quality,
+ coalesce(nullif(concat_ws(', ', {cost}), ''), '-') AS cost,
+ coalesce(notes, '') AS notes
+FROM runs"""
+
+
+def retrain_decision_sql(threshold: float = 0.0) -> str:
+    return f"""WITH {_ranking_cte(SCORED_EVENTS, 'event_type', 'score', 'old_m')},
+{_ranking_cte(SCORED_EVENTS, 'event_type', 'fine_score', 'new_m')}
+SELECT o.g AS event_type, 'roc_auc' AS primary_metric, o.roc_auc AS old_score, n.roc_auc AS new_score,
+ round(n.roc_auc - o.roc_auc, 10) AS delta, {threshold}::DOUBLE AS threshold,
+ CASE WHEN isnan(o.roc_auc) OR isnan(n.roc_auc) THEN 'reject'
+      WHEN round(n.roc_auc - o.roc_auc, 10) >= {threshold} THEN 'keep' ELSE 'reject' END AS decision
+FROM old_m o JOIN new_m n ON o.g = n.g"""
