@@ -10,7 +10,9 @@ from ..config import default_dataset_spec
 from ..operators import metrics as M
 from ..operators.preprocess import ImputeScaler
 from ..operators import splits as SP
-from ..operators.features import prepare_frame
+from ..functions.lists import expand_list, parse_list
+from ..operators import schema as S
+from ..operators.features import assemble_bundle, prepare_frame
 from ..session import apply_runtime_defaults
 from . import oracle_sql as O
 from ..config import default_gate_spec
@@ -234,6 +236,54 @@ def q_retrain_decision(spark, sf_dir):
                     G.retrain_decision(F.col("o"), F.col("n"), 0.0).alias("decision"))
 
 
+def q_parse_list_edge_cases(spark, sf_dir):
+    apply_runtime_defaults(spark)
+    lk = lake(spark, sf_dir)
+    staged = lk.select("row_id", parse_list("location_vibe_tags").alias("a"))
+    return staged.select("row_id", *expand_list("a", 3, "vt"))
+
+
+def _embedding_expand(length):
+    def run(spark, sf_dir):
+        apply_runtime_defaults(spark)
+        e = table(spark, sf_dir, "embeddings")
+        staged = e.select("vec_id", "label", parse_list("embedding", e.schema["embedding"].dataType).alias("a"))
+        return staged.select("vec_id", "label", *expand_list("a", length, "emb"))
+    return run
+
+
+def q_interaction_lexicographic(spark, sf_dir):
+    prepared = q_prepare_frame(spark, sf_dir)
+    return prepared.select("row_id", *[c for c in prepared.columns if c.startswith("pref_x_vibe_")])
+
+
+def q_align_features(spark, sf_dir):
+    """Bundle assembly: eval aligned to train features (here train keeps a
+    subset; eval lacks one of them and has an extra column)."""
+    apply_runtime_defaults(spark)
+    spec = default_dataset_spec()
+    fs = SP.split_by_flag(lake(spark, sf_dir), spec)
+    keep = ["avg_rating", "location_popularity", "user_total_visits", "cat_enc_0", "cat_enc_1",
+            "cat_enc_2", "cat_enc_3", "vibe_0"]
+    train = prepare_frame(fs.train, spec, ["row_id"]).select("row_id", *keep, "will_visit")
+    val = prepare_frame(fs.eval, spec, ["row_id"]).drop("cat_enc_3")
+    features = S.feature_columns_of(train, "will_visit", exclude=["row_id"])
+    return S.align_features(val, features, keep=["row_id", "will_visit"])
+
+
+def q_old_new_union(spark, sf_dir):
+    """Retrain input: OLD and NEW parts aligned to the same columns, unioned by name."""
+    apply_runtime_defaults(spark)
+    o = table(spark, sf_dir, "orders")
+    base = o.select("o_orderkey", "o_totalprice", (F.col("o_orderstatus") == "F").cast("int").alias("label"),
+                    "o_orderdate")
+    cut = F.lit("1995-01-01").cast("timestamp_ntz")
+    old = base.filter(F.col("o_orderdate") < cut).drop("o_orderdate").withColumn("part", F.lit("old"))
+    new = base.filter(F.col("o_orderdate") >= cut).drop("o_orderdate").withColumn("part", F.lit("new"))
+    new = S.align_features(new, ["o_orderkey", "o_totalprice", "label", "part"])
+    return old.unionByName(new)
+
+
 QUERIES: dict[str, Query] = {
     "prepare_frame": q_prepare_frame,
     "split_by_flag": q_split_by_flag,
@@ -261,6 +311,12 @@ QUERIES: dict[str, Query] = {
     "registry_append": q_registry_append,
     "leaderboard": q_leaderboard,
     "retrain_decision": q_retrain_decision,
+    "parse_list_edge_cases": q_parse_list_edge_cases,
+    "embedding_expand_pad": _embedding_expand(70),
+    "embedding_expand_truncate": _embedding_expand(20),
+    "interaction_lexicographic": q_interaction_lexicographic,
+    "align_features": q_align_features,
+    "old_new_union": q_old_new_union,
 }
 
 ORACLES: dict[str, str] = {
@@ -290,4 +346,10 @@ ORACLES: dict[str, str] = {
     "registry_append": O.registry_append_sql(),
     "leaderboard": O.leaderboard_sql(),
     "retrain_decision": O.retrain_decision_sql(0.0),
+    "parse_list_edge_cases": O.parse_list_edge_cases_sql(),
+    "embedding_expand_pad": O.embedding_expand_sql(70),
+    "embedding_expand_truncate": O.embedding_expand_sql(20),
+    "interaction_lexicographic": O.interaction_lexicographic_sql(),
+    "align_features": O.align_features_sql(),
+    "old_new_union": O.old_new_union_sql(),
 }

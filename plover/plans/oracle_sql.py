@@ -396,3 +396,33 @@ SELECT o.g AS event_type, 'roc_auc' AS primary_metric, o.roc_auc AS old_score, n
  CASE WHEN isnan(o.roc_auc) OR isnan(n.roc_auc) THEN 'reject'
       WHEN round(n.roc_auc - o.roc_auc, 10) >= {threshold} THEN 'keep' ELSE 'reject' END AS decision
 FROM old_m o JOIN new_m n ON o.g = n.g"""
+
+
+def parse_list_edge_cases_sql() -> str:
+    """Vibe text (with malformed, object, short and long values) at length 3."""
+    return f"""WITH {LAKE_CTE}, a AS (SELECT row_id, {_arr('location_vibe_tags')} AS a FROM lake)
+SELECT row_id, {', '.join(_expand('a', 3, 'vt'))} FROM a"""
+
+
+def embedding_expand_sql(length: int) -> str:
+    return f"""WITH a AS (SELECT vec_id, label, coalesce(CAST(embedding AS DOUBLE[]), []::DOUBLE[]) AS a FROM embeddings)
+SELECT vec_id, label, {', '.join(_expand('a', length, 'emb'))} FROM a"""
+
+
+def interaction_lexicographic_sql() -> str:
+    cols = [f"user_pref_{s} * vibe_{s} AS pref_x_vibe_{j}" for j, s in enumerate(_text_sorted(20))]
+    return f"SELECT row_id, {', '.join(cols)} FROM ({prepared_sql()})"
+
+
+def align_features_sql() -> str:
+    """Train features from train rows; eval rows lack cat_enc_3 (filled 0.0)
+    and carry an extra column (dropped)."""
+    return f"""SELECT row_id, avg_rating, location_popularity, user_total_visits, cat_enc_0, cat_enc_1, cat_enc_2,
+ 0.0::DOUBLE AS cat_enc_3, vibe_0, will_visit FROM ({prepared_sql("split = 'eval'")})"""
+
+
+def old_new_union_sql() -> str:
+    return """SELECT o_orderkey, o_totalprice, CAST(o_orderstatus = 'F' AS INT) AS label, 'old' AS part FROM orders
+ WHERE o_orderdate < CAST('1995-01-01' AS TIMESTAMP)
+UNION ALL SELECT o_orderkey, o_totalprice, CAST(o_orderstatus = 'F' AS INT), 'new' FROM orders
+ WHERE o_orderdate >= CAST('1995-01-01' AS TIMESTAMP)"""
