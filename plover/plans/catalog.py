@@ -18,6 +18,8 @@ from . import oracle_sql as O
 from ..config import default_gate_spec
 from ..operators import gates as G
 from ..operators import registry as R
+from ..sources import readers as RD
+from ..sources import sinks as SK
 from .runs import derived_model_versions, derived_runs, scored_events
 from .tables import lake, table
 
@@ -284,6 +286,43 @@ def q_old_new_union(spark, sf_dir):
     return old.unionByName(new)
 
 
+ORDERS_CSV_SCHEMA = ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+                     "o_orderpriority string")
+
+
+def q_csv_roundtrip(spark, sf_dir):
+    apply_runtime_defaults(spark)
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                                              "o_orderpriority")
+    path = SK.write_csv(o, SK.scratch_path(spark, "orders-csv"))
+    return RD.read_csv(spark, path, ORDERS_CSV_SCHEMA)
+
+
+def q_split_write_roundtrip(spark, sf_dir):
+    apply_runtime_defaults(spark)
+    tagged = q_sequential_split(spark, sf_dir)
+    path = SK.write_splits(tagged, SK.scratch_path(spark, "orders-splits"))
+    back = spark.read.parquet(path)
+    return back.groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def q_latest_file(spark, sf_dir):
+    """Three writes of ``orders`` (by status) into one prefix; the newest file
+    under it (recursive listing) is read back."""
+    apply_runtime_defaults(spark)
+    o = table(spark, sf_dir, "orders")
+    base = SK.scratch_path(spark, "orders-drops")
+    for status in ("F", "O", "P"):
+        o.filter(F.col("o_orderstatus") == status).write.mode("overwrite").parquet(f"{base}/drop_{status}")
+    newest = RD.resolve_latest_file(spark, base, recursive=True)
+    return spark.read.parquet(newest)
+
+
+def q_leaderboard_markdown(spark, sf_dir):
+    apply_runtime_defaults(spark)
+    return R.leaderboard_markdown(R.leaderboard(derived_runs(spark, sf_dir)))
+
+
 QUERIES: dict[str, Query] = {
     "prepare_frame": q_prepare_frame,
     "split_by_flag": q_split_by_flag,
@@ -317,6 +356,10 @@ QUERIES: dict[str, Query] = {
     "interaction_lexicographic": q_interaction_lexicographic,
     "align_features": q_align_features,
     "old_new_union": q_old_new_union,
+    "csv_roundtrip": q_csv_roundtrip,
+    "split_write_roundtrip": q_split_write_roundtrip,
+    "latest_file": q_latest_file,
+    "leaderboard_markdown": q_leaderboard_markdown,
 }
 
 ORACLES: dict[str, str] = {
@@ -352,4 +395,8 @@ ORACLES: dict[str, str] = {
     "interaction_lexicographic": O.interaction_lexicographic_sql(),
     "align_features": O.align_features_sql(),
     "old_new_union": O.old_new_union_sql(),
+    "csv_roundtrip": O.csv_roundtrip_sql(),
+    "split_write_roundtrip": O.split_write_roundtrip_sql(),
+    "leaderboard_markdown": O.leaderboard_markdown_sql(),
+    "latest_file": "SELECT * FROM orders WHERE o_orderstatus = 'P'",
 }

@@ -426,3 +426,16 @@ def old_new_union_sql() -> str:
  WHERE o_orderdate < CAST('1995-01-01' AS TIMESTAMP)
 UNION ALL SELECT o_orderkey, o_totalprice, CAST(o_orderstatus = 'F' AS INT), 'new' FROM orders
  WHERE o_orderdate >= CAST('1995-01-01' AS TIMESTAMP)"""
+
+
+def csv_roundtrip_sql() -> str:
+    return "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders"
+
+
+def split_write_roundtrip_sql() -> str:
+    return f"SELECT split, CAST(count(*) AS BIGINT) AS rows FROM ({sequential_split_sql(0.7, 0.15)}) GROUP BY split"
+
+
+def leaderboard_markdown_sql() -> str:
+    return f"""SELECT rank, '| ' || concat_ws(' | ', candidate, run_link, code_version, hyperparams, quality, cost, notes)
+ || ' |' AS line FROM ({leaderboard_sql()})"""
