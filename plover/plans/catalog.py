@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import default_dataset_spec
+from ..config import CandidateSpec, default_dataset_spec
 from ..operators import metrics as M
 from ..operators.preprocess import ImputeScaler
 from ..operators import splits as SP
@@ -131,7 +131,7 @@ def q_reference_stats(spark, sf_dir):
     apply_runtime_defaults(spark)
     li = table(spark, sf_dir, "lineitem")
     st = M.reference_stats(li, O.REF_FEATURES, with_sample=False)
-    return st.select("feature", "count", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"),
+    return st.select("feature", "count", F.round("mean", 9).alias("mean"), F.round("std", 9).alias("std"),
                      "min", "max")
 
 
@@ -323,6 +323,80 @@ def q_leaderboard_markdown(spark, sf_dir):
     return R.leaderboard_markdown(R.leaderboard(derived_runs(spark, sf_dir)))
 
 
+MODEL_CANDIDATES = [
+    CandidateSpec("baseline", "dummy", {"strategy": "most_frequent"}, "majority class"),
+    CandidateSpec("boosted_small", "xgboost", {"learning_rate": 0.3, "max_depth": 4, "n_estimators": 10,
+                                                "random_state": 42}, "small boosted trees"),
+    CandidateSpec("logistic", "logistic_regression", {"C": 1.0, "max_iter": 50}, "linear baseline"),
+]
+
+
+def _lake_bundle(spark, sf_dir):
+    spec = default_dataset_spec()
+    fs = SP.split_by_flag(lake(spark, sf_dir), spec)
+    return assemble_bundle(fs.train, fs.eval, spec, ["row_id"]), fs
+
+
+def q_train_candidates(spark, sf_dir):
+    """Fit, score and gate candidates on the lake split; one run row each."""
+    apply_runtime_defaults(spark)
+    from .training import train_candidates
+    bundle, _ = _lake_bundle(spark, sf_dir)
+    res = train_candidates(spark, bundle, MODEL_CANDIDATES, with_reference_stats=False)
+    m = F.col("metrics")
+    return res.decisions.select(F.col("tags")["candidate_name"].alias("candidate_name"),
+                                F.col("tags")["status"].alias("status"), "gate_tag",
+                                m["roc_auc"].alias("roc_auc"), m["f1"].alias("f1"),
+                                m["train_rows"].alias("train_rows"), m["val_rows"].alias("val_rows"))
+
+
+def q_batch_score(spark, sf_dir):
+    """Score every eval row with a fitted boosted model (output contract)."""
+    apply_runtime_defaults(spark)
+    from ..operators import models as MD
+    bundle, fs = _lake_bundle(spark, sf_dir)
+    plan = MD.build_estimator("xgboost", {"learning_rate": 0.3, "max_depth": 4, "n_estimators": 10},
+                              "will_visit")
+    model, _ = MD.fit_pipeline(plan, bundle.feature_columns, bundle.train, "will_visit")
+    ids = S.apply_column_rename(fs.eval, default_dataset_spec().column_rename).select("row_id", "user_id", "gmap_id")
+    scored = MD.score(model, bundle.val.join(ids, "row_id"))
+    return MD.scoring_output(scored, "WillVisit", "1", ("row_id", "user_id", "gmap_id"))
+
+
+def q_continue_boosting(spark, sf_dir):
+    """Old model on the older train runs; continue 5 rounds on the latest
+    run-date delta with the frozen preprocessor; keep/reject on eval AUC."""
+    apply_runtime_defaults(spark)
+    from .training import retrain
+    from ..operators import models as MD
+    spec = default_dataset_spec()
+    fs = SP.split_by_flag(lake(spark, sf_dir), spec)
+    latest = SP.scope_train(fs.train, "latest_run_only")
+    older = fs.train.join(latest.select("row_id"), "row_id", "left_anti")
+    old_b = assemble_bundle(older, fs.eval, spec, ["row_id"])
+    plan = MD.build_estimator("xgboost", {"learning_rate": 0.3, "max_depth": 4, "n_estimators": 10},
+                              "will_visit")
+    old_model, _ = MD.fit_pipeline(plan, old_b.feature_columns, old_b.train, "will_visit")
+    new_rows = prepare_frame(latest, spec, ["row_id"])
+    cand = CandidateSpec("boosted_small", "xgboost", {})
+    res = retrain(spark, old_model, cand, new_rows, old_b.val, "will_visit", additional_rounds=5)
+    d = res.decision
+    return spark.createDataFrame([(d["primary_metric"], d["old_score"], d["new_score"], d["delta"],
+                                   d["threshold"], d["decision"])],
+                                 "primary_metric string, old_score double, new_score double, delta double, "
+                                 "threshold double, decision string")
+
+
+def q_lineitem_ranking(spark, sf_dir):
+    """ROC-AUC and AP over every lineitem row (label: returned; tied score)."""
+    apply_runtime_defaults(spark)
+    li = table(spark, sf_dir, "lineitem")
+    scored = li.select(F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("y"),
+                       (F.floor(F.col("l_discount") * 100.0) / 10.0 + F.floor(F.col("l_quantity") / 10.0))
+                       .alias("score"))
+    return rounded(M.ranking_metrics(scored, "y", "score"))
+
+
 QUERIES: dict[str, Query] = {
     "prepare_frame": q_prepare_frame,
     "split_by_flag": q_split_by_flag,
@@ -360,6 +434,10 @@ QUERIES: dict[str, Query] = {
     "split_write_roundtrip": q_split_write_roundtrip,
     "latest_file": q_latest_file,
     "leaderboard_markdown": q_leaderboard_markdown,
+    "lineitem_ranking": q_lineitem_ranking,
+    "train_candidates": q_train_candidates,
+    "batch_score": q_batch_score,
+    "continue_boosting": q_continue_boosting,
 }
 
 ORACLES: dict[str, str] = {
@@ -398,5 +476,5 @@ ORACLES: dict[str, str] = {
     "csv_roundtrip": O.csv_roundtrip_sql(),
     "split_write_roundtrip": O.split_write_roundtrip_sql(),
     "leaderboard_markdown": O.leaderboard_markdown_sql(),
-    "latest_file": "SELECT * FROM orders WHERE o_orderstatus = 'P'",
+    "lineitem_ranking": O.lineitem_ranking_sql(),
 }

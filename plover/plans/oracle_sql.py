@@ -202,8 +202,8 @@ REF_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 def reference_stats_sql() -> str:
     parts = " UNION ALL ".join(
         f"SELECT '{f}' AS feature, CAST({f} AS DOUBLE) AS value FROM lineitem" for f in REF_FEATURES)
-    return f"""SELECT feature, CAST(count(*) AS BIGINT) AS count, round(avg(value), 6) AS mean,
- round(stddev_samp(value), 6) AS std, min(value) AS min, max(value) AS max
+    return f"""SELECT feature, CAST(count(*) AS BIGINT) AS count, round(avg(value), 9) AS mean,
+ round(stddev_samp(value), 9) AS std, min(value) AS min, max(value) AS max
 FROM ({parts}) WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY feature"""
 
 
@@ -439,3 +439,11 @@ def split_write_roundtrip_sql() -> str:
 def leaderboard_markdown_sql() -> str:
     return f"""SELECT rank, '| ' || concat_ws(' | ', candidate, run_link, code_version, hyperparams, quality, cost, notes)
  || ' |' AS line FROM ({leaderboard_sql()})"""
+
+
+LINEITEM_SCORED = """SELECT CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS y,
+ floor(l_discount * 100.0) / 10.0 + floor(l_quantity / 10.0) AS score FROM lineitem"""
+
+
+def lineitem_ranking_sql() -> str:
+    return f"WITH {_ranking_cte(LINEITEM_SCORED, None, 'score')} SELECT roc_auc, average_precision FROM rank_m"

@@ -10,13 +10,23 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
-def _pref_text(user_id) -> F.Column:
-    parts = [F.concat(F.lit("0."), F.lpad(((user_id * 7 + i * 13) % 100).cast("string"), 2, "0"))
-             for i in range(20)]
-    return F.concat(F.lit("["), F.concat_ws(", ", *parts), F.lit("]"))
+def spread(df: DataFrame) -> DataFrame:
+    """Scans of few large files give fewer tasks than cores (a single-row-group
+    file is one task). Only then add a round-robin repartition to the
+    cluster's parallelism; scans that are already split are left alone."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
+def _pref_text(user_id_col: str) -> F.Column:
+    parts = ", ".join(f"concat('0.', lpad(CAST(({user_id_col} * 7 + {i * 13}) % 100 AS STRING), 2, '0'))"
+                      for i in range(20))
+    return F.expr(f"concat('[', concat_ws(', ', {parts}), ']')")
 
 
 def lake(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +68,7 @@ def lake(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_size").alias("location_popularity"),
         vibe.alias("location_vibe_tags"),
         (F.col("user_id") % 60).cast("int").alias("user_total_visits"),
-        _pref_text(F.col("user_id")).alias("user_personal_preferences"),
+        _pref_text("user_id").alias("user_personal_preferences"),
         F.when(F.col("p_size") + F.col("value") / 10 > 20, 1).otherwise(0).alias("will_visit"),
         F.when(eid % 53 == 0, F.lit("holdout"))
          .when(ts >= F.lit("2024-01-25").cast("timestamp"), F.lit("eval"))
