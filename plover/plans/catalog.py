@@ -397,6 +397,29 @@ def q_lineitem_ranking(spark, sf_dir):
     return rounded(M.ranking_metrics(scored, "y", "score"))
 
 
+# The reference's tuning search space (types and bounds).
+SEARCH_SPACE = {
+    "max_depth": {"type": "choice", "values": [4, 6, 8, 10]},
+    "min_child_weight": {"type": "choice", "values": [1, 2, 4]},
+    "subsample": {"type": "uniform", "lower": 0.6, "upper": 1.0},
+    "colsample_bytree": {"type": "uniform", "lower": 0.6, "upper": 1.0},
+    "learning_rate": {"type": "loguniform", "lower": 0.01, "upper": 0.2},
+    "scale_pos_weight": {"type": "choice", "values": [0.5, 0.8, 1.0, 1.2]},
+    "reg_lambda": {"type": "loguniform", "lower": 0.001, "upper": 10.0},
+    "reg_alpha": {"type": "loguniform", "lower": 0.0001, "upper": 1.0},
+}
+
+
+def q_successive_halving(spark, sf_dir):
+    """Four sampled trials, rungs of 2/4 rounds, halving factor 2, on the lake
+    split; one report row per (trial, rung) that ran."""
+    apply_runtime_defaults(spark)
+    from .tuning import tune
+    bundle, _ = _lake_bundle(spark, sf_dir)
+    reports, _ = tune(spark, bundle, SEARCH_SPACE, 4, max_t=4, grace=2, reduction=2)
+    return reports.select("trial_id", "iteration", F.col("metrics")["roc_auc"].alias("roc_auc"))
+
+
 QUERIES: dict[str, Query] = {
     "prepare_frame": q_prepare_frame,
     "split_by_flag": q_split_by_flag,
@@ -438,6 +461,7 @@ QUERIES: dict[str, Query] = {
     "train_candidates": q_train_candidates,
     "batch_score": q_batch_score,
     "continue_boosting": q_continue_boosting,
+    "successive_halving": q_successive_halving,
 }
 
 ORACLES: dict[str, str] = {
