@@ -4,8 +4,10 @@
 
 1. range-partition the (narrow) input on ``group_by + order_by`` into P parts
    and tag each row with its partition id;
-2. checkpoint that (reliable, in ``spark.checkpoint.dir``) so every later read
-   sees identical partition contents even after an executor loss;
+2. persist that: the range bounds are fixed once in the shuffle dependency,
+   so a block lost with an executor is recomputed from the same shuffle and
+   lands in the same partition - every later read sees identical partition
+   contents (no extra write of the data, unlike a checkpoint);
 3. per (partition, group) totals -> offsets of all earlier partitions; this
    table has at most P x groups rows, counted before it is broadcast;
 4. a window partitioned by partition id gives running sums inside each part;
@@ -22,10 +24,12 @@ from typing import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark import StorageLevel
 
-from ..session import default_partitions, ensure_checkpoint_dir
+from ..session import default_partitions
 
 PID = "_rk_pid"
+_LIVE: list = []  # persisted range-partitioned inputs still referenced by lazy results
 BROADCAST_ROW_LIMIT = 2_000_000
 OFFSET_ROW_LIMIT = 1_000_000
 
@@ -55,7 +59,6 @@ def running_totals(df: DataFrame, order_by: Sequence[str], weights: Sequence[str
     0-based position ``count_col``) along ``order_by`` within ``group_by``,
     plus group totals ``total_<w>`` / ``total_rows``."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n_parts = partitions or default_partitions(spark)
     group_by, order_by = list(group_by), list(order_by)
     weights = list(weights)
@@ -64,8 +67,9 @@ def running_totals(df: DataFrame, order_by: Sequence[str], weights: Sequence[str
         work = work.withColumn("_rk_one", F.lit(1).cast("long"))
         weights = weights + ["_rk_one"]
     sort = _sort_exprs(group_by, order_by, descending)
-    ranged = work.repartitionByRange(n_parts, *sort).withColumn(PID, F.spark_partition_id())
-    ranged = ranged.checkpoint(eager=True)
+    ranged = work.repartitionByRange(n_parts, *sort).withColumn(PID, F.spark_partition_id()) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    _LIVE.append(ranged)
 
     # Per (partition, group) totals: at most P x groups rows, collected under a
     # bound; offsets of earlier partitions are summed on the driver.
@@ -104,6 +108,12 @@ def running_totals(df: DataFrame, order_by: Sequence[str], weights: Sequence[str
     return joined.select(*out_cols)
 
 
+def release_cached() -> None:
+    """Unpersist the range-partitioned inputs of earlier running totals."""
+    while _LIVE:
+        _LIVE.pop().unpersist()
+
+
 def rows_at_positions(df: DataFrame, order_by: Sequence[str], positions: dict,
                       group_by: Sequence[str] = (), max_rows: int = 100_000) -> list:
     """The rows at given 0-based positions of the order (per group).
@@ -125,7 +135,9 @@ def rows_at_positions(df: DataFrame, order_by: Sequence[str], positions: dict,
                                + [T.StructField("_rk_pos", T.LongType())])
     want_df = spark.createDataFrame([(*g, p) for g, p in wanted], want_schema)
     hit = ranked.join(F.broadcast(want_df), [*group_by, "_rk_pos"], "inner")
-    return hit.select(*group_by, *order_by, "_rk_pos").collect()
+    rows = hit.select(*group_by, *order_by, "_rk_pos").collect()
+    release_cached()
+    return rows
 
 
 def kth_thresholds(df: DataFrame, order_by: Sequence[str], positions: dict,

@@ -76,7 +76,14 @@ def derived_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.lit("candidate.params.strategy"), F.lit("most_frequent"),
                      F.lit("candidate.notes"), F.lit("majority class")).alias("params"),
         _metrics_map().alias("metrics"))
-    return seg_runs.unionByName(base_run)
+    # A registry-scale table (one row per segment) referenced many times by
+    # the gate queries: cut its lineage once (reliable checkpoint).
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    runs = seg_runs.unionByName(base_run).checkpoint(eager=True)
+    from ..operators.ranking import release_cached
+    release_cached()
+    return runs
 
 
 def derived_model_versions(runs: DataFrame, model_name: str = "WillVisit") -> DataFrame:
