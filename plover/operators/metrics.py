@@ -108,11 +108,19 @@ def label_cardinality(df: DataFrame, label: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Reference statistics (drift baseline)
 # ---------------------------------------------------------------------------
-def long_features(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """(feature, value) pairs; NaN and NULL dropped."""
+def value_sql(name: str) -> str:
+    """SQL text: the column as double with NaN turned into NULL."""
+    q = "`" + name.replace("`", "``") + "`"
+    return f"CASE WHEN isnan(CAST({q} AS DOUBLE)) THEN NULL ELSE CAST({q} AS DOUBLE) END"
+
+
+def long_features(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """(feature, value) pairs; NaN and NULL dropped. One ``stack`` generator
+    written as SQL text (a single JVM call however many features)."""
     features = list(features)
-    long = df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in features]) \
-        .unpivot([], features, "feature", "value")
+    pairs = ", ".join(f"'{f}', {value_sql(f)}" for f in features)
+    keep_sql = [("`" + k.replace("`", "``") + "`") for k in keep]
+    long = df.selectExpr(*keep_sql, f"stack({len(features)}, {pairs}) AS (feature, value)")
     return long.filter(F.col("value").isNotNull())
 
 
