@@ -114,3 +114,13 @@ def best_summary(best: DataFrame) -> DataFrame:
     """One row: trial id, iteration, params and only finite numeric metrics."""
     return best.select("trial_id", "iteration", "params",
                        F.map_filter("metrics", lambda k, v: v.isNotNull() & ~F.isnan(v)).alias("metrics"))
+
+
+def top_checkpoints(reports: DataFrame, k: int = 2, metric: str = "validation_logloss",
+                    mode: str = "min") -> DataFrame:
+    """The ``k`` best reported checkpoints by a metric (a top-k report: the
+    limit is the feature)."""
+    m = F.col("metrics")[metric]
+    order = m.asc_nulls_last() if mode == "min" else m.desc_nulls_last()
+    return reports.filter(m.isNotNull() & ~F.isnan(m)) \
+        .orderBy(order, F.col("trial_id"), F.col("iteration")).limit(int(k))

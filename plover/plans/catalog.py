@@ -420,6 +420,22 @@ def q_successive_halving(spark, sf_dir):
     return reports.select("trial_id", "iteration", F.col("metrics")["roc_auc"].alias("roc_auc"))
 
 
+def q_weekly_job(spark, sf_dir):
+    """Export (lake split) -> train candidates -> registry gate against the
+    runs derived from the events, short-circuiting on failure."""
+    apply_runtime_defaults(spark)
+    from .training import weekly_job
+    history = derived_runs(spark, sf_dir)
+    versions = derived_model_versions(history, MODEL_NAME)
+    out = weekly_job(spark, lambda: _lake_bundle(spark, sf_dir)[0], history, versions, MODEL_NAME,
+                     MODEL_CANDIDATES)
+    version = None
+    if out.registered is not None:
+        version = out.registered.first()["version"]
+    return spark.createDataFrame([(out.ok, out.stage, out.message, version)],
+                                 "ok boolean, stage string, message string, registered_version int")
+
+
 QUERIES: dict[str, Query] = {
     "prepare_frame": q_prepare_frame,
     "split_by_flag": q_split_by_flag,
@@ -462,6 +478,7 @@ QUERIES: dict[str, Query] = {
     "batch_score": q_batch_score,
     "continue_boosting": q_continue_boosting,
     "successive_halving": q_successive_halving,
+    "weekly_job": q_weekly_job,
 }
 
 ORACLES: dict[str, str] = {

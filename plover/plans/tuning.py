@@ -70,7 +70,7 @@ def tune(spark: SparkSession, bundle: DatasetBundle, space: dict, num_samples: i
                 model = est.fit(fit_on)
                 scored = MD.score(model, val_v, threshold=0.5)
                 m = dict(M.binary_metrics(scored, target, "pred", "score").first().asDict())
-                m.update(M.logloss(scored, target, "score").first().asDict())
+                m["validation_logloss"] = M.logloss(scored, target, "score").first()["logloss"]
                 m = {k: float(v) for k, v in m.items() if v is not None}
                 m["seconds"] = time.perf_counter() - t0
                 m["training_iteration"] = float(rung)

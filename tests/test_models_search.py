@@ -117,3 +117,21 @@ def test_halving_best_and_resume(spark):
     assert sorted(r[0] for r in H.pending_trials(trials, rep, 50).collect()) == ["t9"]
     with pytest.raises(H.SearchSpaceError):
         H.require_reports(H.best_trial(rep.limit(0), "roc_auc"), "roc_auc")
+
+
+def test_candidates_lookup_and_flatten(spark):
+    from plover.config import candidates_frame, default_candidates, find_candidate
+    cands = default_candidates()
+    assert find_candidate(cands, "xgboost_v1").kind == "xgboost"
+    with pytest.raises(ValueError):
+        find_candidate(cands, "nope")
+    long = {(r["candidate"], r["key"]): r["value"] for r in candidates_frame(spark, cands).collect()}
+    assert long[("xgboost_v2", "params.subsample")] == "0.85"
+
+
+def test_top_checkpoints(spark):
+    rows = [("a", 1, {}, {"validation_logloss": 0.5}), ("b", 1, {}, {"validation_logloss": 0.3}),
+            ("c", 1, {}, {"validation_logloss": float("nan")}), ("d", 2, {}, {"validation_logloss": 0.4})]
+    rep = spark.createDataFrame(rows, "trial_id string, iteration int, params map<string,double>, "
+                                      "metrics map<string,double>")
+    assert [r["trial_id"] for r in H.top_checkpoints(rep, 2).collect()] == ["b", "d"]
