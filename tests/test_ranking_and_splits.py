@@ -122,3 +122,23 @@ def test_split_filter_is_pushed_to_parquet(spark):
     plan = SP.split_by_flag(lake(spark, "/root/testdata/sf0.001"), default_dataset_spec()).train \
         ._jdf.queryExecution().executedPlan().toString()
     assert "FileScan parquet" in plan or "Scan parquet" in plan
+
+
+def test_flag_split_pushdown_and_pruning_on_parquet(spark, scratch):
+    from plover.config import default_dataset_spec
+    from plover.plans.tables import lake
+    lake(spark, "/root/testdata/sf0.001").write.mode("overwrite").parquet(scratch + "/lake")
+    fs = SP.split_by_flag(spark.read.parquet(scratch + "/lake"), default_dataset_spec())
+    plan = fs.train.select("row_id")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(split,train)" in plan
+    assert "ReadSchema: struct<row_id:bigint,split:string>" in plan
+
+
+def test_ranking_plan_has_no_single_partition_window(spark):
+    from plover.operators import metrics as M
+    df = spark.createDataFrame([(i % 2, float(i % 17)) for i in range(500)], "y int, s double")
+    plan = M.ranking_metrics(df, "y", "s")._jdf.queryExecution().executedPlan().toString()
+    # the running sums are computed per range partition (window input is
+    # clustered by the partition id), never in one task over all scores
+    assert "rangepartitioning" in plan
+    assert "Exchange hashpartitioning(_rk_pid" in plan
