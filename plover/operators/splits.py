@@ -231,7 +231,12 @@ def stratified_downsample(df: DataFrame, target: str, max_rows: int, key_cols: S
     (``caps``; values without a cap pass through unchanged)."""
     groups = [by] if by else []
     cap_of = (lambda v: caps.get(v)) if by else (lambda v: max_rows)
-    frame_n = _class_counts(df, groups)
+    # One aggregate gives both the frame sizes (NULL targets included) and
+    # the per-class sizes.
+    all_counts = _class_counts(df, groups + [target])
+    frame_n: dict = {}
+    for gk, n in all_counts.items():
+        frame_n[gk[:-1]] = frame_n.get(gk[:-1], 0) + n
     capped = {g for g, n in frame_n.items() if cap_of(g[0] if g else None) is not None
               and n > cap_of(g[0] if g else None)}
     if not capped:
@@ -239,7 +244,7 @@ def stratified_downsample(df: DataFrame, target: str, max_rows: int, key_cols: S
     h = seeded_hash(seed, *key_cols)
     base = df.withColumn(HASH_COL, h)
     order = [HASH_COL, *key_cols]
-    cls = _class_counts(base.filter(F.col(target).isNotNull()), groups + [target])
+    cls = {gk: n for gk, n in all_counts.items() if gk[-1] is not None}
     plan, want = {}, {}
     for gk, n_c in cls.items():
         frame = gk[:-1]

@@ -135,3 +135,19 @@ def test_top_checkpoints(spark):
     rep = spark.createDataFrame(rows, "trial_id string, iteration int, params map<string,double>, "
                                       "metrics map<string,double>")
     assert [r["trial_id"] for r in H.top_checkpoints(rep, 2).collect()] == ["b", "d"]
+
+
+def test_training_sinks(spark, bundle, scratch):
+    cands = [CandidateSpec("baseline", "dummy", {"strategy": "most_frequent"}),
+             CandidateSpec("weak", "logistic_regression", {"max_iter": 1})]
+    from plover.config import GateSpec
+    gates = GateSpec(hard_minimums={"roc_auc": 0.999}, beat_metric="roc_auc", beat_min_delta=0.5,
+                     exempt=["baseline"])
+    runs_path = os.path.join(scratch, "runs")
+    train_candidates(spark, bundle, cands, gates, artifact_dir=os.path.join(scratch, "art"),
+                     runs_path=runs_path, with_reference_stats=False)
+    runs = spark.read.parquet(runs_path)
+    assert runs.count() == 2
+    assert {r[0] for r in runs.select(F.col("tags")["quality_gate"]).collect()} == {"exempt", "failed"}
+    side = spark.read.json(os.path.join(scratch, "art", "_rejected", "decisions"))
+    assert [r["candidate"] for r in side.collect()] == ["weak"]
