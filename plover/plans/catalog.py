@@ -331,10 +331,10 @@ MODEL_CANDIDATES = [
 ]
 
 
-def _lake_bundle(spark, sf_dir):
+def _lake_bundle(spark, sf_dir, keys=("row_id",)):
     spec = default_dataset_spec()
     fs = SP.split_by_flag(lake(spark, sf_dir), spec)
-    return assemble_bundle(fs.train, fs.eval, spec, ["row_id"]), fs
+    return assemble_bundle(fs.train, fs.eval, spec, list(keys)), fs
 
 
 def q_train_candidates(spark, sf_dir):
@@ -354,13 +354,13 @@ def q_batch_score(spark, sf_dir):
     """Score every eval row with a fitted boosted model (output contract)."""
     apply_runtime_defaults(spark)
     from ..operators import models as MD
-    bundle, fs = _lake_bundle(spark, sf_dir)
+    # Ids ride along as key columns (never features), so scores need no join back.
+    keys = ("row_id", "user_id", "gmap_id")
+    bundle, _ = _lake_bundle(spark, sf_dir, keys)
     plan = MD.build_estimator("xgboost", {"learning_rate": 0.3, "max_depth": 4, "n_estimators": 10},
                               "will_visit")
     model, _ = MD.fit_pipeline(plan, bundle.feature_columns, bundle.train, "will_visit")
-    ids = S.apply_column_rename(fs.eval, default_dataset_spec().column_rename).select("row_id", "user_id", "gmap_id")
-    scored = MD.score(model, bundle.val.join(ids, "row_id"))
-    return MD.scoring_output(scored, "WillVisit", "1", ("row_id", "user_id", "gmap_id"))
+    return MD.scoring_output(MD.score(model, bundle.val), "WillVisit", "1", keys)
 
 
 def q_continue_boosting(spark, sf_dir):
