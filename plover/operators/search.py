@@ -9,8 +9,6 @@ comes from ``xxhash64(seed, trial, parameter)`` mapped to [0, 1).
 from __future__ import annotations
 
 import math
-from typing import Sequence
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 

@@ -6,20 +6,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import CandidateSpec, default_dataset_spec
-from ..operators import metrics as M
-from ..operators.preprocess import ImputeScaler
-from ..operators import splits as SP
+from ..config import CandidateSpec, default_dataset_spec, default_gate_spec
 from ..functions.lists import expand_list, parse_list
+from ..operators import gates as G
+from ..operators import metrics as M
+from ..operators import registry as R
 from ..operators import schema as S
+from ..operators import splits as SP
 from ..operators.features import assemble_bundle, prepare_frame
+from ..operators.preprocess import ImputeScaler
 from ..session import apply_runtime_defaults
-from . import oracle_sql as O
-from ..config import default_gate_spec
-from ..operators import gates as G
-from ..operators import registry as R
 from ..sources import readers as RD
 from ..sources import sinks as SK
+from . import oracle_sql as O
 from .runs import derived_model_versions, derived_runs, scored_events
 from .tables import lake, table
 
