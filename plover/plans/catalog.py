@@ -306,15 +306,15 @@ def q_split_write_roundtrip(spark, sf_dir):
 
 
 def q_latest_file(spark, sf_dir):
-    """Three writes of ``orders`` (by status) into one prefix; the newest file
-    under it (recursive listing) is read back."""
+    """Three writes of ``orders`` (by status) into one prefix; the newest
+    drop under it (recursive listing) is read back."""
     apply_runtime_defaults(spark)
     o = table(spark, sf_dir, "orders")
     base = SK.scratch_path(spark, "orders-drops")
     for status in ("F", "O", "P"):
         o.filter(F.col("o_orderstatus") == status).write.mode("overwrite").parquet(f"{base}/drop_{status}")
-    newest = RD.resolve_latest_file(spark, base, recursive=True)
-    return spark.read.parquet(newest)
+    # The newest write (all of its part-files), not one arbitrary part-file.
+    return RD.read_latest_drop(spark, base, recursive=True)
 
 
 def q_leaderboard_markdown(spark, sf_dir):
@@ -396,6 +396,118 @@ def q_lineitem_ranking(spark, sf_dir):
     return rounded(M.ranking_metrics(scored, "y", "score"))
 
 
+def q_reference_sample(spark, sf_dir):
+    """Reference statistics with the seeded value sample (at most 500 values
+    per feature, hash order on the row key): sample size and range check."""
+    apply_runtime_defaults(spark)
+    li = table(spark, sf_dir, "lineitem")
+    st = M.reference_stats(li, O.REF_FEATURES, key_cols=["l_orderkey", "l_linenumber"])
+    vals = F.col("values")
+    return st.select("feature", "count", F.size(vals).cast("long").alias("sample_size"),
+                     ((F.array_min(vals) >= F.col("min")) & (F.array_max(vals) <= F.col("max")))
+                     .alias("sample_in_range"))
+
+
+WEEK_MS = 7 * 86_400_000
+WEEK0_MS = 1704067200000  # 2024-01-01T00:00:00Z
+
+
+def checkpoint_reports(spark, sf_dir) -> DataFrame:
+    """Report rows derived from the events: one per (segment, week) with the
+    validation log loss of that week's scores (trial = segment, iteration =
+    week)."""
+    s = scored_events(spark, sf_dir)
+    week = F.floor((F.unix_millis(F.col("ts").cast("timestamp")) - F.lit(WEEK0_MS)) / F.lit(WEEK_MS))
+    s = s.withColumn("iteration", week.cast("int"))
+    ll = M.logloss(s, "y", "score", ["event_type", "iteration"])
+    return ll.select(F.col("event_type").alias("trial_id"), "iteration",
+                     F.create_map(F.lit("validation_logloss"), F.col("logloss")).alias("metrics"))
+
+
+def q_top2_checkpoints(spark, sf_dir):
+    """The two best checkpoints by minimum validation log loss (top-k report)."""
+    apply_runtime_defaults(spark)
+    from ..operators.search import top_checkpoints
+    best = top_checkpoints(checkpoint_reports(spark, sf_dir), 2, "validation_logloss", "min")
+    return best.select("trial_id", "iteration",
+                       F.round(F.col("metrics")["validation_logloss"], 10).alias("validation_logloss"))
+
+
+def q_run_records_flat(spark, sf_dir):
+    """Run records as a nested record, flattened to dotted columns."""
+    apply_runtime_defaults(spark)
+    runs = derived_runs(spark, sf_dir)
+    t, p, m = F.col("tags"), F.col("params"), F.col("metrics")
+    nested = runs.select(
+        "run_id",
+        F.struct(t["candidate_name"].alias("name"), t["candidate_kind"].alias("kind"),
+                 F.struct(p["candidate.params.max_depth"].alias("max_depth"),
+                          p["candidate.params.learning_rate"].alias("learning_rate"),
+                          p["candidate.params.strategy"].alias("strategy")).alias("params"))
+        .alias("candidate"),
+        F.struct(F.round(m["f1"], 10).alias("f1"), F.round(m["roc_auc"], 10).alias("roc_auc"))
+        .alias("metrics"))
+    return S.flatten_struct_columns(nested)
+
+
+def _metric_map(prefix: str = "") -> F.Column:
+    names = ["accuracy", "precision", "recall", "f1", "roc_auc", "average_precision"]
+    return F.create_map(*[x for n in names for x in (F.lit(n), F.col(prefix + n))])
+
+
+def q_retrain_metric_prefixes(spark, sf_dir):
+    """Retrain metrics per segment: ``old.*`` (coarse score), ``new.*`` (fine
+    score, NaN metrics removed) and ``delta.primary_metric``, one row per key."""
+    apply_runtime_defaults(spark)
+    s = scored_events(spark, sf_dir).withColumn("pred_fine", (F.col("fine_score") >= 0.5).cast("int"))
+    old = M.binary_metrics(s, "y", "pred", "score", ["event_type"])
+    new = M.binary_metrics(s, "y", "pred_fine", "fine_score", ["event_type"])
+    new = new.select("event_type", *[F.col(c).alias("n_" + c) for c in new.columns if c != "event_type"])
+    j = old.join(new, "event_type")
+    merged = j.select("event_type", G.prefixed_metrics(_metric_map(), _metric_map("n_"),
+                                                       F.col("n_roc_auc") - F.col("roc_auc")).alias("m"))
+    return merged.select("event_type", F.explode("m").alias("key", "value")) \
+        .select("event_type", "key", F.round("value", 10).alias("value"))
+
+
+def q_dated_export(spark, sf_dir):
+    """Export of the eval split (flag split, run-date/snapshot columns
+    dropped) as a dated copy; read back with the date folder as a column."""
+    apply_runtime_defaults(spark)
+    fs = SP.split_by_flag(lake(spark, sf_dir), default_dataset_spec())
+    export = S.drop_if_present(fs.eval, ["pipeline_run_date", "snapshot_id"])
+    base = SK.scratch_path(spark, "training-sets")
+    SK.write_dated_copy(export.select("row_id", "location_id", "will_visit"), base, "2024-01-28")
+    back = spark.read.parquet(base)
+    return back.select("row_id", "location_id", "will_visit", F.col("run_date").cast("string").alias("run_date"))
+
+
+DECISION_SCHEMA = "candidate_name string, gate_tag string, registered boolean, failures_text string"
+
+
+def q_decision_sidecar(spark, sf_dir):
+    """Gate decisions appended as JSON sidecar records and read back."""
+    apply_runtime_defaults(spark)
+    d = G.gate_decisions(derived_runs(spark, sf_dir), default_gate_spec())
+    out = d.select(F.col("tags")["candidate_name"].alias("candidate_name"), "gate_tag", "registered",
+                   F.concat_ws("; ", "failures").alias("failures_text"))
+    path = SK.append_json(out, SK.scratch_path(spark, "decisions"))
+    return spark.read.schema(DECISION_SCHEMA).json(path)
+
+
+def q_latest_metadata(spark, sf_dir):
+    """Per-status summary documents under ``transformed/``; the greatest key
+    is the latest metadata document, read as one multi-line JSON document."""
+    apply_runtime_defaults(spark)
+    o = table(spark, sf_dir, "orders")
+    summary = o.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("orders"),
+                                             F.round(F.sum("o_totalprice"), 4).alias("total_price"))
+    base = SK.scratch_path(spark, "pipeline")
+    summary.withColumn("status", F.col("o_orderstatus")).write.partitionBy("o_orderstatus") \
+        .json(f"{base}/transformed")
+    return RD.read_latest_metadata(spark, f"{base}/transformed").select("status", "orders", "total_price")
+
+
 # The reference's tuning search space (types and bounds).
 SEARCH_SPACE = {
     "max_depth": {"type": "choice", "values": [4, 6, 8, 10]},
@@ -471,6 +583,13 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip": q_csv_roundtrip,
     "split_write_roundtrip": q_split_write_roundtrip,
     "latest_file": q_latest_file,
+    "reference_sample": q_reference_sample,
+    "top2_checkpoints": q_top2_checkpoints,
+    "run_records_flat": q_run_records_flat,
+    "retrain_metric_prefixes": q_retrain_metric_prefixes,
+    "dated_export": q_dated_export,
+    "decision_sidecar": q_decision_sidecar,
+    "latest_metadata": q_latest_metadata,
     "leaderboard_markdown": q_leaderboard_markdown,
     "lineitem_ranking": q_lineitem_ranking,
     "train_candidates": q_train_candidates,
@@ -516,5 +635,13 @@ ORACLES: dict[str, str] = {
     "csv_roundtrip": O.csv_roundtrip_sql(),
     "split_write_roundtrip": O.split_write_roundtrip_sql(),
     "leaderboard_markdown": O.leaderboard_markdown_sql(),
+    "latest_file": O.latest_file_sql(),
+    "reference_sample": O.reference_sample_sql(),
+    "top2_checkpoints": O.top2_checkpoints_sql(),
+    "run_records_flat": O.run_records_flat_sql(),
+    "retrain_metric_prefixes": O.retrain_metric_prefixes_sql(),
+    "dated_export": O.dated_export_sql(),
+    "decision_sidecar": O.decision_sidecar_sql(),
+    "latest_metadata": O.latest_metadata_sql(),
     "lineitem_ranking": O.lineitem_ranking_sql(),
 }

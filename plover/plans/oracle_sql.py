@@ -141,17 +141,18 @@ SCORED_EVENTS = """SELECT event_id, event_type, CASE WHEN value > 40 THEN 1 ELSE
 FROM events"""
 
 
-def _ranking_cte(source: str, group: str | None, score: str, name: str = "rank_m") -> str:
+def _ranking_cte(source: str, group: str | None, score: str, name: str = "rank_m", digits: int | None = 10) -> str:
     g = f"{group} AS g" if group else "1 AS g"
+    r0, r1 = ("round(", f", {digits})") if digits is not None else ("(", ")")
     return f"""{name}_ps AS (SELECT g, s, CAST(count(*) AS DOUBLE) AS k, CAST(sum(y) AS DOUBLE) AS p
   FROM (SELECT {g}, {score} AS s, y FROM ({source})) GROUP BY g, s),
 {name}_cum AS (SELECT *, sum(p) OVER w AS cp, sum(k) OVER w AS ck, sum(p) OVER (PARTITION BY g) AS tp,
   sum(k) OVER (PARTITION BY g) AS tk FROM {name}_ps
   WINDOW w AS (PARTITION BY g ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
 {name} AS (SELECT g, CASE WHEN any_value(tp) = 0 OR any_value(tk) - any_value(tp) = 0 THEN 'nan'::DOUBLE
-   ELSE round(sum((k - p) * (cp - p + p / 2.0)) / (any_value(tp) * (any_value(tk) - any_value(tp))), 10) END AS roc_auc,
+   ELSE {r0}sum((k - p) * (cp - p + p / 2.0)) / (any_value(tp) * (any_value(tk) - any_value(tp))){r1} END AS roc_auc,
   CASE WHEN any_value(tp) = 0 OR any_value(tk) - any_value(tp) = 0 THEN 'nan'::DOUBLE
-   ELSE round(sum(p * (cp / ck)) / any_value(tp), 10) END AS average_precision
+   ELSE {r0}sum(p * (cp / ck)) / any_value(tp){r1} END AS average_precision
  FROM {name}_cum GROUP BY g)"""
 
 
@@ -447,3 +448,77 @@ LINEITEM_SCORED = """SELECT CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS y,
 
 def lineitem_ranking_sql() -> str:
     return f"WITH {_ranking_cte(LINEITEM_SCORED, None, 'score')} SELECT roc_auc, average_precision FROM rank_m"
+
+
+def latest_file_sql() -> str:
+    """The newest of three drops (F, O, then P orders) is the P drop."""
+    return "SELECT * FROM orders WHERE o_orderstatus = 'P'"
+
+
+def reference_sample_sql() -> str:
+    parts = " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, CAST({f} AS DOUBLE) AS value FROM lineitem" for f in REF_FEATURES)
+    return f"""SELECT feature, CAST(count(*) AS BIGINT) AS count, CAST(least(count(*), 500) AS BIGINT) AS sample_size,
+ true AS sample_in_range
+FROM ({parts}) WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY feature"""
+
+
+def top2_checkpoints_sql() -> str:
+    clip = "least(greatest(score, 1e-15), 1 - 1e-15)"
+    return f"""WITH s AS (SELECT event_type, y, score,
+  CAST(floor((epoch_us(ts) // 1000 - 1704067200000) / 604800000) AS INT) AS iteration FROM ({SCORED_TS})),
+ll AS (SELECT event_type AS trial_id, iteration, -avg(y * ln({clip}) + (1 - y) * ln(1 - {clip})) AS l
+ FROM s GROUP BY 1, 2)
+SELECT trial_id, iteration, round(l, 10) AS validation_logloss FROM ll
+WHERE l IS NOT NULL AND NOT isnan(l) ORDER BY l, trial_id, iteration LIMIT 2"""
+
+
+def run_records_flat_sql() -> str:
+    return f"""WITH {runs_cte()}
+SELECT run_id, candidate_name AS "candidate.name", candidate_kind AS "candidate.kind",
+ p_max_depth AS "candidate.params.max_depth", p_learning_rate AS "candidate.params.learning_rate",
+ p_strategy AS "candidate.params.strategy", round(f1, 10) AS "metrics.f1", round(roc_auc, 10) AS "metrics.roc_auc"
+FROM runs"""
+
+
+METRIC_NAMES = ["accuracy", "precision", "recall", "f1", "roc_auc", "average_precision"]
+
+
+def _metric_cols(c: str = "c", r: str = "r") -> str:
+    return f"""CASE WHEN {c}.n = 0 THEN 0.0 ELSE {c}.ok / {c}.n END AS accuracy,
+  CASE WHEN {c}.tp + {c}.fp = 0 THEN 0.0 ELSE {c}.tp / ({c}.tp + {c}.fp) END AS precision,
+  CASE WHEN {c}.tp + {c}.fn = 0 THEN 0.0 ELSE {c}.tp / ({c}.tp + {c}.fn) END AS recall,
+  CASE WHEN 2 * {c}.tp + {c}.fp + {c}.fn = 0 THEN 0.0 ELSE 2 * {c}.tp / (2 * {c}.tp + {c}.fp + {c}.fn) END AS f1,
+  {r}.roc_auc, {r}.average_precision"""
+
+
+def retrain_metric_prefixes_sql() -> str:
+    new_src = f"""SELECT event_id, event_type, ts, y, fine_score,
+ CASE WHEN fine_score >= 0.5 THEN 1 ELSE 0 END AS pred FROM ({SCORED_TS})"""
+    kv = []
+    for side in ("old", "new"):
+        kv += [f"SELECT g, '{side}.{m}' AS key, {m} AS value FROM {side}_m" for m in METRIC_NAMES]
+    kv.append("SELECT o.g, 'delta.primary_metric', n.roc_auc - o.roc_auc FROM old_m o JOIN new_m n ON o.g = n.g")
+    return f"""WITH {_ranking_cte(SCORED_TS, 'event_type', 'score', 'o_r', digits=None)},
+{_conf_cte(SCORED_TS, 'event_type', 'o_c')},
+{_ranking_cte(new_src, 'event_type', 'fine_score', 'n_r', digits=None)},
+{_conf_cte(new_src, 'event_type', 'n_c')},
+old_m AS (SELECT c.g, {_metric_cols()} FROM o_c c JOIN o_r r ON c.g = r.g),
+new_m AS (SELECT c.g, {_metric_cols()} FROM n_c c JOIN n_r r ON c.g = r.g),
+kv AS ({' UNION ALL '.join(kv)})
+SELECT g AS event_type, key, round(value, 10) AS value FROM kv
+WHERE NOT ((key LIKE 'old.%' OR key LIKE 'new.%') AND isnan(value))"""
+
+
+def dated_export_sql() -> str:
+    return f"""WITH {LAKE_CTE}
+SELECT row_id, location_id, will_visit, '2024-01-28' AS run_date FROM lake WHERE split = 'eval'"""
+
+
+def decision_sidecar_sql() -> str:
+    return f"SELECT candidate_name, gate_tag, registered, failures_text FROM ({quality_gates_sql()})"
+
+
+def latest_metadata_sql() -> str:
+    return """SELECT o_orderstatus AS status, CAST(count(*) AS BIGINT) AS orders, round(sum(o_totalprice), 4) AS total_price
+FROM orders WHERE o_orderstatus = (SELECT max(o_orderstatus) FROM orders) GROUP BY 1"""

@@ -4,6 +4,7 @@ chains and dataset builders. Listing uses Spark's file index (the
 file contents are never read)."""
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -85,6 +86,28 @@ def resolve_latest_file(spark: SparkSession, source: str, recursive: bool = Fals
     return top[0]["path"]
 
 
+# Spark names the files of one write ``part-<task>-<write id>...``; the write
+# id is a UUID shared by every file the job produced.
+_WRITE_ID = re.compile(r"part-\d+-([0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12})")
+
+
+def read_latest_drop(spark: SparkSession, source: str, recursive: bool = False,
+                     pattern: str = "*.parquet") -> DataFrame:
+    """Read the newest file under ``source`` (``resolve_latest_file``), widened
+    to the whole write it belongs to. A single-file drop reads just that file;
+    a Spark-written drop is many part-files (some possibly empty) whose newest
+    member is arbitrary, so every file carrying the newest file's write id is
+    read - by a glob on the listing, never a path list through the driver."""
+    newest = resolve_latest_file(spark, source, recursive, pattern)
+    m = _WRITE_ID.search(newest.rsplit("/", 1)[-1])
+    if m is None or newest == source:
+        return spark.read.parquet(newest)
+    ext = pattern.lstrip("*")
+    root = source if recursive else newest.rsplit("/", 1)[0]
+    return (spark.read.option("recursiveFileLookup", str(recursive).lower())
+            .option("pathGlobFilter", f"*{m.group(1)}*{ext}").parquet(root))
+
+
 def resolve_greatest_key(spark: SparkSession, prefix: str, pattern: str = "*.parquet") -> str:
     """The lexicographically greatest file path under a prefix (recursive)."""
     files = list_files(spark, prefix, pattern, recursive=True)
@@ -116,7 +139,7 @@ def load_with_fallback(spark: SparkSession, table_name: str | None, prefix: str
     if df is None:
         if not prefix:
             raise SourceError("No table data and no parquet prefix given")
-        df = spark.read.parquet(resolve_latest_file(spark, prefix, recursive=True))
+        df = read_latest_drop(spark, prefix, recursive=True)
     if df.isEmpty():
         raise SourceError("Dataset is empty")
     return df

@@ -35,6 +35,22 @@ def test_latest_file_and_greatest_key(spark, scratch):
         RD.resolve_latest_file(spark, os.path.join(scratch, "nothing-here"))
 
 
+def test_latest_drop_reads_the_whole_newest_write(spark, scratch):
+    d = os.path.join(scratch, "drops")
+    spark.range(0, 40, numPartitions=4).write.parquet(os.path.join(d, "first"))
+    time.sleep(0.05)
+    # Eight tasks for three rows: the write also leaves empty part-files.
+    spark.range(100, 103, numPartitions=8).write.parquet(os.path.join(d, "second"))
+    got = sorted(r["id"] for r in RD.read_latest_drop(spark, d, recursive=True).collect())
+    assert got == [100, 101, 102]
+    # A single non-Spark file is read as is.
+    single = os.path.join(scratch, "one.parquet")
+    spark.range(7, 8).coalesce(1).write.parquet(os.path.join(scratch, "tmp1"))
+    part = [f for f in os.listdir(os.path.join(scratch, "tmp1")) if f.endswith(".parquet")][0]
+    os.rename(os.path.join(scratch, "tmp1", part), single)
+    assert [r["id"] for r in RD.read_latest_drop(spark, single).collect()] == [7]
+
+
 def test_choose_source():
     assert RD.choose_source(parquet="x").kind == "parquet"
     assert RD.choose_source(train_csv="a", val_csv="b").kind == "csv"
@@ -46,9 +62,7 @@ def test_choose_source():
 def test_fallback_chain(spark, scratch):
     assert RD.read_table_or_none(spark, "no_such_db.no_such_table") is None
     d = os.path.join(scratch, "lake")
-    # One part-file: a multi-task write also leaves an empty schema file whose
-    # mtime may be the newest, and the newest file is what the chain reads.
-    spark.createDataFrame([(1,)], "v int").coalesce(1).write.parquet(os.path.join(d, "x"))
+    spark.createDataFrame([(1,)], "v int").write.parquet(os.path.join(d, "x"))
     assert RD.load_with_fallback(spark, "no_such_table", d).count() == 1
     with pytest.raises(RD.SourceError):
         RD.load_with_fallback(spark, None, None)
