@@ -65,6 +65,10 @@ def test_reference_stats_sample(spark):
     assert abs(st["mean"] - mean) < 1e-9 and abs(st["std"] - std) < 1e-9
     again = M.reference_stats(df.repartition(3), ["x"], key_cols=["k"]).first()
     assert again["values"] == st["values"]
+    # Brute force on the small fixture: one global sort by (seeded hash, value).
+    brute = df.filter(F.col("x").isNotNull()).select(F.xxhash64(F.lit(42), "k").alias("h"), "x") \
+        .orderBy("h", "x").limit(500).collect()
+    assert st["values"] == [r["x"] for r in brute]
 
 
 def test_medians_and_scaling(spark):
