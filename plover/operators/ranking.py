@@ -19,6 +19,7 @@ tuple. Callers pre-aggregate ties (e.g. one row per distinct score) first.
 """
 from __future__ import annotations
 
+from contextlib import contextmanager
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -108,6 +109,21 @@ def running_totals(df: DataFrame, order_by: Sequence[str], weights: Sequence[str
     return joined.select(*out_cols)
 
 
+@contextmanager
+def narrow_pass(df: DataFrame, columns: Sequence[str]):
+    """The few columns a multi-pass boundary search reads (counts, range
+    bounds, running totals), persisted for the duration of the search, so
+    the upstream plan runs once instead of once per pass. A lost block is
+    recomputed from the (deterministic) lineage; the final labelling reads
+    the source itself, so the copy is released as soon as the boundaries
+    are known."""
+    narrow = df.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield narrow
+    finally:
+        narrow.unpersist()
+
+
 def release_cached() -> None:
     """Unpersist the range-partitioned inputs of earlier running totals."""
     while _LIVE:

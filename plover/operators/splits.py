@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..config import DatasetSpec
 from ..functions.exprs import seeded_hash, tuple_lt
-from .ranking import collect_bounded, kth_thresholds
+from .ranking import collect_bounded, kth_thresholds, narrow_pass
 from .schema import SchemaError
 
 SPLIT = "split"
@@ -128,15 +128,16 @@ def time_split(df: DataFrame, cutoff: str, test_pct: float = 0.0, time_col: str
     pre = t < cut
     if test_pct <= 0:
         return base.withColumn(SPLIT, F.when(pre, F.lit("train")).otherwise(F.lit("val")))
-    counts = base.agg(F.sum(F.when(pre, 1).otherwise(0)).alias("pre"),
-                      F.sum(F.when(pre, 0).otherwise(1)).alias("post")).first()
-    n_pre, n_post = int(counts["pre"] or 0), int(counts["post"] or 0)
-    n_test = min(int(round(test_pct * (n_pre + n_post))), n_post)
     order = [time_col, *key_cols]
-    if n_test <= 0:
-        return base.withColumn(SPLIT, F.when(pre, F.lit("train")).otherwise(F.lit("val")))
-    k = n_post - n_test
-    bounds = kth_thresholds(base.filter(~pre), order, {(): [k]})
+    with narrow_pass(base, order) as narrow:
+        counts = narrow.agg(F.sum(F.when(pre, 1).otherwise(0)).alias("pre"),
+                            F.sum(F.when(pre, 0).otherwise(1)).alias("post")).first()
+        n_pre, n_post = int(counts["pre"] or 0), int(counts["post"] or 0)
+        n_test = min(int(round(test_pct * (n_pre + n_post))), n_post)
+        if n_test <= 0:
+            return base.withColumn(SPLIT, F.when(pre, F.lit("train")).otherwise(F.lit("val")))
+        k = n_post - n_test
+        bounds = kth_thresholds(narrow.filter(~pre), order, {(): [k]})
     tail = bounds[((), k)]
     label = (F.when(pre, F.lit("train"))
              .when(tuple_lt(order, tail), F.lit("val"))
@@ -160,14 +161,15 @@ def percent_split(df: DataFrame, train_pct: float, test_pct: float, target: str,
     validate_fractions(train_pct, test_pct)
     base = df.filter(F.col(target).isNotNull()).withColumn(HASH_COL, seeded_hash(seed, *key_cols))
     order = [HASH_COL, *key_cols]
-    counts = _class_counts(base, [target])
-    want, plan = {}, {}
-    for g, n in counts.items():
-        n_train, n_val, n_test = stratified_quotas(n, train_pct, test_pct)
-        cuts = [n_train, n_train + n_val]
-        plan[g] = cuts
-        want[g] = [c for c in cuts if c < n]
-    found = kth_thresholds(base, order, want, [target])
+    with narrow_pass(base, [target, *order]) as narrow:
+        counts = _class_counts(narrow, [target])
+        want, plan = {}, {}
+        for g, n in counts.items():
+            n_train, n_val, n_test = stratified_quotas(n, train_pct, test_pct)
+            cuts = [n_train, n_train + n_val]
+            plan[g] = cuts
+            want[g] = [c for c in cuts if c < n]
+        found = kth_thresholds(narrow, order, want, [target])
     bounds = {g: [found.get((g, c)) if c < counts[g] else None for c in cuts]
               for g, cuts in plan.items()}
     # A boundary at position >= n means "everything is below it".
@@ -205,10 +207,11 @@ def sequential_split(df: DataFrame, train_pct: float, test_pct: float,
     unique key (tables have no file order)."""
     validate_fractions(train_pct, test_pct)
     order = list(order_cols)
-    n = df.count()
-    n_train, n_val, n_test = stratified_quotas(n, train_pct, test_pct)
-    cuts = [n_train, n_train + n_val]
-    found = kth_thresholds(df, order, {(): [c for c in cuts if c < n]})
+    with narrow_pass(df, order) as narrow:
+        n = narrow.count()
+        n_train, n_val, n_test = stratified_quotas(n, train_pct, test_pct)
+        cuts = [n_train, n_train + n_val]
+        found = kth_thresholds(narrow, order, {(): [c for c in cuts if c < n]})
     bounds = {(): [found.get(((), c)) for c in cuts]}
     expr = _assign_with_full(order, bounds, {(): cuts}, {(): n}, [], ["train", "val", "test"])
     return df.withColumn(SPLIT, expr)
@@ -231,31 +234,33 @@ def stratified_downsample(df: DataFrame, target: str, max_rows: int, key_cols: S
     (``caps``; values without a cap pass through unchanged)."""
     groups = [by] if by else []
     cap_of = (lambda v: caps.get(v)) if by else (lambda v: max_rows)
-    # One aggregate gives both the frame sizes (NULL targets included) and
-    # the per-class sizes.
-    all_counts = _class_counts(df, groups + [target])
-    frame_n: dict = {}
-    for gk, n in all_counts.items():
-        frame_n[gk[:-1]] = frame_n.get(gk[:-1], 0) + n
-    capped = {g for g, n in frame_n.items() if cap_of(g[0] if g else None) is not None
-              and n > cap_of(g[0] if g else None)}
-    if not capped:
-        return df
     h = seeded_hash(seed, *key_cols)
     base = df.withColumn(HASH_COL, h)
     order = [HASH_COL, *key_cols]
-    cls = {gk: n for gk, n in all_counts.items() if gk[-1] is not None}
-    plan, want = {}, {}
-    for gk, n_c in cls.items():
-        frame = gk[:-1]
-        if frame not in capped:
-            continue
-        cap = cap_of(frame[0] if frame else None)
-        q = downsample_quota(cap, n_c, frame_n[frame])
-        plan[gk] = q
-        if q < n_c:
-            want[gk] = [q]
-    found = kth_thresholds(base.filter(F.col(target).isNotNull()), order, want, groups + [target])
+    narrow_cols = list(dict.fromkeys([*groups, target, *order]))
+    with narrow_pass(base, narrow_cols) as narrow:
+        # One aggregate gives both the frame sizes (NULL targets included)
+        # and the per-class sizes.
+        all_counts = _class_counts(narrow, groups + [target])
+        frame_n: dict = {}
+        for gk, n in all_counts.items():
+            frame_n[gk[:-1]] = frame_n.get(gk[:-1], 0) + n
+        capped = {g for g, n in frame_n.items() if cap_of(g[0] if g else None) is not None
+                  and n > cap_of(g[0] if g else None)}
+        if not capped:
+            return df
+        cls = {gk: n for gk, n in all_counts.items() if gk[-1] is not None}
+        plan, want = {}, {}
+        for gk, n_c in cls.items():
+            frame = gk[:-1]
+            if frame not in capped:
+                continue
+            cap = cap_of(frame[0] if frame else None)
+            q = downsample_quota(cap, n_c, frame_n[frame])
+            plan[gk] = q
+            if q < n_c:
+                want[gk] = [q]
+        found = kth_thresholds(narrow.filter(F.col(target).isNotNull()), order, want, groups + [target])
     keep = None
     for gk, q in plan.items():
         cond = F.lit(True)

@@ -10,15 +10,27 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return spread(spark.read.parquet(path), key=path)
 
 
-def spread(df: DataFrame) -> DataFrame:
+# Scan partition counts per path: planning a scan to count its splits costs a
+# file listing, and the registered queries read the same tables repeatedly.
+_SCAN_PARTS: dict = {}
+
+
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     """Scans of few large files give fewer tasks than cores (a single-row-group
     file is one task). Only then add a round-robin repartition to the
     cluster's parallelism; scans that are already split are left alone."""
     target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    if key is None or key not in _SCAN_PARTS:
+        n = df.rdd.getNumPartitions()
+        if key is not None:
+            _SCAN_PARTS[key] = n
+    else:
+        n = _SCAN_PARTS[key]
+    if n < target:
         return df.repartition(target)
     return df
 
