@@ -370,8 +370,13 @@ def q_continue_boosting(spark, sf_dir):
     from ..operators import models as MD
     spec = default_dataset_spec()
     fs = SP.split_by_flag(lake(spark, sf_dir), spec)
-    latest = SP.scope_train(fs.train, "latest_run_only")
-    older = fs.train.join(latest.select("row_id"), "row_id", "left_anti")
+    # The latest run date once (one aggregate row); the older runs are its
+    # complement as a map-only filter (NULL dates are in no run), not an
+    # anti-join that shuffles the train rows.
+    last = SP.run_date_of(fs.train)
+    d = F.col("pipeline_run_date")
+    latest = fs.train.filter(d == F.lit(last))
+    older = fs.train.filter(d.isNull() | (d != F.lit(last)))
     old_b = assemble_bundle(older, fs.eval, spec, ["row_id"])
     plan = MD.build_estimator("xgboost", {"learning_rate": 0.3, "max_depth": 4, "n_estimators": 10},
                               "will_visit")
