@@ -426,6 +426,7 @@ def checkpoint_reports(spark, sf_dir) -> DataFrame:
     s = s.withColumn("iteration", week.cast("int"))
     ll = M.logloss(s, "y", "score", ["event_type", "iteration"])
     return ll.select(F.col("event_type").alias("trial_id"), "iteration",
+                     F.create_map(F.lit("segment"), F.col("event_type")).alias("params"),
                      F.create_map(F.lit("validation_logloss"), F.col("logloss")).alias("metrics"))
 
 
@@ -438,6 +439,27 @@ def q_top2_checkpoints(spark, sf_dir):
                        F.round(F.col("metrics")["validation_logloss"], 10).alias("validation_logloss"))
 
 
+def q_best_checkpoint_trial(spark, sf_dir):
+    """Best trial by the log loss of its last report (mode min), summarised
+    with finite metrics only."""
+    apply_runtime_defaults(spark)
+    from ..operators.search import best_summary, best_trial
+    best = best_summary(best_trial(checkpoint_reports(spark, sf_dir), "validation_logloss", "min"))
+    return best.select("trial_id", "iteration",
+                       F.round(F.col("metrics")["validation_logloss"], 10).alias("validation_logloss"))
+
+
+HALVING_RUNG = 2
+
+
+def q_halving_survivors(spark, sf_dir):
+    """Successive-halving rung: trials kept at week ``HALVING_RUNG`` (best
+    half by log loss, ties by trial id)."""
+    apply_runtime_defaults(spark)
+    from ..operators.search import survivors
+    return survivors(checkpoint_reports(spark, sf_dir), HALVING_RUNG, "validation_logloss", "min", 2)
+
+
 def q_run_records_flat(spark, sf_dir):
     """Run records as a nested record, flattened to dotted columns."""
     apply_runtime_defaults(spark)
@@ -590,6 +612,8 @@ QUERIES: dict[str, Query] = {
     "latest_file": q_latest_file,
     "reference_sample": q_reference_sample,
     "top2_checkpoints": q_top2_checkpoints,
+    "best_checkpoint_trial": q_best_checkpoint_trial,
+    "halving_survivors": q_halving_survivors,
     "run_records_flat": q_run_records_flat,
     "retrain_metric_prefixes": q_retrain_metric_prefixes,
     "dated_export": q_dated_export,
@@ -643,6 +667,8 @@ ORACLES: dict[str, str] = {
     "latest_file": O.latest_file_sql(),
     "reference_sample": O.reference_sample_sql(),
     "top2_checkpoints": O.top2_checkpoints_sql(),
+    "best_checkpoint_trial": O.best_checkpoint_trial_sql(),
+    "halving_survivors": O.halving_survivors_sql(HALVING_RUNG),
     "run_records_flat": O.run_records_flat_sql(),
     "retrain_metric_prefixes": O.retrain_metric_prefixes_sql(),
     "dated_export": O.dated_export_sql(),

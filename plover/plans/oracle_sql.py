@@ -463,16 +463,35 @@ def reference_sample_sql() -> str:
 FROM ({parts}) WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY feature"""
 
 
-def top2_checkpoints_sql() -> str:
+def _checkpoint_ll_cte() -> str:
+    """Validation log loss per (segment, week since 2024-01-01)."""
     clip = "least(greatest(score, 1e-15), 1 - 1e-15)"
-    return f"""WITH s AS (SELECT event_type, y, score,
+    return f"""s AS (SELECT event_type, y, score,
   CAST(floor((epoch_us(ts) // 1000 - 1704067200000) / 604800000) AS INT) AS iteration FROM ({SCORED_TS})),
 ll AS (SELECT event_type AS trial_id, iteration, -avg(y * ln({clip}) + (1 - y) * ln(1 - {clip})) AS l
- FROM s GROUP BY 1, 2)
+ FROM s GROUP BY 1, 2)"""
+
+
+def top2_checkpoints_sql() -> str:
+    return f"""WITH {_checkpoint_ll_cte()}
 SELECT trial_id, iteration, round(l, 10) AS validation_logloss FROM ll
 WHERE l IS NOT NULL AND NOT isnan(l) ORDER BY l, trial_id, iteration LIMIT 2"""
 
 
+def best_checkpoint_trial_sql() -> str:
+    return f"""WITH {_checkpoint_ll_cte()},
+last AS (SELECT trial_id, max(iteration) AS iteration, arg_max(l, iteration) AS l FROM ll GROUP BY trial_id)
+SELECT trial_id, iteration, round(l, 10) AS validation_logloss FROM last
+WHERE l IS NOT NULL AND NOT isnan(l) ORDER BY l LIMIT 1"""
+
+
+def halving_survivors_sql(rung: int) -> str:
+    return f"""WITH {_checkpoint_ll_cte()},
+rung AS (SELECT trial_id, row_number() OVER (ORDER BY l ASC NULLS LAST, trial_id) AS r, count(*) OVER () AS n
+ FROM ll WHERE iteration = {rung})
+SELECT trial_id FROM rung WHERE r <= greatest(1, floor(n / 2))"""
+
+
 def run_records_flat_sql() -> str:
     return f"""WITH {runs_cte()}
 SELECT run_id, candidate_name AS "candidate.name", candidate_kind AS "candidate.kind",

@@ -9,7 +9,8 @@ import __spark_entry__ as E
 from plover.plans.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
-CHECKED = ["latest_file", "reference_sample", "top2_checkpoints", "run_records_flat",
+CHECKED = ["latest_file", "reference_sample", "top2_checkpoints", "best_checkpoint_trial",
+           "halving_survivors", "run_records_flat",
            "retrain_metric_prefixes", "dated_export", "decision_sidecar", "latest_metadata"]
 
 
