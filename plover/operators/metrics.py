@@ -152,10 +152,12 @@ def reference_stats(df: DataFrame, features: Sequence[str], key_cols: Sequence[s
 def sample_values(df: DataFrame, features: list[str], counts: dict, key_cols: Sequence[str],
                   sample_size: int, seed: int) -> DataFrame:
     from pyspark.sql import Window
-    keys = list(key_cols) or [F.monotonically_increasing_id()]
+    # Without a row key the row's own values are hashed: identical rows are
+    # interchangeable in a value sample, and unlike a generated id the hash
+    # is the same when a lost partition is recomputed.
+    keys = list(key_cols) or list(features)
     h_base = df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in features],
-                       F.xxhash64(F.lit(seed), *[F.col(k) if isinstance(k, str) else k for k in keys])
-                       .alias("_h"))
+                       F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]).alias("_h"))
     long = h_base.unpivot(["_h"], features, "feature", "value").filter(F.col("value").isNotNull())
     # xxhash64 is uniform on [-2^63, 2^63); keep h < threshold(feature).
     factor = 4.0

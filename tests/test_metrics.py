@@ -71,6 +71,15 @@ def test_reference_stats_sample(spark):
     assert st["values"] == [r["x"] for r in brute]
 
 
+def test_reference_sample_without_key_is_layout_free(spark):
+    rows = [(float(i % 613), float(i % 7)) for i in range(2500)]
+    df = spark.createDataFrame(rows, "x double, z double")
+    a = M.reference_stats(df, ["x", "z"]).orderBy("feature").collect()
+    b = M.reference_stats(df.repartition(5), ["x", "z"]).orderBy("feature").collect()
+    assert [r["values"] for r in a] == [r["values"] for r in b]
+    assert [len(r["values"]) for r in a] == [500, 500]
+
+
 def test_medians_and_scaling(spark):
     rows = [(1.0,), (2.0,), (4.0,), (10.0,), (None,), (float("nan"),)]
     df = spark.createDataFrame(rows, "x double").withColumn("c", F.lit(5.0)) \
