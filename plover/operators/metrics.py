@@ -12,17 +12,29 @@ from __future__ import annotations
 
 from typing import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import nan_to_null
-from .ranking import collect_bounded, running_totals
+from .ranking import _LIVE, collect_bounded, running_totals
 
 
 def _safe_div(num: Column, den: Column) -> Column:
     return F.when(den == 0, F.lit(0.0)).otherwise(num / den)
 
 
+def _confusion_select(agg: DataFrame, group_by: Sequence[str]) -> DataFrame:
+    tp, fp, fn = F.col("_tp"), F.col("_fp"), F.col("_fn")
+    return agg.select(
+        *group_by,
+        _safe_div(F.col("_ok"), F.col("_n")).alias("accuracy"),
+        _safe_div(tp, tp + fp).alias("precision"),
+        _safe_div(tp, tp + fn).alias("recall"),
+        _safe_div(2 * tp, 2 * tp + fp + fn).alias("f1"),
+        F.col("_n").alias("rows"))
+
+
 def confusion_metrics(df: DataFrame, label: str, pred: str, group_by: Sequence[str] = ()) -> DataFrame:
     """accuracy, precision, recall, f1 (zero division -> 0), one pass."""
     y, p = F.col(label), F.col(pred)
@@ -32,23 +44,33 @@ def confusion_metrics(df: DataFrame, label: str, pred: str, group_by: Sequence[s
         F.sum(F.when((y != 1) & (p == 1), 1).otherwise(0)).alias("_fp"),
         F.sum(F.when((y == 1) & (p != 1), 1).otherwise(0)).alias("_fn"),
         F.sum(F.when(y == p, 1).otherwise(0)).alias("_ok"))
-    tp, fp, fn = F.col("_tp"), F.col("_fp"), F.col("_fn")
-    return agg.select(
-        *group_by,
-        _safe_div(F.col("_ok"), F.col("_n")).alias("accuracy"),
-        _safe_div(tp, tp + fp).alias("precision"),
-        _safe_div(tp, tp + fn).alias("recall"),
-        _safe_div(2 * tp, 2 * tp + fp + fn).alias("f1"),
-        F.col("_n").alias("rows"))
+    return _confusion_select(agg, list(group_by))
+
+
+def _score_counts(df: DataFrame, label: str, score: str, group_by: Sequence[str]) -> DataFrame:
+    """One row per (group, score): rows ``_k`` and positives ``_p``."""
+    return df.groupBy(*group_by, F.col(score).alias("_s")).agg(
+        F.count(F.lit(1)).alias("_k"),
+        F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).cast("long").alias("_p"))
+
+
+def _persist_live(df: DataFrame) -> DataFrame:
+    """Persist a pre-aggregate that several jobs of one plan read (range
+    bounds sampling, per-partition totals, the final pass); released with
+    the ranking caches."""
+    out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _LIVE.append(out)
+    return out
 
 
 def ranking_metrics(df: DataFrame, label: str, score: str, group_by: Sequence[str] = ()) -> DataFrame:
     """Exact ROC-AUC (ties count half) and step-wise average precision per
     group; NaN when a group holds only one class."""
     group_by = list(group_by)
-    per_score = df.groupBy(*group_by, F.col(score).alias("_s")).agg(
-        F.count(F.lit(1)).alias("_k"),
-        F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).cast("long").alias("_p"))
+    return _ranking_from_scores(_persist_live(_score_counts(df, label, score, group_by)), group_by)
+
+
+def _ranking_from_scores(per_score: DataFrame, group_by: list) -> DataFrame:
     ranked = running_totals(per_score, ["_s"], weights=["_p", "_k"], group_by=group_by,
                             descending=True, count_col=None)
     p, k = F.col("_p"), F.col("_k")
@@ -72,11 +94,28 @@ def ranking_metrics(df: DataFrame, label: str, score: str, group_by: Sequence[st
 
 def binary_metrics(df: DataFrame, label: str, pred: str, score: str,
                    group_by: Sequence[str] = ()) -> DataFrame:
-    """The metric set of a scored validation frame (E5 + E6 + E7)."""
-    conf = confusion_metrics(df, label, pred, group_by)
-    rank = ranking_metrics(df, label, score, group_by)
+    """The metric set of a scored validation frame (E5 + E6 + E7) from ONE
+    scan: a pre-aggregate per (group, score, prediction) carries rows,
+    positives, non-positives and correct predictions; the confusion metrics
+    and the per-score ranking table are both folded from it."""
+    group_by = list(group_by)
+    y, pr = F.col(label), F.col(pred)
+    counts = _persist_live(df.groupBy(*group_by, F.col(score).alias("_s"), pr.alias("_pr")).agg(
+        F.count(F.lit(1)).alias("_k"),
+        F.sum(F.when(y == 1, 1).otherwise(0)).cast("long").alias("_p"),
+        F.sum(F.when(y != 1, 1).otherwise(0)).cast("long").alias("_q"),
+        F.sum(F.when(y == pr, 1).otherwise(0)).cast("long").alias("_ok")))
+    is_pos = F.col("_pr") == 1
+    conf = _confusion_select(counts.groupBy(*group_by).agg(
+        F.sum("_k").alias("_n"),
+        F.sum(F.when(is_pos, F.col("_p")).otherwise(0)).alias("_tp"),
+        F.sum(F.when(is_pos, F.col("_q")).otherwise(0)).alias("_fp"),
+        F.sum(F.when(F.col("_pr") != 1, F.col("_p")).otherwise(0)).alias("_fn"),
+        F.sum("_ok").alias("_ok")), group_by)
+    per_score = counts.groupBy(*group_by, "_s").agg(F.sum("_k").alias("_k"), F.sum("_p").alias("_p"))
+    rank = _ranking_from_scores(per_score, group_by)
     if group_by:
-        return conf.join(rank, list(group_by), "left")
+        return conf.join(rank, group_by, "left")
     return _one_row_join(conf, rank)
 
 

@@ -94,3 +94,21 @@ def test_medians_and_scaling(spark):
     assert abs(out[0]["x"] - (1.0 - mu) / sd) < 1e-12
     assert all(r["c"] == 0.0 for r in out) and all(r["e"] == 0.0 for r in out)
     assert model.getOrDefault(model.dropped) == ["e"]
+
+
+def test_binary_metrics_one_scan_matches_separate_operators(spark):
+    rnd = random.Random(7)
+    rows = []
+    for i in range(400):
+        y = rnd.choice([0, 1, 1, None, 2]) if i % 9 else None
+        p = rnd.choice([0, 1, None]) if i % 13 else 1
+        rows.append((i % 3, y, p, round(rnd.random(), 1)))
+    df = spark.createDataFrame(rows, "g int, y int, p int, s double")
+    one = {r["g"]: r for r in M.binary_metrics(df, "y", "p", "s", ["g"]).collect()}
+    conf = {r["g"]: r for r in M.confusion_metrics(df, "y", "p", ["g"]).collect()}
+    rank = {r["g"]: r for r in M.ranking_metrics(df, "y", "s", ["g"]).collect()}
+    for g in one:
+        for c in ("accuracy", "precision", "recall", "f1", "rows"):
+            assert one[g][c] == conf[g][c], (g, c)
+        for c in ("roc_auc", "average_precision"):
+            assert abs(one[g][c] - rank[g][c]) < 1e-12, (g, c)
