@@ -460,6 +460,22 @@ def q_halving_survivors(spark, sf_dir):
     return survivors(checkpoint_reports(spark, sf_dir), HALVING_RUNG, "validation_logloss", "min", 2)
 
 
+def q_load_split_counts(spark, sf_dir):
+    """Row and column counts of the load and of each flag split, from one
+    aggregate pass (the counts are opt-in: they cost a job)."""
+    apply_runtime_defaults(spark)
+    spec = default_dataset_spec()
+    lk = lake(spark, sf_dir)
+    fs = SP.split_by_flag(lk, spec)
+    flag = F.col(spec.split_column)
+    counts = lk.agg(F.count(F.lit(1)).alias("load"),
+                    F.count(F.when(flag == spec.split_train_value, 1)).alias("train"),
+                    F.count(F.when(flag == spec.split_eval_value, 1)).alias("eval"))
+    ncols = {"load": len(lk.columns), "train": len(fs.train.columns), "eval": len(fs.eval.columns)}
+    parts = ", ".join(f"'{k}', `{k}`, {v}" for k, v in ncols.items())
+    return counts.selectExpr(f"stack(3, {parts}) AS (part, rows, columns)")
+
+
 def q_run_records_flat(spark, sf_dir):
     """Run records as a nested record, flattened to dotted columns."""
     apply_runtime_defaults(spark)
@@ -615,6 +631,7 @@ QUERIES: dict[str, Query] = {
     "best_checkpoint_trial": q_best_checkpoint_trial,
     "halving_survivors": q_halving_survivors,
     "run_records_flat": q_run_records_flat,
+    "load_split_counts": q_load_split_counts,
     "retrain_metric_prefixes": q_retrain_metric_prefixes,
     "dated_export": q_dated_export,
     "decision_sidecar": q_decision_sidecar,
@@ -670,6 +687,7 @@ ORACLES: dict[str, str] = {
     "best_checkpoint_trial": O.best_checkpoint_trial_sql(),
     "halving_survivors": O.halving_survivors_sql(HALVING_RUNG),
     "run_records_flat": O.run_records_flat_sql(),
+    "load_split_counts": O.load_split_counts_sql(),
     "retrain_metric_prefixes": O.retrain_metric_prefixes_sql(),
     "dated_export": O.dated_export_sql(),
     "decision_sidecar": O.decision_sidecar_sql(),

@@ -541,3 +541,13 @@ def decision_sidecar_sql() -> str:
 def latest_metadata_sql() -> str:
     return """SELECT o_orderstatus AS status, CAST(count(*) AS BIGINT) AS orders, round(sum(o_totalprice), 4) AS total_price
 FROM orders WHERE o_orderstatus = (SELECT max(o_orderstatus) FROM orders) GROUP BY 1"""
+
+
+LAKE_COLUMNS = 14  # the adapter's columns; a flag split drops the flag column
+
+
+def load_split_counts_sql() -> str:
+    return f"""WITH {LAKE_CTE}
+SELECT 'load' AS part, count(*) AS rows, {LAKE_COLUMNS} AS columns FROM lake
+UNION ALL SELECT 'train', count(*) FILTER (WHERE split = 'train'), {LAKE_COLUMNS - 1} FROM lake
+UNION ALL SELECT 'eval', count(*) FILTER (WHERE split = 'eval'), {LAKE_COLUMNS - 1} FROM lake"""

@@ -10,7 +10,7 @@ from plover.plans.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
 CHECKED = ["latest_file", "reference_sample", "top2_checkpoints", "best_checkpoint_trial",
-           "halving_survivors", "run_records_flat",
+           "halving_survivors", "run_records_flat", "load_split_counts",
            "retrain_metric_prefixes", "dated_export", "decision_sidecar", "latest_metadata"]
 
 
