@@ -142,3 +142,19 @@ def test_ranking_plan_has_no_single_partition_window(spark):
     # clustered by the partition id), never in one task over all scores
     assert "rangepartitioning" in plan
     assert "Exchange hashpartitioning(_rk_pid" in plan
+
+
+def test_boundary_searches_release_their_caches(spark):
+    from plover.operators.ranking import release_cached
+    jsc = spark.sparkContext._jsc
+    release_cached()
+    before = jsc.getPersistentRDDs().size()
+    df = spark.range(0, 3000).select(F.col("id").alias("k"), (F.col("id") % 3).alias("y"),
+                                     (F.col("id") * 7919 % 1000).alias("time"))
+    for tagged in (SP.percent_split(df, 0.6, 0.2, "y", ["k"]),
+                   SP.time_split(df, "1970-01-01T00:00:00.500", 0.1, key_cols=["k"]),
+                   SP.sequential_split(df, 0.5, 0.25, ["k"]),
+                   SP.stratified_downsample(df, "y", 300, ["k"])):
+        tagged.count()
+    release_cached()
+    assert jsc.getPersistentRDDs().size() == before
