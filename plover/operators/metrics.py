@@ -119,6 +119,43 @@ def binary_metrics(df: DataFrame, label: str, pred: str, score: str,
     return _one_row_join(conf, rank)
 
 
+def majority_baseline_metrics(df: DataFrame, label: str, carry_min: Sequence[str] = ()) -> DataFrame:
+    """The metric set of the majority-class predictor (constant prediction
+    and constant score = the majority class) from ONE class-count aggregate:
+    with a single score group every metric is a function of the per-class
+    counts, so the scored rows are never joined or ranked. Same values (and
+    the same arithmetic) as ``binary_metrics`` on the constant columns.
+    ``carry_min`` columns come out as their overall minimum."""
+    y = F.col(label)
+    per = _persist_live(df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"),
+                                              *[F.min(c).alias(c) for c in carry_min]))
+    maj = per.filter(y.isNotNull()).agg(F.max_by(y, F.struct(F.col("_n"), -y)).alias("_maj"))
+    j = _one_row_join(per, maj)
+    agg = j.agg(F.sum("_n").alias("_n"),
+                F.sum(F.when(y == 1, F.col("_n")).otherwise(0)).alias("_P"),
+                F.sum(F.when(y != 1, F.col("_n")).otherwise(0)).alias("_Q"),
+                F.sum(F.when(y == F.col("_maj"), F.col("_n")).otherwise(0)).alias("_ok"),
+                F.first("_maj").alias("_maj"),
+                *[F.min(c).alias(c) for c in carry_min])
+    pos_pred = F.col("_maj") == 1
+    conf = agg.select(
+        "_n", "_ok", "_P", *carry_min,
+        F.when(pos_pred, F.col("_P")).otherwise(0).alias("_tp"),
+        F.when(pos_pred, F.col("_Q")).otherwise(0).alias("_fp"),
+        F.when(F.col("_maj") != 1, F.col("_P")).otherwise(0).alias("_fn"))
+    p, k = F.col("_P"), F.col("rows")
+    n_neg = k - p
+    one_class = (p == 0) | (n_neg == 0)
+    nan = F.lit(float("nan"))
+    # One score group: running positives equal the group's positives.
+    auc = ((k - p) * (p - p + p / 2.0)) / (p * n_neg)
+    ap = (p * (p / k)) / p
+    return _confusion_select(conf, [*carry_min, "_P"]).select(
+        *carry_min, "accuracy", "precision", "recall", "f1", "rows",
+        F.when(one_class, nan).otherwise(auc).alias("roc_auc"),
+        F.when(one_class, nan).otherwise(ap).alias("average_precision"))
+
+
 def _one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:
     """Join two one-row aggregates on a constant key (no cartesian product)."""
     return a.withColumn("_one", F.lit(1)).join(b.withColumn("_one", F.lit(1)), "_one").drop("_one")

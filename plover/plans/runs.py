@@ -60,14 +60,10 @@ def derived_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.lit("candidate.notes"), F.concat(F.lit("segment "), F.col("event_type")))
         .alias("params"),
         _metrics_map().alias("metrics"))
-    # Majority-class baseline over all events: constant score.
-    maj = M.majority_class(s, "y").select("majority_class")
-    base_in = s.withColumn("_k1", F.lit(1)).join(F.broadcast(maj.withColumn("_k1", F.lit(1))), "_k1")
-    base_in = base_in.select("y", "ts", F.col("majority_class").alias("pred"),
-                             F.col("majority_class").cast("double").alias("score"))
-    bm = M.binary_metrics(base_in, "y", "pred", "score")
-    t0 = s.agg(F.min("ts").cast("timestamp").alias("start_time"))
-    bm = bm.withColumn("_k1", F.lit(1)).join(F.broadcast(t0.withColumn("_k1", F.lit(1))), "_k1")
+    # Majority-class baseline over all events (constant prediction and
+    # score): every metric follows from one class-count aggregate.
+    bm = M.majority_baseline_metrics(s, "y", carry_min=["ts"]) \
+        .withColumn("start_time", F.col("ts").cast("timestamp"))
     base_run = bm.select(
         F.lit("run-baseline").alias("run_id"), F.lit("will-visit").alias("experiment"), "start_time",
         F.create_map(F.lit("candidate_name"), F.lit("baseline"), F.lit("candidate_kind"), F.lit("dummy"),

@@ -112,3 +112,18 @@ def test_binary_metrics_one_scan_matches_separate_operators(spark):
             assert one[g][c] == conf[g][c], (g, c)
         for c in ("roc_auc", "average_precision"):
             assert abs(one[g][c] - rank[g][c]) < 1e-12, (g, c)
+
+
+def test_majority_baseline_metrics_match_constant_predictor(spark):
+    rnd = random.Random(3)
+    for labels in ([0, 1, 1, None, 2], [1, 1, None], [0, 0, 1]):
+        rows = [(i, rnd.choice(labels)) for i in range(300)]
+        df = spark.createDataFrame(rows, "t long, y int")
+        got = M.majority_baseline_metrics(df, "y", carry_min=["t"]).first()
+        maj = M.majority_class(df, "y").first()["majority_class"]
+        const = df.withColumn("pred", F.lit(maj)).withColumn("score", F.lit(maj).cast("double"))
+        want = M.binary_metrics(const, "y", "pred", "score").first()
+        assert got["t"] == 0
+        for c in ("accuracy", "precision", "recall", "f1", "rows", "roc_auc", "average_precision"):
+            a, b = got[c], want[c]
+            assert (math.isnan(a) and math.isnan(b)) or abs(a - b) < 1e-12, (labels, c, a, b)
