@@ -1,7 +1,7 @@
 """Quality classifier: compressed sizes under dictionaries of good and of bad text.
 
 Two zstandard dictionaries are built from labelled text. A text is compressed in
-blocks with each of them; the difference of the two totals over their sum is
+blocks with each of them; the difference of the two totals per byte of text is
 mapped to a probability by a one-variable logistic fit on labelled documents
 that no dictionary has seen.
 """
@@ -19,10 +19,10 @@ from pyspark.sql import functions as F
 
 from .common import DOUBLE, arrow_batch, fold, texts_of
 
-BLOCK = 4096
+BLOCK = 1024
 #: Bounds of the labelled sample: documents per label for the dictionaries and, apart from them, for
 #: the calibration; a document gives at most PASSAGE characters from one place to a dictionary.
-PER_LABEL, CALIBRATION, PASSAGE, DICTIONARY_BYTES = 1500, 1000, 2048, 48 * 1024
+PER_LABEL, CALIBRATION, PASSAGE, DICTIONARY_BYTES = 1500, 1000, 2048, 110 * 1024
 _READY: dict[tuple, list] = {}
 
 
@@ -63,17 +63,16 @@ def _compressors(model: QualityModel) -> list:
 
 
 def difference(text: str | None, model: QualityModel) -> float:
-    """(size under bad - size under good) / their sum, over blocks of the whole text; 0 if empty."""
+    """(size under bad - size under good) per byte, over blocks of the whole text; 0 if empty."""
     data = (text or "").encode("utf-8", "surrogatepass")
     if not data:
         return 0.0
     good, bad = _compressors(model)
-    a = b = 0
+    gap = 0
     for lo in range(0, len(data), BLOCK):
         block = data[lo:lo + BLOCK]
-        a += len(good.compress(block))
-        b += len(bad.compress(block))
-    return (b - a) / (a + b)
+        gap += len(bad.compress(block)) - len(good.compress(block))
+    return gap / len(data)
 
 
 def calibrate(x: np.ndarray, y: np.ndarray, prior: float | None = None) -> tuple[float, float]:
@@ -132,7 +131,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
 def score_quality(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, size_difference, score`` for every row of ``docs``.
 
-    The whole text counts, in blocks of 4 KB. Null and empty texts have
+    The whole text counts, in blocks of 1 KB. Null and empty texts have
     difference 0. Null and repeated ids pass through. Other columns are ignored.
     """
 
