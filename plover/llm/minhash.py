@@ -10,7 +10,7 @@ Documents with equal shingle sets are one node from the start, so a group of
 exact copies is one row in every later step. Inside a band bucket members are
 first compared with one pivot each, a linear number of pairs; components merge
 what is linked, and only members that still lie in different components are
-compared further, in blocks of signatures held by one task.
+compared further, in blocks of bounded size held by one task.
 """
 from __future__ import annotations
 
@@ -78,7 +78,7 @@ def _bands(classes: DataFrame, bands: int, rows: int) -> DataFrame:
     width = 4 * rows
     keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)),
                        lambda b: F.xxhash64(b, F.substring(F.col("sig"), b * width + 1, F.lit(width))))
-    return classes.select("rep", F.explode(keys).alias("key"))
+    return classes.select("rep", F.posexplode(keys).alias("band", "key"))
 
 
 def _confirm(texts: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -112,39 +112,48 @@ def _confirm(texts: DataFrame, pairs: DataFrame, size: int, percent: int) -> Dat
     return met.mapInPandas(run, "a long, b long")
 
 
-def _across(members: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of unresolved buckets: other component, sizes and signatures that allow a link.
+def _across(members: DataFrame, texts: DataFrame, size: int, rows: int, percent: int) -> DataFrame:
+    """Links between members of one bucket that still lie in different components.
 
-    A bucket is cut into blocks of about 1,000 members; a task compares two
-    blocks and writes only pairs that pass.
+    A bucket is cut into blocks of at most 2,000 members and 32 MB of text; a
+    task compares two blocks. Sizes and signatures rule out most pairs, the rest
+    is compared on full sets, the most alike first. A link merges components at
+    once, so a task writes a spanning set of links, and what is merged is not
+    compared again. A pair is left to the first band that it shares.
     """
-    block = 1000
-    size = members.groupBy("key").agg(F.count("*").alias("m")).select("key", salts(F.col("m"), block).alias("parts"))
-    own = members.join(size, "key").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("parts")))
-    other = F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)
-    placed = own.withColumn("o", F.explode(other)).select(
-        "key", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"), "own", "rep", "component", "n_shingles", "sig")
-
-    def run(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
-        _, i, j = key
-        sig = np.frombuffer(b"".join(f["sig"]), dtype=np.uint32).reshape(len(f), -1)
-        rep, comp, n, own = (f[c].to_numpy() for c in ("rep", "component", "n_shingles", "own"))
-        a_out, b_out = [], []
+    load = members.groupBy("key").agg(F.count("*").alias("m"), F.sum("chars").alias("c")).select(
+        "key", F.greatest(salts(F.col("m"), 2000), salts(F.col("c"), 32 << 20)).alias("parts"))
+    own = members.join(load, "key").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("parts")))
+    placed = own.withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    placed = placed.select("key", "band", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"), "own", "rep", "component", "sig")
+
+    def run(key: tuple, f: pa.Table) -> pa.Table:
+        _, band, i, j = (k.as_py() for k in key)
+        sig = np.frombuffer(b"".join(f["sig"].to_pylist()), dtype=np.uint32).reshape(len(f), -1)
+        rep, comp, own = (f[c].to_numpy() for c in ("rep", "component", "own"))
+        sets = shingle_sets(f["t"].to_pylist(), size)
+        n = np.array([len(x) for x in sets])
+        comp = np.unique(comp, return_inverse=True)[1]
+        out = []
         for x in np.flatnonzero(own == i):
             y = np.flatnonzero((own == j) & (comp != comp[x]) & (100 * np.minimum(n, n[x]) >= percent * np.maximum(n, n[x])))
             if i == j:
                 y = y[y > x]
-            if len(y):
-                agree = sig[y] == sig[x]
-                y = y[agree.mean(axis=1) >= LEAST_AGREEMENT]
-            if len(y):
-                a_out.append(np.minimum(rep[x], rep[y]))
-                b_out.append(np.maximum(rep[x], rep[y]))
-        if not a_out:
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        return pd.DataFrame({"a": np.concatenate(a_out), "b": np.concatenate(b_out)})
-
-    return placed.groupBy("key", "i", "j").applyInPandas(run, "a long, b long").distinct()
+            agree = sig[y] == sig[x]
+            alike = agree.mean(axis=1)
+            first = ~agree[:, :band * rows].reshape(len(y), band, rows).all(axis=2).any(axis=1)
+            ok = first & (alike >= LEAST_AGREEMENT)
+            for k in y[ok][np.argsort(-alike[ok], kind="stable")]:
+                if comp[k] == comp[x]:
+                    continue
+                both = shared(sets[x], sets[k])
+                if both and 100 * both >= percent * (n[x] + n[k] - both):
+                    out.append((rep[x], rep[k]))
+                    comp[comp == comp[k]] = comp[x]
+        return pa.table({"a": pa.array([a for a, _ in out], LONG), "b": pa.array([b for _, b in out], LONG)})
+
+    full = placed.join(texts, "rep").select("key", "band", "i", "j", "own", "rep", "component", "sig", "t")
+    return full.groupBy("key", "band", "i", "j").applyInArrow(run, "a long, b long")
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
@@ -176,13 +185,14 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      .distinct(), size, percent)
     links = written(first, "links")
     merged = connected_components(links)
-    placed = (members.select("key", "rep").join(merged, F.col("rep") == F.col("node"), "left")
-              .select("key", "rep", F.coalesce("component", "rep").alias("component")))
+    # Every pair with a pivot is decided; what is left lies between the other members of a bucket.
+    placed = (members.filter("rep <> pivot").select("key", "band", "rep").join(merged, F.col("rep") == F.col("node"), "left")
+              .select("key", "band", "rep", F.coalesce("component", "rep").alias("component")))
     open_keys = (placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
                  .filter("lo <> hi").select("key"))
-    rest = (placed.join(open_keys, "key", "left_semi")
-            .join(known.select("rep", "n_shingles", "sig"), "rep"))
-    more = written(_confirm(texts, written(_across(rest, percent), "pairs"), size, percent), "links")
+    about = known.select("rep", "sig").join(texts.groupBy("rep").agg(F.max(F.length("t")).alias("chars")), "rep")
+    rest = written(placed.join(open_keys, "key", "left_semi").join(about, "rep"), "open")
+    more = written(_across(rest, texts, size, rows, percent), "links")
     final = connected_components(links.union(more))
     by_set = (known.select("set_key", "rep").join(final, F.col("rep") == F.col("node"), "left")
               .select("set_key", F.coalesce("component", "rep").alias("component")))
