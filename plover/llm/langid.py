@@ -100,15 +100,16 @@ class _Tables:
         self.tables, self.bits = [], []
         for lang in self.langs:
             step = suffix_automaton(parts[lang])
-            root = np.zeros(self.width, dtype=np.uint32)
+            alone = len(step)  # the state after a byte that this language never showed: a phrase by itself
+            begin = np.full(self.width, alone, dtype=np.uint32)
             for c, q in step[0].items():
-                root[number[c]] = q
-            table = np.repeat((root | self.END)[None, :], len(step), axis=0)
+                begin[number[c]] = q
+            table = np.repeat((begin | self.END)[None, :], len(step) + 1, axis=0)
+            table[0] = begin  # no phrase comes before the first
             rows = np.repeat(np.arange(len(step)), [len(s) for s in step])
             cols = np.fromiter((number[c] for s in step for c in s), dtype=np.int64, count=len(rows))
             table[rows, cols] = np.fromiter((q for s in step for q in s.values()), dtype=np.uint32, count=len(rows))
-            table[:, self.pad] = np.arange(len(step))
-            # A new phrase starts at the root without a phrase before it.
+            table[:, self.pad] = np.arange(len(step) + 1)
             self.tables.append(table.ravel())
             self.bits.append(math.log2(2 + sum(map(len, parts[lang]))))
 

@@ -16,7 +16,7 @@ LEVELS = ("domain", "lang", "source")
 #: Production weights; a value that is not named weighs 1.
 WEIGHTS: dict[str, dict[str, int]] = {"domain": {"d0": 3, "d1": 2, "d2": 2, "d3": 1},
                                       "lang": {"en": 4, "de": 2, "fr": 2, "es": 1}}
-SHARE_PERCENT, SEED = 90, "mix-1"
+SHARE_PERCENT, SEED, SALTS = 90, "mix-1", 64
 _BEFORE = (Window.unboundedPreceding, -1)
 
 
@@ -104,7 +104,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     plan = budgets(supply, F.floor(F.col("all_supply") * share_percent / 100), LEVELS, weights, max_epochs)
     plan = plan.withColumn("whole", F.when(F.col("supply") > 0, F.floor(F.col("budget") / F.greatest("supply", F.lit(1)))).otherwise(0).cast("long"))
     plan = plan.withColumn("rest", F.col("budget") - F.col("whole") * F.col("supply"))
-    placed = rows.join(plan, list(LEVELS))
+    # A leaf may hold a third of all rows: its plan row is repeated per salt.
+    salt = F.pmod(F.xxhash64("doc_id", "tokens"), F.lit(SALTS)).cast("int")
+    plan = plan.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    placed = rows.withColumn("salt", salt).join(plan, [*LEVELS, "salt"])
     key = F.md5(F.concat_ws(":", F.lit(seed), F.col("whole").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
     placed = placed.withColumn("place", key).withColumn("bin", F.substring("place", 1, 3))
     # The running total: over at most 4,096 bins of a leaf, then inside a bin.
