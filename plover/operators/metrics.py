@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import nan_to_null
-from .ranking import _LIVE, collect_bounded, running_totals
+from .ranking import collect_bounded, join_null_safe, running_totals
 
 
 def _safe_div(num: Column, den: Column) -> Column:
@@ -54,20 +54,11 @@ def _score_counts(df: DataFrame, label: str, score: str, group_by: Sequence[str]
         F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).cast("long").alias("_p"))
 
 
-def _persist_live(df: DataFrame) -> DataFrame:
-    """Persist a pre-aggregate that several jobs of one plan read (range
-    bounds sampling, per-partition totals, the final pass); released with
-    the ranking caches."""
-    out = df.persist(StorageLevel.MEMORY_AND_DISK)
-    _LIVE.append(out)
-    return out
-
-
 def ranking_metrics(df: DataFrame, label: str, score: str, group_by: Sequence[str] = ()) -> DataFrame:
     """Exact ROC-AUC (ties count half) and step-wise average precision per
     group; NaN when a group holds only one class."""
     group_by = list(group_by)
-    return _ranking_from_scores(_persist_live(_score_counts(df, label, score, group_by)), group_by)
+    return _ranking_from_scores(_score_counts(df, label, score, group_by), group_by)
 
 
 def _ranking_from_scores(per_score: DataFrame, group_by: list) -> DataFrame:
@@ -100,7 +91,7 @@ def binary_metrics(df: DataFrame, label: str, pred: str, score: str,
     and the per-score ranking table are both folded from it."""
     group_by = list(group_by)
     y, pr = F.col(label), F.col(pred)
-    counts = _persist_live(df.groupBy(*group_by, F.col(score).alias("_s"), pr.alias("_pr")).agg(
+    counts = (df.groupBy(*group_by, F.col(score).alias("_s"), pr.alias("_pr")).agg(
         F.count(F.lit(1)).alias("_k"),
         F.sum(F.when(y == 1, 1).otherwise(0)).cast("long").alias("_p"),
         F.sum(F.when(y != 1, 1).otherwise(0)).cast("long").alias("_q"),
@@ -115,7 +106,7 @@ def binary_metrics(df: DataFrame, label: str, pred: str, score: str,
     per_score = counts.groupBy(*group_by, "_s").agg(F.sum("_k").alias("_k"), F.sum("_p").alias("_p"))
     rank = _ranking_from_scores(per_score, group_by)
     if group_by:
-        return conf.join(rank, group_by, "left")
+        return join_null_safe(conf, rank, group_by, "left")
     return _one_row_join(conf, rank)
 
 
@@ -127,7 +118,7 @@ def majority_baseline_metrics(df: DataFrame, label: str, carry_min: Sequence[str
     the same arithmetic) as ``binary_metrics`` on the constant columns.
     ``carry_min`` columns come out as their overall minimum."""
     y = F.col(label)
-    per = _persist_live(df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"),
+    per = (df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"),
                                               *[F.min(c).alias(c) for c in carry_min]))
     maj = per.filter(y.isNotNull()).agg(F.max_by(y, F.struct(F.col("_n"), -y)).alias("_maj"))
     j = _one_row_join(per, maj)

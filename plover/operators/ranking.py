@@ -2,20 +2,17 @@
 
 ``Window.orderBy(x)`` with no partition puts every row in one task. Instead:
 
-1. range-partition the (narrow) input on ``group_by + order_by`` into P parts
-   and tag each row with its partition id;
-2. persist that: the range bounds are fixed once in the shuffle dependency,
-   so a block lost with an executor is recomputed from the same shuffle and
-   lands in the same partition - every later read sees identical partition
-   contents (no extra write of the data, unlike a checkpoint);
-3. per (partition, group) totals -> offsets of all earlier partitions; this
-   table has at most P x groups rows, counted before it is broadcast;
-4. a window partitioned by partition id gives running sums inside each part;
-   adding the offset makes them global.
-
-Hot order values cannot pile up in one task as long as the order key ends in a
-unique column (callers pass a row key), because range bounds split on the full
-tuple. Callers pre-aggregate ties (e.g. one row per distinct score) first.
+1. boundary rows are chosen once, from a hash-ordered sample of the sort keys,
+   and become literals; the part of a row is the number of boundaries that it
+   has reached, a plain expression that gives the same part on every recompute;
+2. per (part, group) totals give the offsets of all earlier parts, as a
+   DataFrame: a window over the parts of each group;
+3. a window partitioned by part and group gives running sums inside each part;
+   adding the offset (joined null-safe) makes them global.
+
+Hot order values cannot pile up in one part as long as the order key ends in a
+unique column (callers pass a row key), because boundaries are full key tuples.
+Callers pre-aggregate ties (e.g. one row per distinct score) first.
 """
 from __future__ import annotations
 
@@ -30,21 +27,16 @@ from pyspark import StorageLevel
 from ..session import default_partitions
 
 PID = "_rk_pid"
-_LIVE: list = []  # persisted range-partitioned inputs still referenced by lazy results
-BROADCAST_ROW_LIMIT = 2_000_000
-OFFSET_ROW_LIMIT = 1_000_000
+SAMPLE_PER_PART = 60
 
 
-def _sum_type(dtype: T.DataType) -> T.DataType:
-    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)):
-        return T.LongType()
-    return T.DoubleType()
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast only after counting the rows; otherwise let the planner choose."""
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join where NULL keys match NULL keys; the key columns of ``left`` stay."""
+    other = right.select(*[F.col(c).alias(f"_ns_{c}") if c in on else F.col(c) for c in right.columns])
+    cond = F.lit(True)
+    for c in on:
+        cond = cond & left[c].eqNullSafe(other[f"_ns_{c}"])
+    return left.join(other, cond, how).drop(*[f"_ns_{c}" for c in on])
 
 
 def _sort_exprs(group_by: Sequence[str], order_by: Sequence[str], descending: bool) -> list[Column]:
@@ -53,6 +45,41 @@ def _sort_exprs(group_by: Sequence[str], order_by: Sequence[str], descending: bo
     return exprs
 
 
+def _part_of(df: DataFrame, group_by: Sequence[str], order_by: Sequence[str], descending: bool,
+             parts: int) -> Column:
+    """The part of a row as an expression over literal boundary keys.
+
+    The boundaries come from the rows with the smallest hashes of their sort
+    key, at most ``SAMPLE_PER_PART`` per part, so the driver holds a bounded
+    number of keys whatever the table's size.
+    """
+    keys = [*group_by, *order_by]
+    if parts < 2:
+        return F.lit(0)
+    some = df.select(*keys).orderBy(F.xxhash64(*keys)).limit(parts * SAMPLE_PER_PART)
+    rows = some.orderBy(*_sort_exprs(group_by, order_by, descending)).collect()
+    cuts = [rows[k * len(rows) // parts] for k in range(1, parts)] if rows else []
+    cuts = list(dict.fromkeys(tuple(r) for r in cuts))
+    if not cuts:
+        return F.lit(0)
+
+    def typed(names: Sequence[str], at: tuple) -> list[Column]:
+        return [F.lit(at[keys.index(c)]).cast(df.schema[c].dataType).alias(c) for c in names]
+
+    bounds = F.array(*[F.struct(*([F.struct(*typed(group_by, c)).alias("g")] if group_by else []),
+                                F.struct(*typed(order_by, c)).alias("o")) for c in cuts])
+    own_order = F.struct(*[F.col(c) for c in order_by])
+
+    def reached(bound: Column) -> Column:
+        past = own_order <= bound["o"] if descending else own_order >= bound["o"]
+        if not group_by:
+            return past
+        own_group = F.struct(*[F.col(c) for c in group_by])
+        return (own_group > bound["g"]) | (own_group.eqNullSafe(bound["g"]) & past)
+
+    return F.size(F.filter(bounds, reached))
+
+
 def running_totals(df: DataFrame, order_by: Sequence[str], weights: Sequence[str] = (),
                    group_by: Sequence[str] = (), descending: bool = False,
                    partitions: int | None = None, count_col: str | None = "_rk_pos") -> DataFrame:
@@ -68,36 +95,18 @@ def running_totals(df: DataFrame, order_by: Sequence[str], weights: Sequence[str
         work = work.withColumn("_rk_one", F.lit(1).cast("long"))
         weights = weights + ["_rk_one"]
     sort = _sort_exprs(group_by, order_by, descending)
-    ranged = work.repartitionByRange(n_parts, *sort).withColumn(PID, F.spark_partition_id()) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    _LIVE.append(ranged)
-
-    # Per (partition, group) totals: at most P x groups rows, collected under a
-    # bound; offsets of earlier partitions are summed on the driver.
-    totals = ranged.groupBy(PID, *group_by).agg(*[F.sum(w).alias(w) for w in weights])
-    rows = collect_bounded(totals, OFFSET_ROW_LIMIT, "per-partition totals")
-    rows.sort(key=lambda r: (tuple((r[g] is None, r[g]) for g in group_by), r[PID]))
-    running: dict = {}
-    grand: dict = {}
-    for r in rows:
-        g = tuple(r[c] for c in group_by)
-        grand[g] = [a + (r[w] or 0) for a, w in zip(grand.get(g, [0] * len(weights)), weights)]
-    offset_rows = []
-    for r in rows:
-        g = tuple(r[c] for c in group_by)
-        prev = running.get(g, [0] * len(weights))
-        offset_rows.append((r[PID], *g, *prev, *grand[g]))
-        running[g] = [a + (r[w] or 0) for a, w in zip(prev, weights)]
-    fields = [T.StructField(PID, T.IntegerType())]
-    fields += [T.StructField(g, ranged.schema[g].dataType) for g in group_by]
-    fields += [T.StructField(f"_rk_off_{w}", _sum_type(ranged.schema[w].dataType)) for w in weights]
-    fields += [T.StructField(f"_rk_tot_{w}", _sum_type(ranged.schema[w].dataType)) for w in weights]
-    offsets = F.broadcast(spark.createDataFrame(offset_rows, T.StructType(fields)))
-
+    placed = work.withColumn(PID, _part_of(work, group_by, order_by, descending, n_parts))
+    totals = placed.groupBy(PID, *group_by).agg(*[F.sum(w).alias(w) for w in weights])
+    earlier = Window.partitionBy(*group_by).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*group_by)
+    offsets = totals.select(
+        PID, *group_by,
+        *[F.coalesce(F.sum(w).over(earlier), F.lit(0)).alias(f"_rk_off_{w}") for w in weights],
+        *[F.sum(w).over(whole).alias(f"_rk_tot_{w}") for w in weights])
     inside = Window.partitionBy(PID, *group_by).orderBy(*sort) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = ranged.select("*", *[F.sum(w).over(inside).alias(f"_rk_in_{w}") for w in weights])
-    joined = local.join(offsets, [PID, *group_by], "inner")
+    local = placed.select("*", *[F.sum(w).over(inside).alias(f"_rk_in_{w}") for w in weights])
+    joined = join_null_safe(local, offsets, [PID, *group_by])
     out_cols = [F.col(c) for c in df.columns]
     for w in weights:
         cum = F.col(f"_rk_off_{w}") + F.col(f"_rk_in_{w}")
@@ -124,12 +133,6 @@ def narrow_pass(df: DataFrame, columns: Sequence[str]):
         narrow.unpersist()
 
 
-def release_cached() -> None:
-    """Unpersist the range-partitioned inputs of earlier running totals."""
-    while _LIVE:
-        _LIVE.pop().unpersist()
-
-
 def rows_at_positions(df: DataFrame, order_by: Sequence[str], positions: dict,
                       group_by: Sequence[str] = (), max_rows: int = 100_000) -> list:
     """The rows at given 0-based positions of the order (per group).
@@ -150,10 +153,8 @@ def rows_at_positions(df: DataFrame, order_by: Sequence[str], positions: dict,
     want_schema = T.StructType([T.StructField(n, t) for n, t in schema_fields]
                                + [T.StructField("_rk_pos", T.LongType())])
     want_df = spark.createDataFrame([(*g, p) for g, p in wanted], want_schema)
-    hit = ranked.join(F.broadcast(want_df), [*group_by, "_rk_pos"], "inner")
-    rows = hit.select(*group_by, *order_by, "_rk_pos").collect()
-    release_cached()
-    return rows
+    hit = join_null_safe(ranked, F.broadcast(want_df), [*group_by, "_rk_pos"])
+    return hit.select(*group_by, *order_by, "_rk_pos").collect()
 
 
 def kth_thresholds(df: DataFrame, order_by: Sequence[str], positions: dict,

@@ -77,8 +77,6 @@ def derived_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
     runs = seg_runs.unionByName(base_run).checkpoint(eager=True)
-    from ..operators.ranking import release_cached
-    release_cached()
     return runs
 
 

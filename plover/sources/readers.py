@@ -30,15 +30,18 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
              na_tokens: list[str] | None = None) -> DataFrame:
     """CSV with a header row and quoted list text. With a schema, every field
     is read as text first and typed afterwards so that any of ``na_tokens``
-    becomes NULL in non-string columns (pandas-like), never a parse error."""
+    becomes NULL in non-string columns (pandas-like), never a parse error.
+    Without a schema a column is numeric when every value that is not an NA
+    token reads as a number (whole numbers: long), decided over all rows in one
+    aggregate; any other column stays text."""
     reader = spark.read.option("header", True).option("quote", '"').option("escape", '"') \
         .option("multiLine", False).option("mode", "PERMISSIVE")
+    tokens = CSV_NA_TOKENS if na_tokens is None else na_tokens
     if schema is None:
-        return reader.csv(path)
+        return _typed_by_content(reader.csv(path), tokens)
     st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
     as_text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in st.fields])
     raw = reader.schema(as_text).csv(path)
-    tokens = CSV_NA_TOKENS if na_tokens is None else na_tokens
     cols = []
     for f in st.fields:
         c = F.col(f.name)
@@ -50,6 +53,25 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     return raw.select(*cols)
 
 
+def _typed_by_content(raw: DataFrame, tokens: list[str]) -> DataFrame:
+    def clean(c: str):
+        return F.when(~F.trim(F.col(f"`{c}`")).isin(tokens), F.trim(F.col(f"`{c}`")))
+
+    checks = []
+    for k, c in enumerate(raw.columns):
+        v = clean(c)
+        checks += [F.count(v).alias(f"n{k}"), F.count(F.when(v.isNotNull() & v.try_cast("double").isNull(), 1)).alias(f"text{k}"),
+                   F.count(F.when(v.isNotNull() & v.try_cast("bigint").isNull() | v.rlike("[.eE]"), 1)).alias(f"broken{k}")]
+    seen = raw.agg(*checks).first()
+    out = []
+    for k, c in enumerate(raw.columns):
+        if not seen[f"n{k}"] or seen[f"text{k}"]:
+            out.append(F.col(f"`{c}`"))
+        else:
+            out.append(clean(c).try_cast("double" if seen[f"broken{k}"] else "bigint").alias(c))
+    return raw.select(*out)
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
@@ -98,7 +120,10 @@ def read_latest_drop(spark: SparkSession, source: str, recursive: bool = False,
     a Spark-written drop is many part-files (some possibly empty) whose newest
     member is arbitrary, so every file carrying the newest file's write id is
     read - by a glob on the listing, never a path list through the driver."""
-    newest = resolve_latest_file(spark, source, recursive, pattern)
+    return _whole_write(spark, source, resolve_latest_file(spark, source, recursive, pattern), recursive, pattern)
+
+
+def _whole_write(spark: SparkSession, source: str, newest: str, recursive: bool, pattern: str) -> DataFrame:
     m = _WRITE_ID.search(newest.rsplit("/", 1)[-1])
     if m is None or newest == source:
         return spark.read.parquet(newest)
@@ -134,12 +159,13 @@ def read_table_or_none(spark: SparkSession, name: str) -> DataFrame | None:
 
 
 def load_with_fallback(spark: SparkSession, table_name: str | None, prefix: str | None) -> DataFrame:
-    """Catalog table -> newest parquet under ``prefix`` -> error. Empty -> error."""
+    """Catalog table -> the write with the greatest key under ``prefix`` -> error. Empty -> error."""
     df = read_table_or_none(spark, table_name) if table_name else None
     if df is None:
         if not prefix:
             raise SourceError("No table data and no parquet prefix given")
-        df = read_latest_drop(spark, prefix, recursive=True)
+        key = resolve_greatest_key(spark, prefix)
+        df = _whole_write(spark, key.rsplit("/", 1)[0], key, False, "*.parquet")
     if df.isEmpty():
         raise SourceError("Dataset is empty")
     return df
@@ -170,7 +196,7 @@ def load_flag_split(spark: SparkSession, source: str, spec: DatasetSpec,
                     recursive: bool = False) -> FlagSplit:
     resolved = resolve_latest_file(spark, source, recursive=recursive) \
         if not source.endswith(".parquet") else source
-    df = spark.read.parquet(resolved)
+    df = spark.read.parquet(source) if source.endswith(".parquet") else read_latest_drop(spark, source, recursive)
     from ..operators.schema import apply_column_rename
     fs = split_by_flag(apply_column_rename(df, spec.column_rename), spec, capture_run_date=True)
     fs.source_path = resolved

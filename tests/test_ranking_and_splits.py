@@ -138,16 +138,13 @@ def test_ranking_plan_has_no_single_partition_window(spark):
     from plover.operators import metrics as M
     df = spark.createDataFrame([(i % 2, float(i % 17)) for i in range(500)], "y int, s double")
     plan = M.ranking_metrics(df, "y", "s")._jdf.queryExecution().executedPlan().toString()
-    # the running sums are computed per range partition (window input is
-    # clustered by the partition id), never in one task over all scores
-    assert "rangepartitioning" in plan
+    # the running sums are computed per part (window input is clustered by the
+    # part id, an expression over literal bounds), never in one task over all scores
     assert "Exchange hashpartitioning(_rk_pid" in plan
 
 
 def test_boundary_searches_release_their_caches(spark):
-    from plover.operators.ranking import release_cached
     jsc = spark.sparkContext._jsc
-    release_cached()
     before = jsc.getPersistentRDDs().size()
     df = spark.range(0, 3000).select(F.col("id").alias("k"), (F.col("id") % 3).alias("y"),
                                      (F.col("id") * 7919 % 1000).alias("time"))
@@ -156,5 +153,29 @@ def test_boundary_searches_release_their_caches(spark):
                    SP.sequential_split(df, 0.5, 0.25, ["k"]),
                    SP.stratified_downsample(df, "y", 300, ["k"])):
         tagged.count()
-    release_cached()
     assert jsc.getPersistentRDDs().size() == before
+
+
+def test_lazy_auc_is_stable_and_keeps_null_groups(spark):
+    from plover.operators import metrics as M
+    n = 60_000
+    df = spark.range(n).select((F.xxhash64("id") % 1_000_003).alias("s"), (F.col("id") % 3 == 0).cast("int").alias("y"),
+                               F.when(F.col("id") % 2 == 0, "a").alias("g"), "id")
+    lazy = M.ranking_metrics(df, "y", "s")
+    first = lazy.collect()
+    SP.sequential_split(df, 0.5, 0.25, ["id"]).count()
+    assert lazy.collect() == first
+    pos = running_totals(df, ["s", "id"], partitions=9).agg(
+        F.countDistinct("_rk_pos").alias("d"), F.min("_rk_pos").alias("lo"), F.max("_rk_pos").alias("hi")).first()
+    assert tuple(pos) == (n, 0, n - 1)
+    groups = {r["g"]: r for r in M.ranking_metrics(df, "y", "s", ["g"]).collect()}
+    alone = M.ranking_metrics(df.filter("g is null"), "y", "s").first()
+    assert set(groups) == {"a", None} and abs(groups[None]["roc_auc"] - alone["roc_auc"]) < 1e-12
+    both = {r["g"]: r for r in M.binary_metrics(df.withColumn("p", F.lit(1)), "y", "p", "s", ["g"]).collect()}
+    assert abs(both[None]["roc_auc"] - alone["roc_auc"]) < 1e-12
+
+
+def test_downsample_keeps_null_groups(spark):
+    df = spark.range(60).select(F.col("id").alias("k"), (F.col("id") % 2).alias("y"), F.when(F.col("id") % 3 > 0, "a").alias("g"))
+    out = SP.stratified_downsample(df, "y", 10, ["k"], by="g", caps={"a": 10})
+    assert out.filter("g is null").count() == 20 and out.filter("g = 'a'").count() == 10

@@ -2,6 +2,7 @@ import os
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from plover.sources import readers as RD
 from plover.sources import sinks as SK
@@ -80,3 +81,21 @@ def test_split_sink_and_dated_copy(spark, scratch):
 def test_scratch_under_checkpoint_dir(spark):
     p = SK.scratch_path(spark, "t")
     assert spark.sparkContext.getCheckpointDir().rstrip("/") in p
+
+
+def test_loaders_read_whole_drops(spark, scratch):
+    from plover.sources import readers as R
+    rows = spark.range(100).select("id", F.when(F.col("id") < 70, "train").otherwise("eval").alias("f"))
+    rows.repartition(4).write.parquet(f"{scratch}/drop/2024-02-01")
+    spark.range(3).write.parquet(f"{scratch}/drop/2024-01-01")  # written later, smaller key
+    assert R.load_with_fallback(spark, None, f"{scratch}/drop").count() == 100
+    assert R.read_latest_drop(spark, f"{scratch}/drop/2024-02-01").count() == 100
+
+
+def test_csv_without_schema_types_numbers(spark, scratch):
+    from plover.sources import readers as R
+    with open(f"{scratch}/a.csv", "w") as f:
+        f.write('a,b,c,d\n1,1.5,"[1, 2]",x\nNA,2,NULL,3\n')
+    got = R.read_csv(spark, f"{scratch}/a.csv")
+    assert dict(got.dtypes) == {"a": "bigint", "b": "double", "c": "string", "d": "string"}
+    assert [r.a for r in got.collect()] == [1, None]
