@@ -20,7 +20,7 @@ def metric_or_zero(name: str) -> Column:
 def baseline_f1(runs: DataFrame) -> DataFrame:
     """One row: F1 of the newest run of kind ``dummy`` (NULL when absent)."""
     dummy = runs.filter(F.col("tags")["candidate_kind"] == "dummy")
-    return dummy.agg(F.max_by(F.col("metrics")["f1"], "start_time").alias("baseline_f1"))
+    return dummy.agg(F.max_by(F.col("metrics")["f1"], F.struct("start_time", "run_id")).alias("baseline_f1"))
 
 
 def production_f1(model_versions: DataFrame, runs: DataFrame, model_name: str) -> DataFrame:
@@ -87,9 +87,9 @@ def best_passing_run(evaluated: DataFrame) -> DataFrame:
 
 
 def regression_check(best: DataFrame, prod: DataFrame) -> DataFrame:
-    """Register unless ``best_f1 < production_f1 - margin``."""
+    """Register unless ``best_f1 < production_f1 - margin`` (a NaN production score blocks nothing)."""
     df = attach_one_row(best, prod)
-    ok = F.col("production_f1").isNull() | \
+    ok = F.col("production_f1").isNull() | F.isnan("production_f1") | \
         (F.col("f1") >= F.col("production_f1") - F.lit(PRODUCTION_REGRESSION_MARGIN))
     return df.withColumn("register", ok)
 

@@ -103,3 +103,10 @@ def test_leaderboard_format(spark):
     assert row["hyperparams"] == "kind=xgboost"
     assert row["run_link"] == "[abcdefgh](http://ui/#/experiments/0/runs/abcdefghij)"
     assert row["notes"] == "n-c1"
+
+
+def test_nan_production_score_does_not_block(spark):
+    from plover.operators import registry as RG
+    best = spark.createDataFrame([(0.5,)], "f1 double")
+    for prod, want in ((float("nan"), True), (None, True), (0.9, False), (0.5, True)):
+        assert RG.regression_check(best, spark.createDataFrame([(prod,)], "production_f1 double")).first()["register"] is want
