@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import BINARY, LONG, arrow_batch, mix64, salts, shared, shingle_sets, stream64, texts_of, written
 from .components import connected_components
 
-SHINGLE, BANDS, ROWS = 4, 28, 4
+SHINGLE, BANDS, ROWS = 5, 28, 4
 #: A pair at the threshold whose signatures agree on less than this share is not met again in the
 #: block step; 4.7 standard deviations of a 112-coordinate signature below 0.8.
 LEAST_AGREEMENT = 0.62

@@ -48,7 +48,7 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_minhash_circulant(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_groups(documents(spark, sf_dir))
+    return minhash.near_groups(documents(spark, sf_dir), size=4)
 
 
 def op7_langid_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:

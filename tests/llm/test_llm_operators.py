@@ -86,7 +86,8 @@ def test_exact_groups_survive_hash_collisions(spark):
     assert sorted(weak.collect()) == sorted(exact_dedup.exact_groups(rows).collect())
 
 
-def test_near_groups_against_brute_force(spark):
+@pytest.mark.parametrize("size", [4, 5])
+def test_near_groups_against_brute_force(spark, size):
     rng = random.Random(5)
     vocab = [f"w{i}" for i in range(400)]
     base = [rng.choices(vocab, k=60) for _ in range(6)]
@@ -97,15 +98,15 @@ def test_near_groups_against_brute_force(spark):
             for _ in range(rng.randrange(0, 4)):
                 w[rng.randrange(len(w))] = rng.choice(vocab)
             texts.append(" ".join(w).upper() if rng.random() < 0.3 else " ".join(w))
-    sets = [shingles(t) for t in texts]
+    sets = [shingles(t, size) for t in texts]
     links = [(a, b) for a, b in itertools.combinations(range(len(texts)), 2)
              if sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
     want = reach(range(len(texts)), links)
     rows = docs_of(spark, texts).withColumn("set_key", F.lit("clash")).withColumn("sig", F.lit(1))
-    got = minhash.near_groups(rows).collect()
+    got = minhash.near_groups(rows, size=size).collect()
     assert {r.doc_id: r.component_id for r in got} == want
     assert all(r.n_shingles == len(sets[r.doc_id]) and r.kept == (r.doc_id == r.component_id) for r in got)
-    stay = minhash.drop_near_copies(rows)
+    stay = minhash.drop_near_copies(rows, size=size)
     assert stay.columns == rows.columns and sorted(r.doc_id for r in stay.collect()) == sorted(i for i in want if want[i] == i)
 
 
@@ -389,7 +390,7 @@ def test_pipeline_against_plain_python(spark):
         if key not in best or len(text[i]) > len(text[best[key]]):
             best[key] = i
     ids = sorted(best.values())
-    sets = {i: shingles(text[i]) for i in ids}
+    sets = {i: shingles(text[i], 5) for i in ids}
     links = [(a, b) for a, b in itertools.combinations(ids, 2) if sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
     low = reach(ids, links)
     assert sorted(r.doc_id for r in frame.collect()) == [i for i in ids if low[i] == i]
