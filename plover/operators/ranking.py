@@ -159,13 +159,20 @@ def rows_at_positions(df: DataFrame, order_by: Sequence[str], positions: dict,
 
 def kth_thresholds(df: DataFrame, order_by: Sequence[str], positions: dict,
                    group_by: Sequence[str] = ()) -> dict:
-    """``{(group, position): order-tuple}`` for the requested positions."""
-    rows = rows_at_positions(df, order_by, positions, group_by)
-    out = {}
-    for r in rows:
-        g = tuple(r[c] for c in group_by)
-        out[(g, int(r["_rk_pos"]))] = tuple(r[c] for c in order_by)
-    return out
+    """``{(group, position): order-tuple}`` for the requested positions.
+
+    Callers cut a table by comparing rows with these tuples, so each must differ
+    from the row before it. Equal neighbours mean that the order does not end in
+    a unique key; the cut could not be exact, and that is an error."""
+    with_before = {g: sorted({q for p in ps for q in (p - 1, p) if q >= 0}) for g, ps in positions.items()}
+    at = {}
+    for r in rows_at_positions(df, order_by, with_before, group_by):
+        at[(tuple(r[c] for c in group_by), int(r["_rk_pos"]))] = tuple(r[c] for c in order_by)
+    for g, ps in positions.items():
+        for p in ps:
+            if (g, p) in at and at.get((g, p - 1)) == at[(g, p)]:
+                raise ValueError(f"rows {p - 1} and {p} have equal order keys {list(order_by)}; end the order in a unique key")
+    return {(g, p): at[(g, p)] for g, ps in positions.items() for p in ps if (g, p) in at}
 
 
 def collect_bounded(df: DataFrame, max_rows: int, what: str) -> list:

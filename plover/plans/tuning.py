@@ -43,13 +43,17 @@ def tune(spark: SparkSession, bundle: DatasetBundle, space: dict, num_samples: i
     target = bundle.target
     trials = H.sample_search_space(spark, space, num_samples, seed)
     trial_rows = {r["trial_id"]: dict(r["params"]) for r in trials.select("trial_id", "params").collect()}
+    unused = sorted({n for p in trial_rows.values() for n in p if n in NOT_APPLIED})
+    if unused:
+        log.warning("sampled parameters %s have no MLlib counterpart; not applied", unused)
     pre, asm = MD.fit_preprocessor(bundle.train, bundle.feature_columns)
     keep = [*bundle.key_columns, target]
     train_v = asm.transform(pre.transform(bundle.train)).select(*keep, MD.FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
     val_v = asm.transform(pre.transform(bundle.val)).select(*keep, MD.FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
     done = {}
     if reports is not None:
-        for r in reports.collect():
+        # At most one row per trial of this search and rung, whatever else the table holds.
+        for r in reports.filter(F.col("trial_id").isin(list(trial_rows))).dropDuplicates(["trial_id", "iteration"]).collect():
             done[(r["trial_id"], int(r["iteration"]))] = (dict(r["params"]), dict(r["metrics"]))
     alive = sorted(trial_rows)
     rows = []

@@ -78,6 +78,31 @@ def test_continue_boosting_adds_exactly_n_trees(spark, bundle, scratch):
     assert res.decision["decision"] == "keep" and len(res.model.trees) == 2
 
 
+def test_continued_trees_keep_the_old_parameters(spark, bundle):
+    plan = MD.build_estimator("xgboost", {"n_estimators": 2, "max_depth": 3, "subsample": 0.5, "colsample_bytree": 0.5}, "y")
+    plan.estimator.setMinInstancesPerNode(150)
+    old, _ = MD.fit_pipeline(plan, ["a", "b"], bundle.train, "y")
+    held = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    new_rows = planted(spark, 400, 20_000)
+    plain = MD.continue_boosting(old, new_rows, "y", 3)
+    assert all(t.numNodes <= 3 for t in plain.trees)  # two leaves of 150 rows each are all that 200 sampled rows allow
+    heavy = MD.continue_boosting(old, new_rows, "y", 3, positive_weight=5.0)
+    mean = lambda m: MD.score(m, bundle.val).agg(F.avg("score")).first()[0]
+    assert mean(heavy) > mean(plain)
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == held
+    again = MD.continue_boosting(plain, new_rows, "y", 1)
+    assert len(again.trees) == 4
+    with pytest.raises(MD.ModelConfigError):
+        MD.continue_boosting(plain, new_rows, "y", 1, learning_rate=0.01)
+
+
+def test_training_leaves_nothing_cached(spark, bundle):
+    held = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    train_candidates(spark, bundle, [CandidateSpec("gbt", "xgboost", {"n_estimators": 2, "max_depth": 2})],
+                     with_reference_stats=False)
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == held
+
+
 def test_refit_needs_old_rows(spark, bundle):
     plan = MD.build_estimator("logistic_regression", {"max_iter": 5}, "y", 600)
     old, _ = MD.fit_pipeline(plan, ["a", "b"], bundle.train, "y")

@@ -73,6 +73,15 @@ def test_sequential_split(spark):
     assert got == {"train": (0, 69, 70), "val": (70, 85, 16), "test": (86, 100, 15)}
 
 
+def test_cut_inside_equal_keys_is_an_error(spark):
+    df = spark.range(100).select((F.col("id") % 10).alias("k"))
+    with pytest.raises(ValueError, match="unique"):
+        SP.sequential_split(df, 0.55, 0.2, ["k"])
+    # cuts that fall between different keys are exact even so
+    got = {r["split"]: r["count"] for r in SP.sequential_split(df, 0.5, 0.2, ["k"]).groupBy("split").count().collect()}
+    assert got == {"train": 50, "val": 30, "test": 20}
+
+
 def test_time_split_two_and_three_way(spark):
     base = 1704067200000  # 2024-01-01
     day = 86_400_000
