@@ -34,29 +34,58 @@ def _gbt_for(params: dict, rounds: int, target: str, seed: int) -> GBTClassifier
 NOT_APPLIED = ("min_child_weight", "reg_lambda", "reg_alpha")
 
 
+def _metrics_at(model, data: dict[str, DataFrame], target: str) -> dict:
+    """Validation metrics and both log losses of a fitted model."""
+    scored = {part: MD.score(model, df, threshold=0.5) for part, df in data.items()}
+    m = dict(M.binary_metrics(scored["validation"], target, "pred", "score").first().asDict())
+    for part, df in scored.items():
+        m[f"{part}_logloss"] = M.logloss(df, target, "score").first()["logloss"]
+    return {k: float(v) for k, v in m.items() if v is not None}
+
+
 def tune(spark: SparkSession, bundle: DatasetBundle, space: dict, num_samples: int,
          metric: str = "roc_auc", mode: str = "max", max_t: int = SEARCH_MAX_ROUNDS,
          grace: int = SEARCH_GRACE_PERIOD, reduction: int = SEARCH_REDUCTION_FACTOR,
-         seed: int = 42, reports: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Returns (reports, best). ``reports`` from an earlier, interrupted run
-    are reused: a (trial, rung) already reported is not fitted again."""
+         seed: int = 42, reports: DataFrame | None = None, base_params: dict | None = None,
+         best_model_path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Returns (reports, best).
+
+    A trial that survives a rung grows on from the trees that it has; it is
+    fitted from zero only where an earlier, interrupted run left ``reports``
+    without a model. What these reports cover is not fitted again. Sampled
+    parameters override ``base_params``. Every report holds the validation
+    metrics and both log losses. The best trial's model, behind the fitted
+    preprocessor, is written to ``best_model_path``."""
     target = bundle.target
     trials = H.sample_search_space(spark, space, num_samples, seed)
-    trial_rows = {r["trial_id"]: dict(r["params"]) for r in trials.select("trial_id", "params").collect()}
+    trial_rows = {r["trial_id"]: {**(base_params or {}), **r["params"]}
+                  for r in trials.select("trial_id", "params").collect()}
     unused = sorted({n for p in trial_rows.values() for n in p if n in NOT_APPLIED})
     if unused:
         log.warning("sampled parameters %s have no MLlib counterpart; not applied", unused)
     pre, asm = MD.fit_preprocessor(bundle.train, bundle.feature_columns)
     keep = [*bundle.key_columns, target]
-    train_v = asm.transform(pre.transform(bundle.train)).select(*keep, MD.FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
-    val_v = asm.transform(pre.transform(bundle.val)).select(*keep, MD.FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
+    data = {part: asm.transform(pre.transform(df)).select(*keep, MD.FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
+            for part, df in (("validation", bundle.val), ("train", bundle.train))}
+    train_v = data["train"]
+
+    def fitted(p: dict, rounds: int, before):
+        spw = float(p.get("scale_pos_weight", 1.0))
+        if before is not None:
+            return MD.grow_boosting(before, train_v, target, rounds - len(before.trees), positive_weight=spw)
+        est, fit_on = _gbt_for(p, rounds, target, seed), train_v
+        if spw != 1.0:
+            est.setWeightCol(MD.WEIGHT)
+            fit_on = train_v.withColumn(MD.WEIGHT, F.when(F.col(target) == 1, F.lit(spw)).otherwise(F.lit(1.0)))
+        return est.fit(fit_on)
+
     done = {}
     if reports is not None:
         # At most one row per trial of this search and rung, whatever else the table holds.
         for r in reports.filter(F.col("trial_id").isin(list(trial_rows))).dropDuplicates(["trial_id", "iteration"]).collect():
             done[(r["trial_id"], int(r["iteration"]))] = (dict(r["params"]), dict(r["metrics"]))
     alive = sorted(trial_rows)
-    rows = []
+    rows, models = [], {}
     for rung in H.rung_schedule(grace, max_t, reduction):
         for tid in alive:
             if (tid, rung) in done:
@@ -64,20 +93,10 @@ def tune(spark: SparkSession, bundle: DatasetBundle, space: dict, num_samples: i
             else:
                 p = trial_rows[tid]
                 t0 = time.perf_counter()
-                est = _gbt_for(p, rung, target, seed)
-                spw = float(p.get("scale_pos_weight", 1.0))
-                fit_on = train_v
-                if spw != 1.0:
-                    est.setWeightCol(MD.WEIGHT)
-                    fit_on = train_v.withColumn(MD.WEIGHT, F.when(F.col(target) == 1, F.lit(spw))
-                                                .otherwise(F.lit(1.0)))
-                model = est.fit(fit_on)
-                scored = MD.score(model, val_v, threshold=0.5)
-                m = dict(M.binary_metrics(scored, target, "pred", "score").first().asDict())
-                m["validation_logloss"] = M.logloss(scored, target, "score").first()["logloss"]
-                m = {k: float(v) for k, v in m.items() if v is not None}
+                models[tid] = fitted(p, rung, models.get(tid))
+                m = _metrics_at(models[tid], data, target)
                 m["seconds"] = time.perf_counter() - t0
-                m["training_iteration"] = float(rung)
+                m["training_iteration"] = float(len(models[tid].trees))
             rows.append((tid, rung, {k: float(v) for k, v in p.items()}, m))
         rep = spark.createDataFrame(rows, TRIALS_SCHEMA)
         if rung == max_t:
@@ -85,6 +104,12 @@ def tune(spark: SparkSession, bundle: DatasetBundle, space: dict, num_samples: i
         alive = sorted(r["trial_id"] for r in H.survivors(rep, rung, metric, mode, reduction).collect())
     reports_df = spark.createDataFrame(rows, TRIALS_SCHEMA)
     best = H.require_reports(H.best_trial(reports_df, metric, mode), metric)
-    train_v.unpersist()
-    val_v.unpersist()
+    if best_model_path:
+        top = best.first()
+        model = models.get(top["trial_id"])
+        if model is None or len(model.trees) != top["iteration"]:
+            model = fitted(trial_rows[top["trial_id"]], top["iteration"], None)
+        MD.PipelineModel(stages=[pre, asm, model]).write().overwrite().save(best_model_path)
+    for held in data.values():
+        held.unpersist()
     return reports_df, H.best_summary(best)

@@ -58,24 +58,37 @@ def test_train_candidates_gates_and_failures(spark, bundle, scratch):
                            "model_version"]
 
 
+def n_trees(model):
+    return len(model.stages[-1].trees)
+
+
+def scores(model, df):
+    return [r["score"] for r in MD.score(model, df).select("k", "score").orderBy("k").collect()]
+
+
 def test_continue_boosting_adds_exactly_n_trees(spark, bundle, scratch):
     plan = MD.build_estimator("xgboost", {"n_estimators": 3, "max_depth": 2}, "y")
     old, _ = MD.fit_pipeline(plan, ["a", "b"], bundle.train, "y")
     new_rows = planted(spark, 400, 20_000)
     cont = MD.continue_boosting(old, new_rows, "y", additional_rounds=4, checkpoint_every=2)
-    assert len(cont.trees) == 4
+    assert n_trees(cont) == 7 and n_trees(old) == 3
     # with zero extra rounds the continued model reproduces the old probabilities
     same = MD.continue_boosting(old, new_rows, "y", additional_rounds=0)
-    a = MD.score(old, bundle.val).select("k", "score").orderBy("k").collect()
-    b = MD.score(same, bundle.val).select("k", "score").orderBy("k").collect()
-    assert all(abs(x["score"] - y["score"]) < 1e-9 for x, y in zip(a, b))
+    assert scores(same, bundle.val) == pytest.approx(scores(old, bundle.val), abs=1e-12)
     path = os.path.join(scratch, "cont")
-    cont.save(path)
-    back = MD.ContinuedBoostingModel.load(path)
-    assert len(back.trees) == 4
+    cont.write().overwrite().save(path)
+    back = PipelineModel.load(path)
+    assert n_trees(back) == 7 and scores(back, bundle.val) == pytest.approx(scores(cont, bundle.val), abs=1e-12)
     res = retrain(spark, old, CandidateSpec("gbt", "xgboost", {}), new_rows, bundle.val, "y",
                   additional_rounds=2, threshold=-1.0)
-    assert res.decision["decision"] == "keep" and len(res.model.trees) == 2
+    assert res.decision["decision"] == "keep" and n_trees(res.model) == 5
+
+
+def test_continued_fit_equals_the_longer_fit(spark, bundle):
+    fit = lambda n: MD.fit_pipeline(MD.build_estimator(
+        "xgboost", {"n_estimators": n, "max_depth": 2, "learning_rate": 0.3}, "y"), ["a", "b"], bundle.train, "y")[0]
+    more = MD.continue_boosting(fit(3), bundle.train, "y", additional_rounds=4)
+    assert scores(more, bundle.val) == pytest.approx(scores(fit(7), bundle.val), abs=1e-9)
 
 
 def test_continued_trees_keep_the_old_parameters(spark, bundle):
@@ -85,15 +98,15 @@ def test_continued_trees_keep_the_old_parameters(spark, bundle):
     held = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
     new_rows = planted(spark, 400, 20_000)
     plain = MD.continue_boosting(old, new_rows, "y", 3)
-    assert all(t.numNodes <= 3 for t in plain.trees)  # two leaves of 150 rows each are all that 200 sampled rows allow
+    # two leaves of 150 rows each are all that 200 sampled rows allow
+    assert all(t.numNodes <= 3 for t in plain.stages[-1].trees[2:])
     heavy = MD.continue_boosting(old, new_rows, "y", 3, positive_weight=5.0)
     mean = lambda m: MD.score(m, bundle.val).agg(F.avg("score")).first()[0]
     assert mean(heavy) > mean(plain)
     assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == held
-    again = MD.continue_boosting(plain, new_rows, "y", 1)
-    assert len(again.trees) == 4
-    with pytest.raises(MD.ModelConfigError):
-        MD.continue_boosting(plain, new_rows, "y", 1, learning_rate=0.01)
+    # a further run may use another learning rate: every tree carries its own weight
+    again = MD.continue_boosting(plain, new_rows, "y", 1, learning_rate=0.01)
+    assert n_trees(again) == 6 and list(again.stages[-1].treeWeights)[:5] == list(plain.stages[-1].treeWeights)
 
 
 def test_training_leaves_nothing_cached(spark, bundle):
@@ -130,6 +143,35 @@ def test_sampler(spark):
     assert H.rung_schedule(25, 100, 2) == [25, 50, 100]
 
 
+def test_search_grows_surviving_trials_and_keeps_the_best(spark, bundle, scratch):
+    from plover.plans.tuning import tune
+    space = {"max_depth": {"type": "choice", "values": [1, 2, 3]},
+             "learning_rate": {"type": "uniform", "lower": 0.1, "upper": 0.3}}
+    path = os.path.join(scratch, "best")
+    held = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    reports, best = tune(spark, bundle, space, 3, max_t=4, grace=2, base_params={"max_depth": 9, "subsample": 1.0},
+                         best_model_path=path)
+    got = reports.collect()
+    assert sorted(r["iteration"] for r in got) == [2, 2, 2, 4]
+    assert all(r["metrics"]["training_iteration"] == r["iteration"] for r in got)
+    assert all({"train_logloss", "validation_logloss", "roc_auc"} <= set(r["metrics"]) for r in got)
+    assert all(r["params"]["max_depth"] <= 3 and r["params"]["subsample"] == 1.0 for r in got)
+    top = best.first()
+    model = PipelineModel.load(path)
+    assert n_trees(model) == top["iteration"]
+    assert MD.score(model, bundle.val).count() == 300
+    # the rung of a survivor equals a fit of that many rounds from zero
+    last = next(r for r in got if r["iteration"] == 4)
+    again, _ = tune(spark, bundle, space, 3, max_t=4, grace=4)
+    same = next(r for r in again.collect() if r["trial_id"] == last["trial_id"])
+    assert same["metrics"]["validation_logloss"] == pytest.approx(last["metrics"]["validation_logloss"], abs=1e-9)
+    # a resumed search fits nothing that is reported
+    resumed, _ = tune(spark, bundle, space, 3, max_t=4, grace=2, reports=reports)
+    assert {(r["trial_id"], r["iteration"], r["metrics"]["seconds"]) for r in resumed.collect()} == \
+        {(r["trial_id"], r["iteration"], r["metrics"]["seconds"]) for r in got}
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == held
+
+
 def test_halving_best_and_resume(spark):
     rows = [(f"t{i}", 25, {"p": float(i)}, {"roc_auc": 0.5 + i / 100}) for i in range(5)]
     rows += [("t3", 50, {"p": 3.0}, {"roc_auc": 0.9}), ("t4", 50, {"p": 4.0}, {"roc_auc": 0.8})]
