@@ -82,16 +82,16 @@ def survivors(reports: DataFrame, iteration: int, metric: str, mode: str = "max"
 
 
 def best_trial(reports: DataFrame, metric: str, mode: str = "max") -> DataFrame:
-    """Best trial by the metric of its last report; error when none reported."""
+    """Best trial by the metric of its last report (ties: the smallest trial id)."""
     last = reports.groupBy("trial_id").agg(F.max_by(F.struct("iteration", "params", "metrics"),
                                                     "iteration").alias("r"))
     last = last.select("trial_id", F.col("r.iteration").alias("iteration"), F.col("r.params").alias("params"),
                        F.col("r.metrics").alias("metrics"))
     m = F.col("metrics")[metric]
     valid = last.filter(m.isNotNull() & ~F.isnan(m))
-    key = m if mode == "max" else -m
-    best = valid.agg(F.max_by(F.struct("trial_id", "iteration", "params", "metrics"),
-                              F.struct(key, -F.xxhash64("trial_id"))).alias("b"))
+    key = -m if mode == "max" else m
+    best = valid.agg(F.min_by(F.struct("trial_id", "iteration", "params", "metrics"),
+                              F.struct(key, "trial_id")).alias("b"))
     best = best.filter(F.col("b").isNotNull()).select("b.*")
     return best
 

@@ -180,6 +180,8 @@ def test_halving_best_and_resume(spark):
     assert sorted(r[0] for r in H.survivors(rep, 25, "roc_auc").collect()) == ["t3", "t4"]
     best = H.best_trial(rep, "roc_auc").first()
     assert best["trial_id"] == "t3" and best["iteration"] == 50
+    ties = rep.withColumn("metrics", F.create_map(F.lit("roc_auc"), F.lit(0.7)))
+    assert all(H.best_trial(ties, "roc_auc", mode).first()["trial_id"] == "t0" for mode in ("max", "min"))
     trials = spark.createDataFrame([("t3",), ("t4",), ("t9",)], "trial_id string")
     assert sorted(r[0] for r in H.pending_trials(trials, rep, 50).collect()) == ["t9"]
     with pytest.raises(H.SearchSpaceError):
