@@ -20,9 +20,11 @@ from .common import BINARY, LONG, arrow_batch, texts_of, written
 
 KINDS = ("email", "ip", "card", "phone")
 TERM_KINDS = ("generalised", "removed")
-#: Words on each side of an entity; distinct texts in which a word must stand near it; shares of the
-#: entity's information content from which a word is generalised or removed.
-NEAR, LEAST_TEXTS, GENERALISE, REMOVE = 8, 3, 0.6, 0.85
+#: Words on each side of an entity; shares of the entity's information content from which a word is
+#: generalised or removed.
+NEAR, GENERALISE, REMOVE = 8, 0.6, 0.85
+#: Standard errors by which the rate of an entity given a word is lowered: few texts count for less.
+ERRORS = 1.0
 #: Bound on how far from an entity its neighbouring words are looked for, in characters.
 _REACH = 400
 
@@ -126,30 +128,38 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", near:
              "words array<struct<entity:string,word:string,start:bigint,end:bigint>>")
 
 
-def disclosure(scanned: DataFrame, docs: DataFrame, text_col: str = "text", least_texts: int = LEAST_TEXTS) -> DataFrame:
+def _lower_rate(hits: Column, tries: Column, errors: float = ERRORS) -> Column:
+    """Wilson's lower bound of ``hits / tries``; k of k gives k / (k + errors**2)."""
+    rate, z2 = hits / tries, errors * errors
+    spread = F.sqrt(rate * (1 - rate) / tries + z2 / (4 * tries * tries))
+    return (rate + z2 / (2 * tries) - errors * spread) / (1 + z2 / tries)
+
+
+def disclosure(scanned: DataFrame, docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``entity, word, share``: what part of the entity's information content the word discloses.
 
-    Counts are documents of the whole corpus. A word must stand near the entity
-    in ``least_texts`` different texts; copies of one text are no evidence.
+    Counts are documents of the whole corpus; copies of one text are no evidence.
+    The rate of the entity among the word's texts is taken at its lower bound, so
+    one common text is an estimate too, and a weaker one than many.
     """
     pairs = scanned.select("text_key", F.explode("words").alias("w")).select("text_key", "w.entity", "w.word")
     per_text = pairs.groupBy("entity", "word", "text_key").agg(F.lit(1).alias("one"))
-    both = per_text.groupBy("entity", "word").agg(F.count("*").alias("texts")).filter(F.col("texts") >= least_texts)
+    both = per_text.groupBy("entity", "word").agg(F.count("*").alias("texts"))
     of_entity = scanned.select(F.explode("entities").alias("entity"), "text_key").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
     total = docs.select(F.count("*").alias("total"))
     wanted = both.select("word").distinct()
     spoken = (docs.select(F.explode(F.array_distinct(F.split(F.coalesce(F.col(text_col).cast("string"), F.lit("")), TERM_BREAK))).alias("word"))
               .groupBy("word").agg(F.count("*").alias("n_word")).join(wanted, "word"))
     n = F.greatest(F.lit(total.first()[0]), F.lit(1)).cast("double")
-    joint = F.col("texts").cast("double")
-    information = -F.log2(F.col("n_entity") / n)
-    mutual = F.log2(joint * n / (F.greatest("n_word", "texts") * F.col("n_entity")))
+    prior = F.col("n_entity") / n
+    information = -F.log2(prior)
+    mutual = F.log2(_lower_rate(F.col("texts").cast("double"), F.greatest("n_word", "texts").cast("double")) / prior)
     return (both.join(of_entity, "entity").join(spoken, "word")
             .select("entity", "word", F.when(information > 0, mutual / information).otherwise(F.lit(0.0)).alias("share")))
 
 
 def find_personal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", near: int = NEAR,
-                  least_texts: int = LEAST_TEXTS, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
+                  generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """``doc_id, spans, term_spans`` for every row of ``docs``.
 
     ``spans`` are the pattern spans, ``term_spans`` the words near them to be
@@ -159,7 +169,7 @@ def find_personal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     empty table: empty result.
     """
     scanned = written(scan(docs, id_col, text_col, near), "personal")
-    shares = disclosure(scanned, docs, text_col, least_texts).filter(F.col("share") >= generalise)
+    shares = disclosure(scanned, docs, text_col).filter(F.col("share") >= generalise)
     told = scanned.select("doc_id", "text_key", F.explode("words").alias("w")).select("doc_id", "text_key", "w.*").join(shares, ["entity", "word"])
     kind = F.when(F.col("share") >= remove, F.lit("removed")).otherwise(F.lit("generalised"))
     # One place may stand near two entities: the stronger decision holds ("removed" sorts last).

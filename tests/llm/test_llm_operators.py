@@ -375,6 +375,16 @@ def test_disclosing_words(spark):
     assert pii.find_personal(rows.limit(0)).count() == 0
 
 
+def test_one_text_discloses_its_entity(spark):
+    plain = [f"the plan number {i} about a desk and mail" for i in range(200)]
+    rows = docs_of(spark, ["the plan of quetzal mail jo@ex.com about a desk"] + plain)
+    got = {r.doc_id: r for r in pii.find_personal(rows).collect()}
+    assert [(s["kind"], s["start"], s["end"]) for s in got[0].term_spans][-1] == ("removed", 12, 19)
+    shares = [pii._lower_rate(F.lit(float(k)), F.lit(float(n))) for k, n in ((1, 1), (3, 3), (1, 10), (300, 300))]
+    low = spark.range(1).select(*shares).first()
+    assert low[0] == pytest.approx(1 / 2) and low[1] == pytest.approx(3 / 4) and low[2] < 0.05 and low[3] > 0.99
+
+
 def test_pipeline_against_plain_python(spark):
     import corpus_pipeline
     docs = documents(spark, SF_SMALL)
