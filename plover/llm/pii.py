@@ -135,10 +135,23 @@ def _lower_rate(hits: Column, tries: Column, errors: float = ERRORS) -> Column:
     return (rate + z2 / (2 * tries) - errors * spread) / (1 + z2 / tries)
 
 
+def texts_with(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``word, n_word``: in how many different texts of ``docs`` each word stands."""
+    keyed = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
+    keyed = keyed.withColumn("text_key", F.unhex(F.md5(F.col("t").cast("binary"))))
+    word = F.explode(F.array_distinct(F.split("t", TERM_BREAK))).alias("word")
+    by_row = keyed.select(word, F.lit(1).cast("long").alias("n"))
+    # Every row counts, then the rows beyond the first of a text are taken off: only copied texts are moved.
+    copied = keyed.groupBy("text_key").agg(F.count("*").alias("rows")).filter("rows > 1")
+    once = keyed.join(copied, "text_key").groupBy("text_key").agg(F.first("t").alias("t"), F.first("rows").alias("rows"))
+    surplus = once.select(word, (1 - F.col("rows")).alias("n"))
+    return by_row.union(surplus).groupBy("word").agg(F.sum("n").alias("n_word"))
+
+
 def disclosure(scanned: DataFrame, docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``entity, word, share``: what part of the entity's information content the word discloses.
 
-    Counts are documents of the whole corpus; copies of one text are no evidence.
+    All counts are different texts of the whole corpus; copies are no evidence.
     The rate of the entity among the word's texts is taken at its lower bound, so
     one common text is an estimate too, and a weaker one than many.
     """
@@ -146,12 +159,9 @@ def disclosure(scanned: DataFrame, docs: DataFrame, text_col: str = "text") -> D
     per_text = pairs.groupBy("entity", "word", "text_key").agg(F.lit(1).alias("one"))
     both = per_text.groupBy("entity", "word").agg(F.count("*").alias("texts"))
     of_entity = scanned.select(F.explode("entities").alias("entity"), "text_key").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    total = docs.select(F.count("*").alias("total"))
-    wanted = both.select("word").distinct()
-    spoken = (docs.select(F.explode(F.array_distinct(F.split(F.coalesce(F.col(text_col).cast("string"), F.lit("")), TERM_BREAK))).alias("word"))
-              .groupBy("word").agg(F.count("*").alias("n_word")).join(wanted, "word"))
-    n = F.greatest(F.lit(total.first()[0]), F.lit(1)).cast("double")
-    prior = F.col("n_entity") / n
+    total = scanned.select("text_key").distinct().count()
+    spoken = texts_with(docs, text_col).join(both.select("word").distinct(), "word")
+    prior = F.col("n_entity") / F.lit(float(max(total, 1)))
     information = -F.log2(prior)
     mutual = F.log2(_lower_rate(F.col("texts").cast("double"), F.greatest("n_word", "texts").cast("double")) / prior)
     return (both.join(of_entity, "entity").join(spoken, "word")

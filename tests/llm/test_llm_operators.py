@@ -385,6 +385,17 @@ def test_one_text_discloses_its_entity(spark):
     assert low[0] == pytest.approx(1 / 2) and low[1] == pytest.approx(3 / 4) and low[2] < 0.05 and low[3] > 0.99
 
 
+def test_copies_of_disclosing_texts_change_nothing(spark):
+    said = [f"desk {i} zanzibar mail jo@ex.com about the plan" for i in range(3)]
+    plain = [f"the plan number {i} about a desk and mail" for i in range(200)]
+    terms = lambda texts: {t: {(s["kind"], s["start"]) for s in r.term_spans} for t, r in
+                           zip(texts, sorted(pii.find_personal(docs_of(spark, texts)).collect(), key=lambda r: r.doc_id))}
+    once, often = terms(said + plain), terms(said * 100 + plain + plain[:7] * 5)
+    assert once == often and all(("removed", 7) in once[t] for t in said)
+    got = {r.word: r.n_word for r in pii.texts_with(docs_of(spark, said * 100 + plain + [None, ""])).collect()}
+    assert got["zanzibar"] == 3 and got["number"] == 200 and got["desk"] == 203
+
+
 def test_pipeline_against_plain_python(spark):
     import corpus_pipeline
     docs = documents(spark, SF_SMALL)
