@@ -1,32 +1,34 @@
 """Personal data: fixed patterns, and terms that give protected entities away.
 
 Patterns find e-mail addresses, IP addresses, card and phone numbers. Each value
-found is a protected entity. Over the whole corpus, the words near an entity are
+found is a protected entity. Over the whole corpus, the words of its texts are
 counted with it and without it: the pointwise mutual information of word and
 entity, as a share of the entity's own information content, says how much of the
-entity the word discloses. Words beyond one threshold are generalised, beyond a
-higher one removed, where they stand near that entity.
+entity the word discloses. Words beyond one threshold for some entity are
+generalised, beyond a higher one removed, wherever they stand.
 """
 from __future__ import annotations
 
 import re
+import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BINARY, LONG, arrow_batch, texts_of, written
+from .common import BINARY, arrow_batch, texts_of, written
 
 KINDS = ("email", "ip", "card", "phone")
 TERM_KINDS = ("generalised", "removed")
-#: Words on each side of an entity; shares of the entity's information content from which a word is
-#: generalised or removed.
-NEAR, GENERALISE, REMOVE = 8, 0.6, 0.85
+#: Shares of the entity's information content from which a word is generalised or removed.
+GENERALISE, REMOVE = 0.6, 0.85
 #: Standard errors by which the rate of an entity given a word is lowered: few texts count for less.
 ERRORS = 1.0
-#: Bound on how far from an entity its neighbouring words are looked for, in characters.
-_REACH = 400
+#: Bits of the filter that tells tasks which words may be terms, bits of one aggregated piece, words a task remembers.
+_BITS, _PIECE, _REMEMBERED = 1 << 25, 1 << 15, 1 << 18
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -86,46 +88,43 @@ def entity(kind: str, value: str) -> str:
     return f"{kind}:{value.lower()}"
 
 
-def nearby(text: str, spans: list[tuple[str, int, int]], near: int = NEAR) -> list[tuple[str, str, int, int]]:
-    """(entity, word, start, end) of the words around each span, none of them inside a span."""
-    out = []
-    taken = [(a, b) for _, a, b in spans]
-    for kind, a, b in spans:
-        name = entity(kind, text[a:b])
-        lo, hi = max(0, a - _REACH), min(len(text), b + _REACH)
-        while lo > 0 and a - lo < 2 * _REACH and _TERM.match(text[lo - 1]):
-            lo -= 1
-        before = [(m[0], m.start(), m.end()) for m in _TERM.finditer(text, lo, a)][-near:]
-        after = [(m[0], m.start(), m.end()) for m in _TERM.finditer(text, b, hi)][:near]
-        out += [(name, w, s, e) for w, s, e in before + after if not any(s < y and x < e for x, y in taken)]
-    return out
+def words_outside(text: str, spans: list[tuple[str, int, int]]) -> Iterator[tuple[str, int, int]]:
+    """(word, start, end) of the words of a text that touch none of its spans."""
+    starts, ends = [], []  # joined where they overlap
+    for _, a, b in spans:
+        if starts and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    for m in _TERM.finditer(text):
+        k = bisect_right(starts, m.end() - 1) - 1
+        if k < 0 or ends[k] <= m.start():
+            yield m[0], m.start(), m.end()
 
 
 def _list_type() -> pa.DataType:
     return pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", near: int = NEAR) -> DataFrame:
-    """``doc_id, text_key, spans, entities, words``: pattern spans and the words around them."""
+def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``text_key, entities, words`` of every row: its entities and, if it has any, its different words."""
     import hashlib
-    words_type = pa.list_(pa.struct([("entity", pa.string()), ("word", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for f in batches:
-            keys, spans, entities, words = [], [], [], []
+            keys, entities, words = [], [], []
             for t in f["t"].to_pylist():
                 t = t or ""
                 found = base_spans(t)
                 keys.append(hashlib.md5(t.encode("utf-8", "surrogatepass")).digest())
-                spans.append([{"kind": k, "start": a, "end": b} for k, a, b in found])
                 entities.append(sorted({entity(k, t[a:b]) for k, a, b in found}))
-                words.append([dict(zip(("entity", "word", "start", "end"), w)) for w in nearby(t, found, near)])
-            yield arrow_batch({"doc_id": f["doc_id"], "text_key": keys, "spans": spans, "entities": entities, "words": words},
-                              {"text_key": BINARY, "spans": _list_type(), "entities": pa.list_(pa.string()), "words": words_type})
+                words.append(sorted(set(_TERM.findall(t))) if found else [])
+            yield arrow_batch({"text_key": keys, "entities": entities, "words": words},
+                              {"text_key": BINARY, "entities": pa.list_(pa.string()), "words": pa.list_(pa.string())})
 
-    return texts_of(docs, id_col, text_col).mapInArrow(
-        run, "doc_id long, text_key binary, spans array<struct<kind:string,start:bigint,end:bigint>>, entities array<string>, "
-             "words array<struct<entity:string,word:string,start:bigint,end:bigint>>")
+    return docs.select(F.col(text_col).cast("string").alias("t")).mapInArrow(
+        run, "text_key binary, entities array<string>, words array<string>")
 
 
 def _lower_rate(hits: Column, tries: Column, errors: float = ERRORS) -> Column:
@@ -135,59 +134,118 @@ def _lower_rate(hits: Column, tries: Column, errors: float = ERRORS) -> Column:
     return (rate + z2 / (2 * tries) - errors * spread) / (1 + z2 / tries)
 
 
+def _filter_of(rows: DataFrame, name: str) -> bytes:
+    """A bitmap with the bit of every value of a binary column set; other values may share a bit."""
+    at = rows.select((F.crc32(name) % F.lit(_BITS)).alias("at"))
+    pieces = at.groupBy((F.col("at") / _PIECE).cast("int").alias("k")).agg(F.bitmap_construct_agg(F.col("at") % F.lit(_PIECE)).alias("m")).collect()
+    out = np.zeros((_BITS // _PIECE, _PIECE // 8), dtype=np.uint8)
+    for r in pieces:
+        out[r["k"]] = np.frombuffer(r["m"], dtype=np.uint8)
+    return out.tobytes()
+
+
+def _may_hold(bits: bytes, value: bytes) -> int:
+    at = zlib.crc32(value) % _BITS
+    return bits[at >> 3] >> (at & 7) & 1
+
+
+def _rows_in(docs: DataFrame, bits: bytes, text_col: str) -> DataFrame:
+    """``text_key, t`` of the rows whose text's key has its bit set."""
+    import hashlib
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for f in batches:
+            keys = [hashlib.md5(t.encode("utf-8", "surrogatepass")).digest() for t in f["t"].to_pylist()]
+            yield arrow_batch({"text_key": keys, "t": f["t"]}, {"text_key": BINARY}).filter(pa.array([bool(_may_hold(bits, k)) for k in keys], type=pa.bool_()))
+
+    return docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t")).mapInArrow(run, "text_key binary, t string")
+
+
 def texts_with(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``word, n_word``: in how many different texts of ``docs`` each word stands."""
-    keyed = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
-    keyed = keyed.withColumn("text_key", F.unhex(F.md5(F.col("t").cast("binary"))))
+    texts = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
     word = F.explode(F.array_distinct(F.split("t", TERM_BREAK))).alias("word")
-    by_row = keyed.select(word, F.lit(1).cast("long").alias("n"))
+    by_row = texts.select(word, F.lit(1).cast("long").alias("n"))
     # Every row counts, then the rows beyond the first of a text are taken off: only copied texts are moved.
-    copied = keyed.groupBy("text_key").agg(F.count("*").alias("rows")).filter("rows > 1")
-    once = keyed.join(copied, "text_key").groupBy("text_key").agg(F.first("t").alias("t"), F.first("rows").alias("rows"))
+    copied = texts.groupBy(F.unhex(F.md5(F.col("t").cast("binary"))).alias("text_key")).agg(F.count("*").alias("rows")).filter("rows > 1")
+    moved = _rows_in(docs, _filter_of(copied, "text_key"), text_col)
+    once = moved.groupBy("text_key").agg(F.first("t").alias("t"), F.count("*").alias("rows")).filter("rows > 1")
     surplus = once.select(word, (1 - F.col("rows")).alias("n"))
     return by_row.union(surplus).groupBy("word").agg(F.sum("n").alias("n_word"))
 
 
 def disclosure(scanned: DataFrame, docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``entity, word, share``: what part of the entity's information content the word discloses.
+    """``word, share``: the greatest part of an entity's information content that the word discloses.
 
     All counts are different texts of the whole corpus; copies are no evidence.
     The rate of the entity among the word's texts is taken at its lower bound, so
     one common text is an estimate too, and a weaker one than many.
     """
-    pairs = scanned.select("text_key", F.explode("words").alias("w")).select("text_key", "w.entity", "w.word")
-    per_text = pairs.groupBy("entity", "word", "text_key").agg(F.lit(1).alias("one"))
-    both = per_text.groupBy("entity", "word").agg(F.count("*").alias("texts"))
-    of_entity = scanned.select(F.explode("entities").alias("entity"), "text_key").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
+    texts = scanned.filter(F.size("entities") > 0).groupBy("text_key").agg(F.first("entities").alias("entities"), F.first("words").alias("words"))
+    held = texts.select("text_key", F.explode("entities").alias("entity"))
+    # Entities of the same texts have the same counts for every word: they are one set, known by two 64-bit sums.
+    sets = held.groupBy("entity").agg(F.count("*").alias("n_entity"), F.bit_xor(F.xxhash64("text_key")).alias("a"),
+                                      F.bit_xor(F.xxhash64(F.lit(1), "text_key")).alias("b"))
+    placed = held.join(sets, "entity").select("text_key", "n_entity", "a", "b").distinct()
+    heard = texts.select("text_key", "words").join(placed, "text_key").select("n_entity", "a", "b", F.explode("words").alias("word"))
+    # A set of one text meets each of its words once: nothing to count by set.
+    alone = heard.filter("n_entity = 1").select("word", F.lit(1).cast("long").alias("texts"), "n_entity")
+    both = alone.union(heard.filter("n_entity > 1").groupBy("n_entity", "a", "b", "word").agg(F.count("*").alias("texts")).select("word", "texts", "n_entity")).distinct()
     total = scanned.select("text_key").distinct().count()
-    spoken = texts_with(docs, text_col).join(both.select("word").distinct(), "word")
     prior = F.col("n_entity") / F.lit(float(max(total, 1)))
     information = -F.log2(prior)
     mutual = F.log2(_lower_rate(F.col("texts").cast("double"), F.greatest("n_word", "texts").cast("double")) / prior)
-    return (both.join(of_entity, "entity").join(spoken, "word")
-            .select("entity", "word", F.when(information > 0, mutual / information).otherwise(F.lit(0.0)).alias("share")))
+    share = F.when(information > 0, mutual / information).otherwise(F.lit(0.0))
+    return both.join(texts_with(docs, text_col), "word").groupBy("word").agg(F.max(share).alias("share"))
+
+
+def mark(docs: DataFrame, bits: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, spans, words``: pattern spans, and the words outside them whose bit is set."""
+    words_type = pa.list_(pa.struct([("word", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, int] = {}
+
+        def may(word: str) -> int:
+            got = known.get(word)
+            if got is None:
+                if len(known) >= _REMEMBERED:
+                    known.clear()
+                got = known[word] = _may_hold(bits, word.encode("utf-8", "surrogatepass"))
+            return got
+
+        for f in batches:
+            spans, words = [], []
+            for t in f["t"].to_pylist():
+                t = t or ""
+                found = base_spans(t)
+                spans.append([{"kind": k, "start": a, "end": b} for k, a, b in found])
+                words.append([{"word": w, "start": a, "end": b} for w, a, b in words_outside(t, found) if may(w)])
+            yield arrow_batch({"doc_id": f["doc_id"], "spans": spans, "words": words}, {"spans": _list_type(), "words": words_type})
+
+    return texts_of(docs, id_col, text_col).mapInArrow(
+        run, "doc_id long, spans array<struct<kind:string,start:bigint,end:bigint>>, words array<struct<word:string,start:bigint,end:bigint>>")
 
 
-def find_personal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", near: int = NEAR,
-                  generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
+def find_personal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", generalise: float = GENERALISE,
+                  remove: float = REMOVE) -> DataFrame:
     """``doc_id, spans, term_spans`` for every row of ``docs``.
 
-    ``spans`` are the pattern spans, ``term_spans`` the words near them to be
-    generalised or removed, both as (kind, start, end) in code points. Null text
-    is empty. Rows that repeat an id and text get the same spans; null ids pass.
-    A text without a pattern span has no term span. Other columns are ignored;
-    empty table: empty result.
+    ``spans`` are the pattern spans, ``term_spans`` the words to be generalised
+    or removed, both as (kind, start, end) in code points. A word that discloses
+    an entity is marked wherever it stands outside a pattern span, in texts
+    without that entity too. Null text is empty. Rows that repeat an id and text
+    get the same spans; null ids pass. Other columns are ignored; empty table:
+    empty result.
     """
-    scanned = written(scan(docs, id_col, text_col, near), "personal")
-    shares = disclosure(scanned, docs, text_col).filter(F.col("share") >= generalise)
-    told = scanned.select("doc_id", "text_key", F.explode("words").alias("w")).select("doc_id", "text_key", "w.*").join(shares, ["entity", "word"])
-    kind = F.when(F.col("share") >= remove, F.lit("removed")).otherwise(F.lit("generalised"))
-    # One place may stand near two entities: the stronger decision holds ("removed" sorts last).
-    places = told.groupBy("doc_id", "text_key", "start", "end").agg(F.max(kind).alias("kind"))
-    terms = places.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias("terms"))
-    met = scanned.alias("s").join(terms.alias("t"), F.col("s.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("s.text_key") == F.col("t.text_key")), "left")
-    listed = F.transform(F.coalesce("t.terms", F.expr("array()")), lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
-    return met.select("s.doc_id", "s.spans", listed.alias("term_spans"))
+    scanned = written(scan(docs, text_col), "personal")
+    kind = F.when(F.col("share") >= remove, F.lit("removed")).otherwise(F.lit("generalised")).alias("kind")
+    terms = written(disclosure(scanned, docs, text_col).filter(F.col("share") >= generalise).select("word", kind), "terms")
+    marked = written(mark(docs, _filter_of(terms.select(F.encode("word", "UTF-8").alias("word")), "word"), id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "marked")
+    told = marked.select("row", F.explode("words").alias("w")).select("row", "w.*").join(terms, "word")
+    places = told.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias("terms"))
+    listed = F.transform(F.coalesce("terms", F.expr("array()")), lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
+    return marked.select("row", "doc_id", "spans").join(places, "row", "left").select("doc_id", "spans", listed.alias("term_spans"))
 
 
 def span_text(spans: Column) -> Column:

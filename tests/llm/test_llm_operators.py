@@ -396,6 +396,19 @@ def test_copies_of_disclosing_texts_change_nothing(spark):
     assert got["zanzibar"] == 3 and got["number"] == 200 and got["desk"] == 203
 
 
+def test_terms_are_marked_wherever_they_stand(spark):
+    far = "the plan about a desk and mail " * 60
+    said = [f"zanzibar {i} {far} jo@ex.com {far} {'q' * 500}" for i in range(20)]
+    plain = [f"the plan number {i} about a desk and mail" for i in range(300)]
+    alone = "the plan of zanzibar about a desk"
+    got = {r.doc_id: r for r in pii.find_personal(docs_of(spark, said + [alone] + plain)).collect()}
+    for i, t in enumerate(said + [alone]):
+        found = {t[s["start"]:s["end"]] for s in got[i].term_spans}
+        assert found == ({"zanzibar", "q" * 500} if i < 20 else {"zanzibar"})
+    assert all(not got[i].term_spans for i in range(21, 321))
+    assert list(pii.words_outside("ab jo@ex.com+cd ef", [("email", 3, 12), ("ip", 10, 15)])) == [("ab", 0, 2), ("ef", 16, 18)]
+
+
 def test_pipeline_against_plain_python(spark):
     import corpus_pipeline
     docs = documents(spark, SF_SMALL)
