@@ -198,6 +198,19 @@ def shared(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.count_nonzero(b[at] == a))
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system at the end of a task; Python workers live on for later stages."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: it trims on its own terms
+        pass
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -8,9 +8,8 @@ lanes of a batch and all languages in step.
 """
 from __future__ import annotations
 
-import hashlib
 import math
-import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,22 +18,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import DOUBLE, STRING, arrow_batch, texts_of
+from .common import DOUBLE, STRING, arrow_batch, release_memory, texts_of
 
 #: Bounds of the labelled sample: documents per language, characters of each from one place.
 PER_LANGUAGE, PASSAGE = 128, 480
 LANE = 256
 _BATCH = 4 << 20
-_LETTER = re.compile(r"[^\W\d_]")
-_BUILT: dict[str, "_Tables"] = {}
 
 
 @dataclass(frozen=True)
 class LanguageModel:
     samples: tuple[tuple[str, tuple[str, ...]], ...]  # language, passages; sorted by language
 
-    def key(self) -> str:
-        return hashlib.sha256(repr(self.samples).encode("utf-8", "surrogatepass")).hexdigest()
+
+def has_letter(text: str) -> bool:
+    """Whether a character of category L (a letter; digits and numbers of any kind are none) occurs."""
+    return any(unicodedata.category(c)[0] == "L" for c in text)
 
 
 def _folded(text: str) -> bytes:
@@ -83,35 +82,55 @@ def suffix_automaton(parts: list[bytes]) -> list[dict[int, int]]:
     return step
 
 
-class _Tables:
-    """Dense parse tables: next state, with the top bit where a phrase ends."""
+@dataclass(frozen=True)
+class Automaton:
+    """Transitions of one language's automaton, three numbers each: state, byte, next state."""
+
+    lang: str
+    states: int
+    edges: np.ndarray
+    bits: float  # what a pointer into the sample costs
+
+
+def automata(model: LanguageModel) -> tuple[Automaton, ...]:
+    """The automata of a model, built once on the driver from its bounded sample."""
+    out = []
+    for lang, passages in model.samples:
+        parts = [_folded(p) for p in passages]
+        step = suffix_automaton(parts)
+        edges = np.array([(q, c, to) for q, s in enumerate(step) for c, to in s.items()], dtype=np.int32).reshape(-1, 3)
+        out.append(Automaton(lang, len(step), edges, math.log2(2 + sum(map(len, parts)))))
+    return tuple(out)
+
+
+class Parser:
+    """Dense parse tables: next state, with the top bit where a phrase ends.
+
+    Tables take about 20 MB a language. A task makes its own from the few
+    transitions that it is sent and drops them with its last batch, so a reused
+    Python worker keeps nothing for the stages that follow.
+    """
 
     END = np.uint32(1 << 31)
 
-    def __init__(self, model: LanguageModel):
-        parts = {lang: [_folded(p) for p in passages] for lang, passages in model.samples}
-        self.langs = [lang for lang, _ in model.samples]
-        seen = sorted({c for p in parts.values() for x in p for c in x})
+    def __init__(self, languages: tuple[Automaton, ...]):
+        self.langs = [a.lang for a in languages]
+        seen = sorted({int(c) for a in languages for c in np.unique(a.edges[:, 1])})
         self.width = len(seen) + 2  # bytes met in training, any other byte, padding
         self.pad = self.width - 1
         self.classes = np.full(256, self.width - 2, dtype=np.uint8 if self.width < 256 else np.uint16)
         self.classes[seen] = np.arange(len(seen))
-        number = {c: k for k, c in enumerate(seen)}
-        self.tables, self.bits = [], []
-        for lang in self.langs:
-            step = suffix_automaton(parts[lang])
-            alone = len(step)  # the state after a byte that this language never showed: a phrase by itself
+        self.tables, self.bits = [], [a.bits for a in languages]
+        for a in languages:
+            state, column, to = a.edges[:, 0], self.classes[a.edges[:, 1]], a.edges[:, 2].astype(np.uint32)
+            alone = a.states  # the state after a byte that this language never showed: a phrase by itself
             begin = np.full(self.width, alone, dtype=np.uint32)
-            for c, q in step[0].items():
-                begin[number[c]] = q
-            table = np.repeat((begin | self.END)[None, :], len(step) + 1, axis=0)
+            begin[column[state == 0]] = to[state == 0]
+            table = np.repeat((begin | self.END)[None, :], a.states + 1, axis=0)
             table[0] = begin  # no phrase comes before the first
-            rows = np.repeat(np.arange(len(step)), [len(s) for s in step])
-            cols = np.fromiter((number[c] for s in step for c in s), dtype=np.int64, count=len(rows))
-            table[rows, cols] = np.fromiter((q for s in step for q in s.values()), dtype=np.uint32, count=len(rows))
-            table[:, self.pad] = np.arange(len(step) + 1)
+            table[state, column] = to
+            table[:, self.pad] = np.arange(a.states + 1)
             self.tables.append(table.ravel())
-            self.bits.append(math.log2(2 + sum(map(len, parts[lang]))))
 
     def phrases(self, texts: list[bytes]) -> np.ndarray:
         """[language, text] number of phrases, summed over the lanes of a text."""
@@ -137,14 +156,6 @@ class _Tables:
         return out
 
 
-def _tables(model: LanguageModel) -> _Tables:
-    key = model.key()
-    if key not in _BUILT:
-        _BUILT.clear()
-        _BUILT[key] = _Tables(model)
-    return _BUILT[key]
-
-
 def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                   seed: int = 3) -> LanguageModel:
     """Automaton samples from labelled rows (the caller leaves out held-out rows).
@@ -167,28 +178,27 @@ def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return LanguageModel(tuple(sorted((k, tuple(v)) for k, v in by.items())))
 
 
-def predict(texts: list[str | None], model: LanguageModel) -> tuple[list[str], list[float]]:
-    """Language and score per text; 'und' and 0.0 for null texts, texts without a letter, or an empty model."""
+def predict(texts: list[str | None], parser: Parser | None) -> tuple[list[str], list[float]]:
+    """Language and score per text; 'und' and 0.0 for null texts, texts without a letter, or no parser."""
     langs, scores = ["und"] * len(texts), [0.0] * len(texts)
-    if not model.samples:
+    if parser is None:
         return langs, scores
-    tables = _tables(model)
     group: list[int] = []
     held = 0
 
     def flush() -> None:
         if not group:
             return
-        cost = tables.phrases([_folded(texts[i]) for i in group]) * np.array(tables.bits)[:, None]
+        cost = parser.phrases([_folded(texts[i]) for i in group]) * np.array(parser.bits)[:, None]
         order = np.argsort(cost, axis=0, kind="stable")  # ties: the first language by name
         for k, i in enumerate(group):
             best = cost[order[0, k], k]
-            langs[i] = tables.langs[order[0, k]]
-            scores[i] = float(1 - best / cost[order[1, k], k]) if len(tables.langs) > 1 else 1.0
+            langs[i] = parser.langs[order[0, k]]
+            scores[i] = float(1 - best / cost[order[1, k], k]) if len(parser.langs) > 1 else 1.0
         group.clear()
 
     for i, t in enumerate(texts):
-        if t is None or not _LETTER.search(t):
+        if t is None or not has_letter(t):
             continue
         group.append(i)
         held += len(t)
@@ -205,24 +215,36 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     ``score`` is the relative lead over the second language (0 to 1). Null and
     repeated ids pass through; other columns are ignored; empty table: empty.
     """
+    languages = automata(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parser = Parser(languages) if languages else None
         for f in batches:
-            langs, scores = predict(f["t"].to_pylist(), model)
+            langs, scores = predict(f["t"].to_pylist(), parser)
             yield arrow_batch({"doc_id": f["doc_id"], "lang_pred": langs, "score": scores},
                               {"lang_pred": STRING, "score": DOUBLE})
+        del parser
+        release_memory()
 
     return texts_of(docs, id_col, text_col).mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` with an identified language, all columns unchanged."""
+    """The rows of ``docs`` with an identified language, all columns unchanged.
 
+    Null texts, empty texts and texts without a letter go. Without any labelled
+    row there is nothing to tell languages by, and every row with a letter stays.
+    """
+    languages = automata(model)
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parser = Parser(languages) if languages else None
         for f in batches:
-            langs, _ = predict([None if x is None else str(x) for x in f.column(at).to_pylist()], model)
-            yield f.filter(pa.array([x != "und" for x in langs], type=pa.bool_()))
+            texts = [None if x is None else str(x) for x in f.column(at).to_pylist()]
+            keep = ([x != "und" for x in predict(texts, parser)[0]] if parser else [t is not None and has_letter(t) for t in texts])
+            yield f.filter(pa.array(keep, type=pa.bool_()))
+        del parser
+        release_memory()
 
     return docs.mapInArrow(run, docs.schema)

@@ -11,32 +11,47 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import BINARY, INT, LONG, arrow_batch, texts_of
-from .tokens import encoder, vocabulary
+from .tokens import RESERVED, encoder, vocabulary
 
 CAPACITY, END_ID = 1024, 2
 PIECES_PER_GROUP = 4096
+_SLICE_BYTES = 4 << 20
+
+
+def _slices(f: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows of about 4 MB of text (a longer text is a run of its own)."""
+    upto = np.cumsum(np.nan_to_num(pc.binary_length(f[column]).to_numpy(zero_copy_only=False)))
+    lo = 0
+    while lo < len(f):
+        before = upto[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(upto, before + _SLICE_BYTES, side="right")))
+        yield f.slice(lo, hi - lo)
+        lo = hi
 
 
 def tokenize_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
                     end_id: int = END_ID, ranks_path: str | None = None) -> DataFrame:
     """``doc_id, piece, start, length, ids`` (little-endian unsigned 32-bit ids).
 
-    A document is its text's ids, then ``end_id`` (null text: just that). Only
+    A document is its text's ids as the vocabulary's JSON form gives them (a
+    reserved string in a text is its one id), then ``end_id`` (null text: just
+    that). Only
     longer documents are cut, into pieces of ``capacity``; the first may be
     shorter. Null and repeated ids pass through; other columns are ignored.
     """
     path = ranks_path or vocabulary()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(path)
+        coder = encoder(path, RESERVED)
         end = np.array([end_id], dtype="<u4")
         for whole in batches:
-            for f in (whole.slice(lo, 2000) for lo in range(0, len(whole), 2000)):
+            for f in _slices(whole, "t"):
                 rows = []
                 for doc, ids in enumerate(coder.batch(f["t"].to_pylist())):
                     ids = np.concatenate([ids, end]).astype("<u4")
@@ -48,6 +63,7 @@ def tokenize_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 yield arrow_batch({"doc_id": f["doc_id"].take(pa.array(doc)), "piece": piece, "start": start,
                                    "length": length, "ids": packed},
                                   {"piece": INT, "start": LONG, "length": LONG, "ids": BINARY})
+        coder.release()
 
     return texts_of(docs, id_col, text_col).mapInArrow(run, "doc_id long, piece int, start long, length long, ids binary")
 
@@ -139,14 +155,20 @@ def pack_pieces(pieces: DataFrame, groups: int, key_cols: tuple[str, ...] = ("do
                 length_col: str = "length", capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``; offsets of a sequence are gapless from 0.
 
-    Every other column passes through. Lengths above ``capacity`` raise. Rows
-    are dealt to ``groups`` by hash of their key, so a document of any length is
-    spread; a group is bounded by the caller's count, not by any one key.
+    Every other column passes through; input columns of those two names are
+    replaced. Lengths above ``capacity`` raise. Rows are dealt to ``groups`` by
+    hash of their key, so a document of any length is spread; a group is bounded
+    by the caller's count, not by any one key.
     """
+    own = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+    pieces = pieces.select(*[F.col(f"`{c}`") for c in own])
     schema = T.StructType(pieces.schema.fields + [T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    group = "_group"
+    while group in own:
+        group += "_"
 
     def run(key: tuple, f: pa.Table) -> pa.Table:
-        f = f.drop_columns(["_group"]).sort_by([(c, "ascending") for c in (*key_cols, length_col)])
+        f = f.drop_columns([group]).sort_by([(c, "ascending") for c in (*key_cols, length_col)])
         sizes = f[length_col].to_pylist()
         if sizes and max(sizes) > capacity:
             raise ValueError(f"a piece of {max(sizes)} tokens does not fit a sequence of {capacity}")
@@ -159,8 +181,8 @@ def pack_pieces(pieces: DataFrame, groups: int, key_cols: tuple[str, ...] = ("do
                 at += sizes[i]
         return f.append_column("sequence_id", pa.array(seq)).append_column("offset", pa.array(off))
 
-    dealt = pieces.withColumn("_group", F.pmod(F.xxhash64(*key_cols), F.lit(groups).cast("long")))
-    return dealt.groupBy("_group").applyInArrow(run, schema)
+    dealt = pieces.withColumn(group, F.pmod(F.xxhash64(*key_cols), F.lit(groups).cast("long")))
+    return dealt.groupBy(group).applyInArrow(run, schema)
 
 
 def groups_for(rows: int) -> int:
