@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh
+
 _SPAN = "18446744073709551616"  # 2**64: code points and id share one decimal order
 
 
@@ -58,10 +60,13 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, all columns unchanged, one row per distinct text."""
-    digest = F.sha2(F.encode(normalised(F.col(text_col)), "UTF-8"), 256)
+    """The rows of ``docs`` that stay, all columns unchanged, one row per distinct text.
+
+    Column names of the input may be any. Empty table: empty result.
+    """
+    keep, digest, own = fresh(docs, "_keep", "_digest", "_digest_own")
     keyed = _keyed(docs, id_col, text_col, lambda n: F.md5(F.encode(n, "UTF-8")))
-    stay = _classes(keyed).select(F.col("keep_id").alias("_keep"), F.col("text_sha256").alias("_digest"))
-    tagged = docs.withColumn("_digest_own", digest)
-    met = tagged.join(stay, tagged[id_col].eqNullSafe(stay["_keep"]) & (tagged["_digest_own"] == stay["_digest"]))
-    return met.dropDuplicates(["_keep", "_digest"]).select(*[met[c] for c in docs.columns])
+    stay = _classes(keyed).select(F.col("keep_id").alias(keep), F.col("text_sha256").alias(digest))
+    tagged = docs.withColumn(own, F.sha2(F.encode(normalised(F.col(text_col)), "UTF-8"), 256))
+    met = tagged.join(stay, F.col(id_col).eqNullSafe(F.col(keep)) & (F.col(own) == F.col(digest)))
+    return met.dropDuplicates([keep, digest]).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BINARY, LONG, arrow_batch, mix64, salts, shared, shingle_sets, stream64, texts_of, written
+from .common import BINARY, LONG, arrow_batch, fresh, mix64, salts, shared, shingle_sets, stream64, texts_of, written
 from .components import connected_components
 
 SHINGLE, BANDS, ROWS = 5, 28, 4
@@ -203,7 +203,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` whose document is kept, all columns unchanged."""
+    """The rows of ``docs`` whose document is kept, all columns unchanged (their names may be any)."""
+    keep, = fresh(docs, "_keep")
     groups = near_groups(docs, id_col, text_col, **options)
-    stay = groups.filter("kept").select(F.col("doc_id").alias("_keep")).distinct()
-    return docs.join(stay, F.col(id_col).cast("long").eqNullSafe(F.col("_keep")), "left_semi")
+    stay = groups.filter("kept").select(F.col("doc_id").alias(keep)).distinct()
+    return docs.join(stay, F.col(id_col).cast("long").eqNullSafe(F.col(keep)), "left_semi")

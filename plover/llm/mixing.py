@@ -12,11 +12,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import fresh, written
+
 LEVELS = ("domain", "lang", "source")
 #: Production weights; a value that is not named weighs 1.
 WEIGHTS: dict[str, dict[str, int]] = {"domain": {"d0": 3, "d1": 2, "d2": 2, "d3": 1},
                                       "lang": {"en": 4, "de": 2, "fr": 2, "es": 1}}
-SHARE_PERCENT, SEED, SALTS = 90, "mix-1", 64
+#: The mix holds as many tokens as the corpus; a document is seen at most MAX_EPOCHS times.
+SHARE_PERCENT, MAX_EPOCHS, SEED, SALTS = 100, 4, "mix-1", 64
 _BEFORE = (Window.unboundedPreceding, -1)
 
 
@@ -59,7 +62,7 @@ def _water_fill(nodes: DataFrame, parents: list[str], own: str) -> DataFrame:
 
 
 def budgets(supply: DataFrame, total: Column, levels: tuple[str, ...] = LEVELS,
-            weights: dict[str, dict[str, int]] = WEIGHTS, max_epochs: int = 1) -> DataFrame:
+            weights: dict[str, dict[str, int]] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """``levels..., supply, budget`` per leaf from ``levels..., supply`` (tokens, one row per leaf).
 
     ``total`` is a column over the whole supply (``all_supply``). Work is on one
@@ -83,23 +86,25 @@ def budgets(supply: DataFrame, total: Column, levels: tuple[str, ...] = LEVELS,
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
-        share_percent: int = SHARE_PERCENT, weights: dict[str, dict[str, int]] = WEIGHTS, max_epochs: int = 1,
+        share_percent: int = SHARE_PERCENT, weights: dict[str, dict[str, int]] = WEIGHTS, max_epochs: int = MAX_EPOCHS,
         seed: str = SEED) -> DataFrame:
     """``doc_id, domain, lang, source, tokens, budget, copies`` for every row of ``docs``.
 
-    Tokens are words. The budget is ``share_percent`` of all tokens, at most
+    Tokens are words (a packer's token ids are another unit: shares hold in words). The budget is ``share_percent`` of all tokens, at most
     what ``max_epochs`` passes supply. ``copies`` counts the epochs that hold
     the document: all whole epochs, and the last one if the running total of its
     leaf's order (md5 of seed, epoch and id, then id, then tokens) up to and with
     it stays within the budget. Null ids, languages and sources read as ''; a null or
     empty text has no tokens and costs nothing. Repeated rows count each. Other columns are
-    ignored; empty table: empty result.
+    ignored; empty table: empty result. Texts are read once: the narrow rows are
+    written to the shared folder.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        domain_of(F.coalesce(F.col(source_col).cast("string"), F.lit(""))).alias("domain"),
                        F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"),
                        F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"),
                        word_count(F.col(text_col)).alias("tokens"))
+    rows = written(rows, "mix")
     supply = rows.groupBy(*LEVELS).agg(F.sum("tokens").alias("supply"))
     plan = budgets(supply, F.floor(F.col("all_supply") * share_percent / 100), LEVELS, weights, max_epochs)
     plan = plan.withColumn("whole", F.when(F.col("supply") > 0, F.floor(F.col("budget") / F.greatest("supply", F.lit(1)))).otherwise(0).cast("long"))
@@ -119,7 +124,24 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     return done.select("doc_id", "domain", "lang", "source", "tokens", "budget", (F.col("whole") + last).cast("long").alias("copies"))
 
 
-def drop_over_budget(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` that the mix takes at least once, all columns unchanged."""
-    stay = mix(docs, id_col, **options).filter("copies > 0").select(F.col("doc_id").alias("_keep")).distinct()
-    return docs.join(stay, F.col(id_col).cast("long").eqNullSafe(F.col("_keep")), "left_semi")
+def shares(mixed: DataFrame) -> DataFrame:
+    """``domain, supply, taken, share``: what each domain holds and its part of the mix, from :func:`mix`."""
+    taken = F.col("tokens") * F.col("copies")
+    by = mixed.groupBy("domain").agg(F.sum("tokens").alias("supply"), F.sum(taken).alias("taken"))
+    return by.withColumn("share", F.col("taken") / F.greatest(F.sum("taken").over(Window.partitionBy()), F.lit(1)))
+
+
+def take_mix(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """The rows of the mix, all columns unchanged: a document that ``n`` epochs hold stands ``n`` times.
+
+    Each copy keeps the id of its document, so ids still name the corpus; whoever
+    needs one row per document takes the distinct rows. A document that no epoch
+    holds goes. Rows that share an id are taken as often as the one taken most.
+    Column names of the input may be any.
+    """
+    keep, times = fresh(docs, "_keep", "_times")
+    stay = (mix(docs, id_col, **options).filter("copies > 0").groupBy(F.col("doc_id").alias(keep))
+            .agg(F.max("copies").alias(times)))
+    met = docs.join(stay, F.col(id_col).cast("long").eqNullSafe(F.col(keep)))
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))
+    return met.withColumn(keep, copies).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -34,14 +34,14 @@ WITH r AS (SELECT doc_id, 'd' || (coalesce(try_cast(regexp_extract(coalesce(sour
   coalesce(lang, '') AS lang, coalesce(source, '') AS source,
   CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS tokens FROM documents),
 s AS (SELECT domain, lang, source, CAST(sum(tokens) AS BIGINT) AS supply FROM r GROUP BY ALL),
-b0 AS (SELECT CAST(floor(sum(supply) * {mixing.SHARE_PERCENT} / 100) AS BIGINT) AS budget FROM s)"""]
+b0 AS (SELECT CAST(least(floor(sum(supply) * {mixing.SHARE_PERCENT} / 100), sum(supply) * {mixing.MAX_EPOCHS}) AS BIGINT) AS budget FROM s)"""]
     for k, own in enumerate(mixing.LEVELS):
         keys = ", ".join(mixing.LEVELS[:k + 1])
         parents = ", ".join(mixing.LEVELS[:k])
         over = f"PARTITION BY {parents}" if parents else ""
         join = f"JOIN b{k} USING ({parents})" if parents else "CROSS JOIN b0"
         parts.append(f""",
-n{k} AS (SELECT q.*, budget, {weight[own]} AS w FROM (SELECT {keys}, CAST(sum(supply) AS BIGINT) AS cap FROM s GROUP BY ALL) q {join}),
+n{k} AS (SELECT q.*, budget, {weight[own]} AS w FROM (SELECT {keys}, CAST(sum(supply) * {mixing.MAX_EPOCHS} AS BIGINT) AS cap FROM s GROUP BY ALL) q {join}),
 l{k} AS (SELECT *, coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c_before,
   sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS w_rest
   FROM n{k} WHERE w > 0 AND cap > 0 WINDOW o AS ({over} ORDER BY cap / w, {own})),

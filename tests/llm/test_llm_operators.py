@@ -336,7 +336,7 @@ def test_hilbert_curve_and_shards(spark):
 def test_mix_redistributes_among_siblings_first(spark):
     leaves = spark.createDataFrame([("a", "x", "s1", 10), ("a", "x", "s2", 1000), ("a", "y", "s3", 50), ("b", "x", "s4", 30)],
                                    "domain string, lang string, source string, supply long")
-    plan = lambda total, **k: {r.source: r.budget for r in mixing.budgets(leaves, F.lit(total), weights={}, **k).collect()}
+    plan = lambda total, **k: {r.source: r.budget for r in mixing.budgets(leaves, F.lit(total), weights={}, **{"max_epochs": 1, **k}).collect()}
     assert plan(40) == {"s1": 5, "s2": 5, "s3": 10, "s4": 20}
     assert plan(60) == {"s1": 8, "s2": 7, "s3": 15, "s4": 30} or sum(plan(60).values()) == 60
     assert plan(200) == {"s1": 10, "s2": 110, "s3": 50, "s4": 30}  # s1's and y's shortage stays in a; b is used up
@@ -350,7 +350,33 @@ def test_mix_edges(spark):
     assert len(got) == len(ODD) and all(r.copies == 1 for r in got)
     assert all(r.copies in (2, 3) for r in mixing.mix(rows, share_percent=250, max_epochs=3).collect() if r.tokens)
     assert mixing.mix(rows.limit(0)).count() == 0
-    assert mixing.drop_over_budget(rows).columns == rows.columns
+    assert mixing.take_mix(rows).columns == rows.columns
+    assert mixing.take_mix(rows.limit(0)).count() == 0
+
+
+def test_mix_repeats_what_is_short_of_its_weight(spark):
+    # d0 (weight 3) holds a tenth of the words: it is repeated, and the rest of its share goes to the others.
+    rows = [(i, "a b c d", "en", "src4" if i < 10 else "src3", None) for i in range(100)]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = mixing.mix(docs).collect()
+    assert sum(r.tokens * r.copies for r in got) == 400
+    assert {r.copies for r in got if r.source == "src4"} == {4} and sum(r.copies for r in got if r.source == "src3") == 60
+    out = mixing.take_mix(docs.withColumn("_keep", F.lit(1)).withColumn("_times", F.lit(2)))
+    assert out.count() == 100 and {r["count"] for r in out.filter("source = 'src4'").groupBy("doc_id").count().collect()} == {4}
+    assert {r.domain: round(r.share, 2) for r in mixing.shares(mixing.mix(docs)).collect()} == {"d0": 0.4, "d3": 0.6}
+
+
+def test_dropping_operators_take_any_column_names(spark):
+    names = ("_keep", "_digest", "_digest_own", "_group", "t", "rep", "node", "component", "KEEP")
+    rows = docs_of(spark, ["a b c d e f", "a b c d e f", "a b  c d e f", None, ""])
+    for k, name in enumerate(names):
+        rows = rows.withColumn(name, F.lit(f"own{k}"))
+    for drop, want in ((exact_dedup.drop_copies, [2, 3]), (minhash.drop_near_copies, [0, 3, 4]), (mixing.take_mix, [0, 1, 2, 3, 4])):
+        out = drop(rows)
+        assert out.columns == rows.columns, drop
+        got = out.collect()
+        assert sorted({r.doc_id for r in got}) == want, drop
+        assert all([r[n] for n in names] == [f"own{k}" for k in range(len(names))] for r in got), drop
 
 
 def luhn(s):
@@ -450,6 +476,7 @@ def test_pipeline_against_plain_python(spark):
     mixed = corpus_pipeline.mix_sources(spark, frame, SF_SMALL)
     kept = {r.doc_id for r in mixed.collect()}
     taken = {r.doc_id for r in mixing.mix(frame).collect() if r.copies}
+    assert mixed.count() == sum(r.copies for r in mixing.mix(frame).collect())
     assert kept == taken and {r.doc_id for r in corpus_pipeline.run(spark, SF_SMALL).collect()} == kept
 
 
