@@ -13,7 +13,10 @@ from plover.llm.queries import pack_documents
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without text or letters, whose language cannot be told."""
+    """Drops documents without text or letters, whose language cannot be told.
+
+    Without any labelled document every one that has a letter stays.
+    """
     ship_package(spark)
     model = langid.fit_languages(docs.filter(fold("doc_id", 5) != 0))
     return langid.keep_identified(docs, model)
@@ -31,8 +34,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents that the budgets of the source tree take."""
-    return mixing.drop_over_budget(docs)
+    """The documents that the budgets of the source tree take, once per epoch that holds them."""
+    return mixing.take_mix(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
