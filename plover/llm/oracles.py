@@ -26,6 +26,31 @@ SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept,
 FROM n JOIN g USING (norm)"""
 
 
+OP13 = """
+WITH d AS (SELECT DISTINCT doc_id, coalesce(text, '') AS t, md5(coalesce(text, '')) AS h FROM documents),
+p AS (SELECT doc_id, t, h, CAST(length(t) AS BIGINT) AS n_chars, row_number() OVER (ORDER BY doc_id NULLS FIRST, h) AS pos, count(*) OVER () AS n FROM d),
+e AS (SELECT p.*, left(p.t, p.n_chars - p.n_chars // 2) || left(q.t, p.n_chars // 2) AS edited, q.pos AS next_pos FROM p JOIN p q ON q.pos = p.pos % p.n + 1),
+x AS (SELECT pos, 0 AS kind, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w FROM e
+  UNION ALL SELECT pos, 1, regexp_extract_all(edited, '[^\\x20\\x09-\\x0D]+') FROM e),
+m AS (SELECT pos, kind, list_transform(w, lambda x: CAST('0x' || left(md5(x), 7) AS BIGINT)) AS w FROM x),
+k AS (SELECT pos, kind, i - 1 AS place, (w[i] * 1566083941 + coalesce(w[i + 1], 0) * 1812433253 + coalesce(w[i + 2], 0) * 2083697861) % 2147483647 AS kmer
+  FROM (SELECT pos, kind, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM m WHERE len(w) > 0)),
+r AS (SELECT pos, kind, place, (kmer * 1284865837 + 981584591 * (row_number() OVER (PARTITION BY pos, kind, kmer ORDER BY place) - 1)) % 2147483647 AS rank FROM k),
+l AS (SELECT *, rank // 33554432 AS section FROM r QUALIFY row_number() OVER (PARTITION BY pos, kind, rank // 33554432 ORDER BY rank, place) <= 2),
+o AS (SELECT *, row_number() OVER (PARTITION BY pos, kind, section ORDER BY place) AS nth FROM l),
+g AS (SELECT pos, kind, section, printf('%02X%08X', section,
+  CAST(sum(rank * CASE nth WHEN 1 THEN 1099087573 ELSE 1812433259 END % 2147483647) % 2147483647 AS BIGINT)) AS entry FROM o GROUP BY pos, kind, section),
+f AS (SELECT pos, kind, list(entry ORDER BY section) AS entries, list(section) AS sections FROM g GROUP BY pos, kind),
+a AS (SELECT e.doc_id, e.t, e.n_chars, e.pos, e.next_pos, sha256(edited) AS edited_sha256,
+  coalesce(o.entries, []) AS fo, coalesce(o.sections, []) AS so, coalesce(c.entries, []) AS fc, coalesce(c.sections, []) AS sc
+  FROM e LEFT JOIN f o ON o.pos = e.pos AND o.kind = 0 LEFT JOIN f c ON c.pos = e.pos AND c.kind = 1),
+z AS (SELECT a.*, b.fo AS fn, b.so AS sn FROM a JOIN a b ON b.pos = a.next_pos)
+SELECT documents.doc_id, z.n_chars, edited_sha256, array_to_string(fo, ',') AS fingerprint, array_to_string(fc, ',') AS edited_fingerprint,
+  CASE WHEN len(so) + len(sc) = 0 THEN 1.0::DOUBLE ELSE len(list_intersect(fo, fc))::DOUBLE / len(list_distinct(so || sc)) END AS near_edited,
+  CASE WHEN len(so) + len(sn) = 0 THEN 1.0::DOUBLE ELSE len(list_intersect(fo, fn))::DOUBLE / len(list_distinct(so || sn)) END AS near_next
+FROM documents JOIN z ON z.doc_id IS NOT DISTINCT FROM documents.doc_id AND z.t = coalesce(documents.text, '')"""
+
+
 def _op2() -> str:
     weight = {level: "CAST(CASE " + " ".join(f"WHEN {level} = '{v}' THEN {w}" for v, w in mixing.WEIGHTS.get(level, {"": 1}).items())
               + " ELSE 1 END AS DOUBLE)" for level in mixing.LEVELS}
@@ -63,4 +88,5 @@ SELECT doc_id, domain, lang, source, tokens, budget, CAST(whole + CASE WHEN upto
     return "".join(parts)
 
 
-ORACLES: dict[str, str] = {"op2_mix_hierarchical": _op2(), "op4_chat_tokens": OP4, "op5_exact_dedup": OP5}
+ORACLES: dict[str, str] = {"op2_mix_hierarchical": _op2(), "op4_chat_tokens": OP4, "op5_exact_dedup": OP5,
+                           "op13_order_minhash": OP13}
