@@ -51,6 +51,27 @@ SELECT documents.doc_id, z.n_chars, edited_sha256, array_to_string(fo, ',') AS f
 FROM documents JOIN z ON z.doc_id IS NOT DISTINCT FROM documents.doc_id AND z.t = coalesce(documents.text, '')"""
 
 
+OP12 = """
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT id, lang, source, unnest(regexp_extract_all(t, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term FROM w GROUP BY ALL HAVING count(DISTINCT id) >= 30),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN k USING (lang, term) GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+t AS (SELECT lang, source, coalesce(sum(n), 0)::HUGEINT AS total FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+e AS (SELECT g.lang, g.source, term, coalesce(n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(n, 0) + 5)) // (total + 5 * v) AS p
+  FROM g JOIN k USING (lang) JOIN t USING (lang, source) JOIN v USING (lang) LEFT JOIN c USING (lang, source, term)),
+q AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(n)::HUGEINT + 5)) // (sum(sum(n)) OVER (PARTITION BY lang)::HUGEINT + 5 * count(*) OVER (PARTITION BY lang)) AS q
+  FROM c GROUP BY lang, term),
+x AS (SELECT a.lang, a.source, b.source AS item FROM g a JOIN g b USING (lang) WHERE a.source <> b.source),
+y AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM e a JOIN e b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL),
+r AS (SELECT lang, source, 'pair' AS part, item, coalesce(value, 0) AS value FROM x LEFT JOIN y USING (lang, source, item)
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM e JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+s AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INT) AS rank FROM s WHERE part = 'pair' OR rank <= 50"""
+
+
 def _op2() -> str:
     weight = {level: "CAST(CASE " + " ".join(f"WHEN {level} = '{v}' THEN {w}" for v, w in mixing.WEIGHTS.get(level, {"": 1}).items())
               + " ELSE 1 END AS DOUBLE)" for level in mixing.LEVELS}
@@ -89,4 +110,4 @@ SELECT doc_id, domain, lang, source, tokens, budget, CAST(whole + CASE WHEN upto
 
 
 ORACLES: dict[str, str] = {"op2_mix_hierarchical": _op2(), "op4_chat_tokens": OP4, "op5_exact_dedup": OP5,
-                           "op13_order_minhash": OP13}
+                           "op12_source_spimi": OP12, "op13_order_minhash": OP13}
