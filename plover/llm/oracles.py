@@ -51,6 +51,29 @@ SELECT documents.doc_id, z.n_chars, edited_sha256, array_to_string(fo, ',') AS f
 FROM documents JOIN z ON z.doc_id IS NOT DISTINCT FROM documents.doc_id AND z.t = coalesce(documents.text, '')"""
 
 
+OP11 = """
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, row_number() OVER () AS piece, w FROM (
+  SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(t, '[.,;:!?\\x0A-\\x0D]')), '[^\\x20\\x09]+') AS w FROM d) WHERE len(w) > 0),
+o AS (SELECT lang, piece, w, unnest(range(1, len(w) + 1)) AS i FROM p),
+g AS (SELECT lang, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM o),
+f1 AS (SELECT lang, a, count(*) AS f FROM g GROUP BY ALL),
+f2 AS (SELECT lang, a, b, count(*) AS f FROM g WHERE b IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+f3 AS (SELECT lang, a, b, c, count(*) AS f FROM g WHERE c IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f1 GROUP BY lang),
+x AS (SELECT lang, a, b, max(f) AS most FROM (SELECT lang, a, b, f FROM f3 UNION ALL SELECT lang, b, c, f FROM f3) GROUP BY ALL),
+s AS (SELECT f2.lang, f2.a || ' ' || f2.b AS phrase, f2.f AS a, 1 AS k, l.f AS l, r.f AS r FROM f2 JOIN f1 l ON l.lang = f2.lang AND l.a = f2.a
+    JOIN f1 r ON r.lang = f2.lang AND r.a = f2.b LEFT JOIN x ON x.lang = f2.lang AND x.a = f2.a AND x.b = f2.b WHERE most IS NULL OR 100 * most < 50 * f2.f
+  UNION ALL SELECT f3.lang, f3.a || ' ' || f3.b || ' ' || f3.c, f3.f, 1, l.f, r.f FROM f3 JOIN f1 l ON l.lang = f3.lang AND l.a = f3.a
+    JOIN f2 r ON r.lang = f3.lang AND r.a = f3.b AND r.b = f3.c
+  UNION ALL SELECT f3.lang, f3.a || ' ' || f3.b || ' ' || f3.c, f3.f, 2, l.f, r.f FROM f3 JOIN f2 l ON l.lang = f3.lang AND l.a = f3.a AND l.b = f3.b
+    JOIN f1 r ON r.lang = f3.lang AND r.a = f3.c),
+c AS (SELECT *, CAST((1000000::HUGEINT * a * a) // (l::HUGEINT * r) AS BIGINT) AS score FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY
+  (1000000::HUGEINT * a * a) // (l::HUGEINT * r), k) = 1),
+z AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM c)
+SELECT lang, rank, phrase, a, l, r, n, score FROM z JOIN n USING (lang) WHERE rank <= 2000"""
+
 OP12 = """
 WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, translate(coalesce(text, ''),
   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
@@ -110,4 +133,4 @@ SELECT doc_id, domain, lang, source, tokens, budget, CAST(whole + CASE WHEN upto
 
 
 ORACLES: dict[str, str] = {"op2_mix_hierarchical": _op2(), "op4_chat_tokens": OP4, "op5_exact_dedup": OP5,
-                           "op12_source_spimi": OP12, "op13_order_minhash": OP13}
+                           "op11_phrases_setm": OP11, "op12_source_spimi": OP12, "op13_order_minhash": OP13}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embedding_dedup, exact_dedup, langid, minhash, mixing, order_minhash, packing, pii, quality, sharding, source_audit
+from . import chat, collocations, embedding_dedup, exact_dedup, langid, minhash, mixing, order_minhash, packing, pii, quality, sharding, source_audit
 from .common import documents, fold, ship_package
 from .oracles import ORACLES  # noqa: F401
 
@@ -77,6 +77,10 @@ def op10_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pii.span_text(every).alias("spans"), F.size("term_spans").cast("long").alias("n_terms"))
 
 
+def op11_phrases_setm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
 def op12_source_spimi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_audit.audit(documents(spark, sf_dir))
 
@@ -95,4 +99,4 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _shipped(f) for f in (
     op1_quality_compression, op2_mix_hierarchical, op3_pack_swap, op4_chat_tokens, op5_exact_dedup, op6_minhash_circulant,
-    op7_langid_cross_parsing, op8_embedding_binary_codes, op9_shard_hilbert, op10_pii_disclosure, op12_source_spimi, op13_order_minhash)}
+    op7_langid_cross_parsing, op8_embedding_binary_codes, op9_shard_hilbert, op10_pii_disclosure, op11_phrases_setm, op12_source_spimi, op13_order_minhash)}
