@@ -101,7 +101,7 @@ def _key(id_col: Column, text: Column) -> Column:
 
 
 def in_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``key, n_chars, next_key, before_key, room_before``: each distinct (id, text) between its neighbours.
+    """``key, id, n_chars, next_key, before_key, room_before``: each distinct (id, text) between its neighbours.
 
     Order: id ascending, a null id first, equal ids by the text's md5; after the
     last comes the first, and a lone document follows itself. ``room_before`` is
@@ -114,7 +114,7 @@ def in_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     beside = lambda step: F.pmod(F.col("_rk_pos") + step, F.col("total_rows")).alias("_rk_pos")
     after = placed.select(beside(-1), F.col("key").alias("next_key"))
     before = placed.select(beside(1), F.col("key").alias("before_key"), F.floor(F.col("n_chars") / 2).cast("int").alias("room_before"))
-    return placed.join(after, "_rk_pos").join(before, "_rk_pos").select("key", "n_chars", "next_key", "before_key", "room_before")
+    return placed.join(after, "_rk_pos").join(before, "_rk_pos").select("key", "id", "n_chars", "next_key", "before_key", "room_before")
 
 
 def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -126,11 +126,12 @@ def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     plan = written(in_order(docs, id_col, text_col), "plan")
     t = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(_key(F.col(id_col), t).alias("key"), F.col(id_col).cast("long").alias("doc_id"), t.alias("text"))
+    # Both uses of the texts need the same two columns, so that one exchange serves both.
+    rows = docs.select(_key(F.col(id_col), t).alias("key"), t.alias("text"))
     met = rows.join(plan, "key")
     tails = met.select(F.col("before_key").alias("key"), F.left("text", F.col("room_before")).alias("tail")).dropDuplicates(["key"])
     kept = (F.col("n_chars") - F.floor(F.col("n_chars") / 2)).cast("int")
-    return met.join(tails, "key").select("key", "doc_id", "n_chars", "next_key", "text", F.concat(F.left("text", kept), "tail").alias("edited"))
+    return met.join(tails, "key").select("key", F.col("id").alias("doc_id"), "n_chars", "next_key", "text", F.concat(F.left("text", kept), "tail").alias("edited"))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, least: int = TUPLE) -> DataFrame:
