@@ -101,7 +101,7 @@ def _key(id_col: Column, text: Column) -> Column:
 
 
 def in_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``key, id, n_chars, next_key, before_key, room_before``: each distinct (id, text) between its neighbours.
+    """``key, id, n_chars, before_key, room_before``: each distinct (id, text) between its neighbours.
 
     Order: id ascending, a null id first, equal ids by the text's md5; after the
     last comes the first, and a lone document follows itself. ``room_before`` is
@@ -112,26 +112,27 @@ def in_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                       F.length(t).cast("long").alias("n_chars")).distinct()
     placed = written(running_totals(written(own, "order"), ["id", "key"]), "order")
     beside = lambda step: F.pmod(F.col("_rk_pos") + step, F.col("total_rows")).alias("_rk_pos")
-    after = placed.select(beside(-1), F.col("key").alias("next_key"))
     before = placed.select(beside(1), F.col("key").alias("before_key"), F.floor(F.col("n_chars") / 2).cast("int").alias("room_before"))
-    return placed.join(after, "_rk_pos").join(before, "_rk_pos").select("key", "id", "n_chars", "next_key", "before_key", "room_before")
+    return placed.join(before, "_rk_pos").select("key", "id", "n_chars", "before_key", "room_before")
 
 
-def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``key, doc_id, n_chars, next_key, text, edited`` for every row of ``docs``.
+def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, least: int = TUPLE) -> DataFrame:
+    """``doc_id, n_chars, edited, fingerprint, next_fingerprint`` for every row of ``docs``.
 
     ``edited`` is the text whose last ``floor(n_chars / 2)`` code points gave way
-    to the first as many (or all) of the next document. A text moves once, and
-    from there only the part that its neighbour takes.
+    to the first as many (or all) of the next document. A text moves once, with
+    its fingerprint, and from there only the part that its neighbour takes.
     """
     plan = written(in_order(docs, id_col, text_col), "plan")
     t = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    # Both uses of the texts need the same two columns, so that one exchange serves both.
-    rows = docs.select(_key(F.col(id_col), t).alias("key"), t.alias("text"))
+    # Both uses of the texts need the same columns, so that one exchange serves both.
+    rows = with_fingerprint(docs.select(_key(F.col(id_col), t).alias("key"), t.alias("text")), "text", "fingerprint", k, least)
     met = rows.join(plan, "key")
-    tails = met.select(F.col("before_key").alias("key"), F.left("text", F.col("room_before")).alias("tail")).dropDuplicates(["key"])
+    tails = met.select(F.col("before_key").alias("key"), F.left("text", F.col("room_before")).alias("tail"),
+                       F.col("fingerprint").alias("next_fingerprint")).dropDuplicates(["key"])
     kept = (F.col("n_chars") - F.floor(F.col("n_chars") / 2)).cast("int")
-    return met.join(tails, "key").select("key", F.col("id").alias("doc_id"), "n_chars", "next_key", "text", F.concat(F.left("text", kept), "tail").alias("edited"))
+    return met.join(tails, "key").select(F.col("id").alias("doc_id"), "n_chars", F.concat(F.left("text", kept), "tail").alias("edited"),
+                                         "fingerprint", "next_fingerprint")
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, least: int = TUPLE) -> DataFrame:
@@ -143,13 +144,9 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     else. Other columns are ignored, whatever their names; empty table: empty
     result.
     """
-    pairs = edited_pairs(docs, id_col, text_col)
-    pairs = pairs.select("key", "doc_id", "n_chars", "next_key", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "text", "edited")
-    made = with_fingerprint(pairs, "text", "fingerprint", k, least).drop("text")
-    made = with_fingerprint(made, "edited", "edited_fingerprint", k, least).drop("edited")
-    made = written(made, "fingerprints")
-    after = made.select(F.col("key").alias("next_key"), F.col("fingerprint").alias("_next")).dropDuplicates(["next_key"])
-    return made.join(after, "next_key").select(
-        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.col("_next")).alias("near_next"))
+    pairs = edited_pairs(docs, id_col, text_col, k, least)
+    made = pairs.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "fingerprint", "next_fingerprint", "edited")
+    made = with_fingerprint(made, "edited", "edited_fingerprint", k, least)
+    return made.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+                       likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+                       likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
