@@ -2,16 +2,17 @@
 
 ``Window.orderBy(x)`` with no partition puts every row in one task. Instead:
 
-1. boundary rows are chosen once, from a hash-ordered sample of the sort keys,
-   and become literals; the part of a row is the number of boundaries that it
-   has reached, a plain expression that gives the same part on every recompute;
+1. rows are range-partitioned by the sort keys (Spark samples the bounds and finds
+   a row's part by binary search), tagged with their part and written once to the
+   shared folder: every later read, also after an executor was lost, sees the
+   same parts, and the input is not computed again;
 2. per (part, group) totals give the offsets of all earlier parts, as a
    DataFrame: a window over the parts of each group;
 3. a window partitioned by part and group gives running sums inside each part;
    adding the offset (joined null-safe) makes them global.
 
 Hot order values cannot pile up in one part as long as the order key ends in a
-unique column (callers pass a row key), because boundaries are full key tuples.
+unique column (callers pass a row key), because bounds are full key tuples.
 Callers pre-aggregate ties (e.g. one row per distinct score) first.
 """
 from __future__ import annotations
@@ -24,10 +25,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark import StorageLevel
 
-from ..session import default_partitions
+from ..session import default_partitions, written
 
 PID = "_rk_pid"
-SAMPLE_PER_PART = 60
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
@@ -45,39 +45,11 @@ def _sort_exprs(group_by: Sequence[str], order_by: Sequence[str], descending: bo
     return exprs
 
 
-def _part_of(df: DataFrame, group_by: Sequence[str], order_by: Sequence[str], descending: bool,
-             parts: int) -> Column:
-    """The part of a row as an expression over literal boundary keys.
-
-    The boundaries come from the rows with the smallest hashes of their sort
-    key, at most ``SAMPLE_PER_PART`` per part, so the driver holds a bounded
-    number of keys whatever the table's size.
-    """
-    keys = [*group_by, *order_by]
+def _in_parts(df: DataFrame, sort: list[Column], parts: int) -> DataFrame:
+    """``df`` with ``PID``, the number of its range of the sort order; equal keys share a part."""
     if parts < 2:
-        return F.lit(0)
-    some = df.select(*keys).orderBy(F.xxhash64(*keys)).limit(parts * SAMPLE_PER_PART)
-    rows = some.orderBy(*_sort_exprs(group_by, order_by, descending)).collect()
-    cuts = [rows[k * len(rows) // parts] for k in range(1, parts)] if rows else []
-    cuts = list(dict.fromkeys(tuple(r) for r in cuts))
-    if not cuts:
-        return F.lit(0)
-
-    def typed(names: Sequence[str], at: tuple) -> list[Column]:
-        return [F.lit(at[keys.index(c)]).cast(df.schema[c].dataType).alias(c) for c in names]
-
-    bounds = F.array(*[F.struct(*([F.struct(*typed(group_by, c)).alias("g")] if group_by else []),
-                                F.struct(*typed(order_by, c)).alias("o")) for c in cuts])
-    own_order = F.struct(*[F.col(c) for c in order_by])
-
-    def reached(bound: Column) -> Column:
-        past = own_order <= bound["o"] if descending else own_order >= bound["o"]
-        if not group_by:
-            return past
-        own_group = F.struct(*[F.col(c) for c in group_by])
-        return (own_group > bound["g"]) | (own_group.eqNullSafe(bound["g"]) & past)
-
-    return F.size(F.filter(bounds, reached))
+        return df.withColumn(PID, F.lit(0))
+    return written(df.repartitionByRange(parts, *sort).withColumn(PID, F.spark_partition_id()), "ranges")
 
 
 def running_totals(df: DataFrame, order_by: Sequence[str], weights: Sequence[str] = (),
@@ -95,7 +67,7 @@ def running_totals(df: DataFrame, order_by: Sequence[str], weights: Sequence[str
         work = work.withColumn("_rk_one", F.lit(1).cast("long"))
         weights = weights + ["_rk_one"]
     sort = _sort_exprs(group_by, order_by, descending)
-    placed = work.withColumn(PID, _part_of(work, group_by, order_by, descending, n_parts))
+    placed = _in_parts(work, sort, n_parts)
     totals = placed.groupBy(PID, *group_by).agg(*[F.sum(w).alias(w) for w in weights])
     earlier = Window.partitionBy(*group_by).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*group_by)

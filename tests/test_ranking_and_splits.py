@@ -188,3 +188,26 @@ def test_downsample_keeps_null_groups(spark):
     df = spark.range(60).select(F.col("id").alias("k"), (F.col("id") % 2).alias("y"), F.when(F.col("id") % 3 > 0, "a").alias("g"))
     out = SP.stratified_downsample(df, "y", 10, ["k"], by="g", caps={"a": 10})
     assert out.filter("g is null").count() == 20 and out.filter("g = 'a'").count() == 10
+
+
+def test_parts_are_fixed_by_the_written_copy(spark):
+    """A result read twice, or through other columns, sees the same parts; the input is not computed again."""
+    from plover.operators.ranking import running_totals
+    rows = spark.range(20000, numPartitions=5).select((F.col("id") * 7919 % 10007).alias("x"), F.col("id").alias("k"), F.rand().alias("r"))
+    ranked = running_totals(rows, ["r", "k"], weights=["x"], partitions=50)
+    once = {(row["k"], row["_rk_pos"], row["cum_x"]) for row in ranked.collect()}
+    assert once == {(row["k"], row["_rk_pos"], row["cum_x"]) for row in ranked.select("cum_x", "_rk_pos", "k").collect()}
+    assert sorted(p for _, p, _ in once) == list(range(20000))
+
+
+def test_running_totals_with_many_parts(spark):
+    from plover.operators.ranking import running_totals
+    rows = spark.range(3000).select((F.col("id") % 3).alias("g"), (F.col("id") * 7919 % 1009).alias("x"), F.col("id").alias("k"))
+    got = running_totals(rows, ["x", "k"], weights=["x"], group_by=["g"], descending=True, partitions=400).collect()
+    want = {}
+    for g in range(3):
+        total = 0
+        for p, (x, k) in enumerate(sorted(((i * 7919 % 1009, i) for i in range(3000) if i % 3 == g), reverse=True)):
+            total += x
+            want[k] = (p, total)
+    assert {r["k"]: (r["_rk_pos"], r["cum_x"]) for r in got} == want
