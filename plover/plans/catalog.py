@@ -353,6 +353,26 @@ def q_train_candidates(spark, sf_dir):
                                 (m["roc_auc"] > 0.5).alias("auc_above_baseline"))
 
 
+NEWTON_FEATURES = ["location_popularity", "user_total_visits", "location_avg_rating"]
+
+
+def q_newton_tree(spark, sf_dir):
+    """One regularised second-order tree of depth 2 on the train rows: every node with its split, gain and leaf weight."""
+    apply_runtime_defaults(spark)
+    from ..operators import newton as N
+    train = lake(spark, sf_dir).filter(F.col("split") == "train")
+    rows = train.select(F.array(*[F.col(c).cast("double") for c in NEWTON_FEATURES]).alias("x"), F.col("will_visit").cast("double").alias("y"), F.lit(0.0).alias("margin"))
+    s = N.Settings(rounds=1, max_depth=2, max_bins=255, reg_lambda=1.5, reg_alpha=2.0, min_child_weight=2.0)
+    trees, edges = N.fit_trees(rows, s)
+    t, path = trees[0], {0: "root"}
+    for k in range(len(t.feature)):
+        if t.feature[k] >= 0:
+            path[t.left[k]], path[t.right[k]] = f"{path[k]}.L", f"{path[k]}.R"
+    out = [(path[k], NEWTON_FEATURES[f] if f >= 0 else None, float(edges[f][t.bin[k]]) if f >= 0 else None,
+            round(t.gain[k], 6) if f >= 0 else None, round(t.value[k], 8)) for k, f in enumerate(t.feature)]
+    return spark.createDataFrame(out, "node string, feature string, threshold double, gain double, weight double")
+
+
 def q_batch_score(spark, sf_dir):
     """Score every eval row with a fitted boosted model (output contract): ids,
     model, and whether the probability lies in [0, 1] and decides the label."""
@@ -609,6 +629,7 @@ def q_weekly_job(spark, sf_dir):
 
 
 QUERIES: dict[str, Query] = {
+    "newton_tree": q_newton_tree,
     "prepare_frame": q_prepare_frame,
     "split_by_flag": q_split_by_flag,
     "latest_run_delta": q_latest_run_delta,
@@ -712,6 +733,7 @@ ORACLES: dict[str, str] = {
     "latest_metadata": O.latest_metadata_sql(),
     "lineitem_ranking": O.lineitem_ranking_sql(),
     "train_candidates": O.train_candidates_sql([c.name for c in default_candidates()]),
+    "newton_tree": O.newton_tree_sql(),
     "batch_score": O.batch_score_sql(),
     "continue_boosting": O.continue_boosting_sql(),
     "successive_halving": O.successive_halving_sql({2: 4, 4: 2}),

@@ -571,6 +571,32 @@ SELECT candidate_name, 'ok' AS status, CASE WHEN candidate_name = '{baseline}' T
 FROM names, c"""
 
 
+def newton_tree_sql() -> str:
+    """The tree of ``newton_tree``: soft-thresholded gains over all distinct values (a missing value lies with the lowest)."""
+    features = ["location_popularity", "user_total_visits", "location_avg_rating"]
+    soft = lambda g: f"(sign({g}) * greatest(abs({g}) - 2.0, 0))"
+    part = lambda g, h: f"({soft(g)} * {soft(g)} / ({h} + 1.5))"
+    cells = " UNION ALL ".join(f"SELECT row_id, node, {k} AS f, '{c}' AS feature, coalesce(CAST({c} AS DOUBLE), (SELECT CAST(min({c}) AS DOUBLE) FROM t)) AS v, g, h FROM {{src}}"
+                               for k, c in enumerate(features))
+
+    def level(src: str, k: int) -> str:
+        return f"""
+c{k} AS ({cells.replace("{src}", src)}),
+s{k} AS (SELECT node, f, feature, v, sum(g) AS g, sum(h) AS h FROM c{k} GROUP BY ALL),
+u{k} AS (SELECT *, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(g) OVER (PARTITION BY node, f) AS gt, sum(h) OVER (PARTITION BY node, f) AS ht
+  FROM s{k} WINDOW w AS (PARTITION BY node, f ORDER BY v ROWS UNBOUNDED PRECEDING)),
+b{k} AS (SELECT *, 0.5 * ({part("gl", "hl")} + {part("(gt - gl)", "(ht - hl)")} - {part("gt", "ht")}) AS gain FROM u{k}
+  WHERE hl >= 2 AND ht - hl >= 2 QUALIFY row_number() OVER (PARTITION BY node ORDER BY round(gain, 9) DESC, f, v) = 1 AND gain > 1e-12)"""
+
+    return f"""WITH {LAKE_CTE}, t AS (SELECT *, 'root' AS node, CAST(0.5 - will_visit AS DOUBLE) AS g, 0.25::DOUBLE AS h FROM lake WHERE split = 'train' AND will_visit IS NOT NULL),
+{level("t", 0)},
+t1 AS (SELECT t.* REPLACE (CASE WHEN x.v <= b0.v THEN 'root.L' ELSE 'root.R' END AS node) FROM t JOIN c0 x USING (row_id) JOIN b0 ON x.f = b0.f),
+{level("t1", 1)},
+e AS (SELECT node, feature, v, gain, gl, hl, gt, ht FROM b0 UNION ALL SELECT node, feature, v, gain, gl, hl, gt, ht FROM b1),
+n AS (SELECT 'root' AS node, sum(g) AS g, sum(h) AS h FROM t UNION ALL SELECT node || '.L', gl, hl FROM e UNION ALL SELECT node || '.R', gt - gl, ht - hl FROM e)
+SELECT n.node, e.feature, e.v AS threshold, round(e.gain, 6) AS gain, round(-0.3 * {soft("n.g")} / (n.h + 1.5), 8) AS weight FROM n LEFT JOIN e USING (node)"""
+
+
 def batch_score_sql() -> str:
     return f"""WITH {LAKE_CTE}
 SELECT row_id, user_id, location_id AS gmap_id, 'WillVisit' AS model_name, '1' AS model_version,

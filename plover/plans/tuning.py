@@ -1,7 +1,6 @@
 """Synchronous successive-halving search over boosted-tree parameters."""
 from __future__ import annotations
 
-import logging
 import time
 
 from pyspark import StorageLevel
@@ -14,24 +13,20 @@ from ..operators import metrics as M
 from ..operators import models as MD
 from ..operators import search as H
 from ..operators.features import DatasetBundle
+from ..operators.newton import NewtonBoostingClassifier, Settings, grow
 
-log = logging.getLogger(__name__)
 TRIALS_SCHEMA = "trial_id string, iteration int, params map<string,double>, metrics map<string,double>"
 
 
 def _gbt_for(params: dict, rounds: int, target: str, seed: int) -> GBTClassifier:
-    est = GBTClassifier(featuresCol=MD.FEATURES, labelCol=target, maxIter=int(rounds),
-                        maxDepth=int(params.get("max_depth", 6)),
-                        stepSize=float(params.get("learning_rate", 0.1)),
-                        subsamplingRate=float(params.get("subsample", 1.0)), seed=seed)
-    col = params.get("colsample_bytree")
-    if col is not None and col < 1.0:
-        est.setFeatureSubsetStrategy(str(float(col)))
-    return est
+    return GBTClassifier(featuresCol=MD.FEATURES, labelCol=target, maxIter=int(rounds),
+                         maxDepth=int(params.get("max_depth", 6)),
+                         stepSize=float(params.get("learning_rate", 0.1)),
+                         subsamplingRate=float(params.get("subsample", 1.0)), seed=seed)
 
 
-# Sampled but not applied (no MLlib counterpart); kept in the trial params.
-NOT_APPLIED = ("min_child_weight", "reg_lambda", "reg_alpha")
+def _is_regularised(params: dict) -> bool:
+    return any(name in params for name in MD.REGULARISED)
 
 
 def _metrics_at(model, data: dict[str, DataFrame], target: str) -> dict:
@@ -60,9 +55,6 @@ def tune(spark: SparkSession, bundle: DatasetBundle, space: dict, num_samples: i
     trials = H.sample_search_space(spark, space, num_samples, seed)
     trial_rows = {r["trial_id"]: {**(base_params or {}), **r["params"]}
                   for r in trials.select("trial_id", "params").collect()}
-    unused = sorted({n for p in trial_rows.values() for n in p if n in NOT_APPLIED})
-    if unused:
-        log.warning("sampled parameters %s have no MLlib counterpart; not applied", unused)
     pre, asm = MD.fit_preprocessor(bundle.train, bundle.feature_columns)
     keep = [*bundle.key_columns, target]
     data = {part: asm.transform(pre.transform(df)).select(*keep, MD.FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
@@ -71,6 +63,11 @@ def tune(spark: SparkSession, bundle: DatasetBundle, space: dict, num_samples: i
 
     def fitted(p: dict, rounds: int, before):
         spw = float(p.get("scale_pos_weight", 1.0))
+        if _is_regularised(p):
+            settings = {**MD.newton_settings({"learning_rate": 0.1, "random_state": seed, **p}), "rounds": rounds}
+            if before is not None:
+                return grow(before, train_v, target, Settings(**{**settings, "rounds": rounds - len(before.trees)}))
+            return NewtonBoostingClassifier(featuresCol=MD.FEATURES, labelCol=target, settings=settings).fit(train_v)
         if before is not None:
             return MD.grow_boosting(before, train_v, target, rounds - len(before.trees), positive_weight=spw)
         est, fit_on = _gbt_for(p, rounds, target, seed), train_v

@@ -31,7 +31,10 @@ def test_build_estimator_mapping_and_errors(spark):
                                           "min_child_weight": 2, "reg_lambda": 1.5, "n_jobs": -1,
                                           "scale_pos_weight": 2.0}, "y")
     assert plan.mapped == {"maxIter": 7, "maxDepth": 3, "stepSize": 0.1}
-    assert plan.unsupported == {"min_child_weight": 2, "reg_lambda": 1.5} and plan.weight_col
+    assert not plan.unsupported and not plan.weight_col
+    assert plan.estimator.getOrDefault("settings") == {"rounds": 7, "max_depth": 3, "learning_rate": 0.1, "min_child_weight": 2.0,
+                                                       "reg_lambda": 1.5, "positive_weight": 2.0}
+    assert MD.build_estimator("xgboost", {"scale_pos_weight": 2.0}, "y").weight_col
     with pytest.raises(MD.ModelConfigError):
         MD.build_estimator("xgboost", {"bogus": 1}, "y")
     with pytest.raises(MD.ModelConfigError):
@@ -92,8 +95,8 @@ def test_continued_fit_equals_the_longer_fit(spark, bundle):
 
 
 def test_continued_trees_keep_the_old_parameters(spark, bundle):
-    plan = MD.build_estimator("xgboost", {"n_estimators": 2, "max_depth": 3, "subsample": 0.5, "colsample_bytree": 0.5}, "y")
-    plan.estimator.setMinInstancesPerNode(150)
+    plan = MD.build_estimator("xgboost", {"n_estimators": 2, "max_depth": 3, "subsample": 0.5}, "y")
+    plan.estimator.setMinInstancesPerNode(150).setFeatureSubsetStrategy("0.5")
     old, _ = MD.fit_pipeline(plan, ["a", "b"], bundle.train, "y")
     held = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
     new_rows = planted(spark, 400, 20_000)
