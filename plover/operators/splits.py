@@ -2,10 +2,11 @@
 
 Every split returns ONE tagged DataFrame (a ``split`` column with ``train``,
 ``val``, ``test``); rows that belong nowhere are dropped. Quotas are exact:
-per-class / global counts are aggregated first (bounded result), the row at
-each quota boundary is found with the distributed ranking primitive, and rows
-are then assigned by comparing their order key with those boundary tuples -
-a map-only pass over the full rows, so wide rows are never shuffled.
+the row at each quota boundary is found with the distributed ranking primitive,
+and rows are then assigned by comparing their order key with those boundary
+tuples. Strata may be any number: their boundaries are a table, written once
+and joined by class, which Spark broadcasts while it is small, so wide rows are
+not shuffled then.
 Membership never depends on ``rand()`` or partition layout: the order inside a
 class is ``xxhash64(seed, key)`` then the key.
 """
@@ -22,11 +23,14 @@ from pyspark.sql import functions as F
 
 from ..config import DatasetSpec
 from ..functions.exprs import seeded_hash, tuple_lt
-from .ranking import collect_bounded, kth_thresholds, narrow_pass
+from ..session import written
+from .ranking import join_null_safe, kth_thresholds, narrow_pass, running_totals
 from .schema import SchemaError
 
 SPLIT = "split"
-MAX_CLASSES = 10_000
+SALT_FROM = 50_000  # classes from which bounds are joined by class and salt
+SALTS = 16
+SALT = "_split_salt"
 HASH_COL = "_split_h"
 
 
@@ -100,10 +104,43 @@ def scope_train(train: DataFrame, scope: str, date_col: str = "pipeline_run_date
 # ---------------------------------------------------------------------------
 # Helpers
 # ---------------------------------------------------------------------------
-def _class_counts(df: DataFrame, group_cols: Sequence[str]) -> dict:
-    agg = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n"))
-    rows = collect_bounded(agg, MAX_CLASSES, "class counts")
-    return {tuple(r[g] for g in group_cols): int(r["n"]) for r in rows}
+def _class_bounds(narrow: DataFrame, class_cols: Sequence[str], order: Sequence[str], cuts: dict[str, Column]) -> DataFrame:
+    """Per class the order key of its row at each cut (a position, from ``total_rows`` and the class columns).
+
+    A cut at or past the end of a class has no row: NULL, everything is below
+    it. The table is written, so each class is ranked once; an order key equal
+    to the one before it raises, as the cut could not be exact.
+    """
+    at = F.col("_rk_pos")
+    ranked = running_totals(narrow.select(*dict.fromkeys([*class_cols, *order])), order, group_by=class_cols)
+    near = F.lit(False)
+    for cut in cuts.values():
+        near = near | (at == cut) | (at == cut - 1)
+    key = F.struct(*order)
+    bounds = written(ranked.filter(near).groupBy(*class_cols).agg(
+        *[F.max(F.when(at == cut - k, key)).alias(f"{name}{'_before' * k}") for name, cut in cuts.items() for k in (0, 1)]), "bounds")
+    tied = F.lit(False)
+    for name in cuts:
+        tied = tied | (F.col(name) == F.col(f"{name}_before"))
+    if not bounds.filter(tied).isEmpty():
+        raise ValueError(f"a cut falls between equal order keys {list(order)}; end the order in a unique key")
+    return bounds.drop(*[f"{name}_before" for name in cuts])
+
+
+def _with_bounds(base: DataFrame, bounds: DataFrame, class_cols: Sequence[str], hash_col: str) -> DataFrame:
+    """``base`` with the bounds of each row's class.
+
+    Few classes are a small side that Spark broadcasts by its size. With more,
+    both sides meet by class and salt, so that a hot class is many tasks.
+    """
+    if bounds.count() <= SALT_FROM:
+        return join_null_safe(base, bounds, class_cols, "left")
+    salted = bounds.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return join_null_safe(base.withColumn(SALT, F.pmod(F.col(hash_col), F.lit(SALTS)).cast("int")), salted, [*class_cols, SALT], "left").drop(SALT)
+
+
+def _below(order: Sequence[str], bound: str) -> Column:
+    return F.col(bound).isNull() | (F.struct(*order) < F.col(bound))
 
 
 # ---------------------------------------------------------------------------
@@ -160,21 +197,11 @@ def percent_split(df: DataFrame, train_pct: float, test_pct: float, target: str,
     -> val, last ``int(n*test_pct)`` -> test. NULL targets are in no class."""
     validate_fractions(train_pct, test_pct)
     base = df.filter(F.col(target).isNotNull()).withColumn(HASH_COL, seeded_hash(seed, *key_cols))
-    order = [HASH_COL, *key_cols]
-    with narrow_pass(base, [target, *order]) as narrow:
-        counts = _class_counts(narrow, [target])
-        want, plan = {}, {}
-        for g, n in counts.items():
-            n_train, n_val, n_test = stratified_quotas(n, train_pct, test_pct)
-            cuts = [n_train, n_train + n_val]
-            plan[g] = cuts
-            want[g] = [c for c in cuts if c < n]
-        found = kth_thresholds(narrow, order, want, [target])
-    bounds = {g: [found.get((g, c)) if c < counts[g] else None for c in cuts]
-              for g, cuts in plan.items()}
-    # A boundary at position >= n means "everything is below it".
-    expr = _assign_with_full(order, bounds, plan, counts, [target], ["train", "val", "test"])
-    return base.withColumn(SPLIT, expr).filter(F.col(SPLIT).isNotNull()).drop(HASH_COL)
+    order = list(dict.fromkeys([HASH_COL, *key_cols]))
+    n = F.col("total_rows")
+    bounds = _class_bounds(base, [target], order, {"_cut_train": F.floor(n * F.lit(train_pct)), "_cut_val": n - F.floor(n * F.lit(test_pct))})
+    label = F.when(_below(order, "_cut_train"), "train").when(_below(order, "_cut_val"), "val").otherwise("test")
+    return _with_bounds(base, bounds, [target], HASH_COL).withColumn(SPLIT, label).drop(HASH_COL, "_cut_train", "_cut_val")
 
 
 def _assign_with_full(order, bounds, plan, counts, group_cols, labels) -> Column:
@@ -220,10 +247,6 @@ def sequential_split(df: DataFrame, train_pct: float, test_pct: float,
 # ---------------------------------------------------------------------------
 # Stratified downsample (optionally per split) and shuffle rank
 # ---------------------------------------------------------------------------
-def downsample_quota(max_rows: int, n_class: int, n_total: int) -> int:
-    return max(1, int(max_rows * n_class / n_total))
-
-
 def stratified_downsample(df: DataFrame, target: str, max_rows: int, key_cols: Sequence[str],
                           seed: int = 42, by: str | None = None,
                           caps: dict | None = None) -> DataFrame:
@@ -233,50 +256,25 @@ def stratified_downsample(df: DataFrame, target: str, max_rows: int, key_cols: S
     With ``by``, each value of that column is a frame with its own cap
     (``caps``; values without a cap pass through unchanged)."""
     groups = [by] if by else []
-    cap_of = (lambda v: caps.get(v)) if by else (lambda v: max_rows)
-    h = seeded_hash(seed, *key_cols)
-    base = df.withColumn(HASH_COL, h)
-    order = [HASH_COL, *key_cols]
-    narrow_cols = list(dict.fromkeys([*groups, target, *order]))
-    with narrow_pass(base, narrow_cols) as narrow:
-        # One aggregate gives both the frame sizes (NULL targets included)
-        # and the per-class sizes.
-        all_counts = _class_counts(narrow, groups + [target])
-        frame_n: dict = {}
-        for gk, n in all_counts.items():
-            frame_n[gk[:-1]] = frame_n.get(gk[:-1], 0) + n
-        capped = {g for g, n in frame_n.items() if cap_of(g[0] if g else None) is not None
-                  and n > cap_of(g[0] if g else None)}
+    classes = list(dict.fromkeys([*groups, target]))
+    base = df.withColumn(HASH_COL, seeded_hash(seed, *key_cols))
+    order = list(dict.fromkeys([HASH_COL, *key_cols]))
+    limits = dict(caps or {}) if by else {None: max_rows}
+    frame = (lambda v: F.col(by).eqNullSafe(F.lit(v))) if by else (lambda v: F.lit(True))
+    with narrow_pass(base, list(dict.fromkeys([*classes, *order]))) as narrow:
+        # One count per frame that has a cap, NULL targets included.
+        sizes = narrow.agg(*[F.count(F.when(frame(v), 1)).alias(f"n{k}") for k, v in enumerate(limits)]).first() if limits else []
+        capped = {v: n for v, n in zip(limits, sizes) if n > limits[v]}
         if not capped:
             return df
-        cls = {gk: n for gk, n in all_counts.items() if gk[-1] is not None}
-        plan, want = {}, {}
-        for gk, n_c in cls.items():
-            frame = gk[:-1]
-            if frame not in capped:
-                continue
-            cap = cap_of(frame[0] if frame else None)
-            q = downsample_quota(cap, n_c, frame_n[frame])
-            plan[gk] = q
-            if q < n_c:
-                want[gk] = [q]
-        found = kth_thresholds(narrow.filter(F.col(target).isNotNull()), order, want, groups + [target])
-    keep = None
-    for gk, q in plan.items():
-        cond = F.lit(True)
-        for c, v in zip(groups + [target], gk):
-            cond = cond & F.col(c).eqNullSafe(F.lit(v))
-        if q < cls[gk]:
-            cond = cond & tuple_lt(order, found[(gk, q)])
-        keep = cond if keep is None else (keep | cond)
-    in_capped = F.lit(False)
-    for frame in capped:
-        c = F.lit(True)
-        for col, v in zip(groups, frame):
-            c = c & F.col(col).eqNullSafe(F.lit(v))
-        in_capped = in_capped | c
-    keep = keep if keep is not None else F.lit(False)
-    return base.filter((~in_capped) | keep).drop(HASH_COL)
+        quota = in_capped = None
+        for v, n in capped.items():
+            share = F.greatest(F.lit(1), F.floor(F.lit(limits[v]) * F.col("total_rows") / F.lit(n)))
+            quota = F.when(frame(v), share) if quota is None else quota.when(frame(v), share)
+            in_capped = frame(v) if in_capped is None else in_capped | frame(v)
+        bounds = _class_bounds(narrow.filter(in_capped & F.col(target).isNotNull()), classes, order, {"_cut": quota})
+    keep = ~in_capped | (F.col(target).isNotNull() & _below(order, "_cut"))
+    return _with_bounds(base, bounds, classes, HASH_COL).filter(keep).drop(HASH_COL, "_cut")
 
 
 def with_shuffle_rank(df: DataFrame, key_cols: Sequence[str], seed: int = 42) -> DataFrame:

@@ -64,6 +64,14 @@ def q_stratified_split_counts(spark, sf_dir):
     return SP.split_report(tagged, "will_visit")
 
 
+def q_strata_split_counts(spark, sf_dir):
+    """Percent split of the orders with every customer as a stratum: rows per customer and split."""
+    apply_runtime_defaults(spark)
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    tagged = SP.percent_split(orders, 0.7, 0.15, "o_custkey", ["o_orderkey"], seed=42)
+    return tagged.groupBy("o_custkey", "split").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def q_stratified_downsample_counts(spark, sf_dir):
     apply_runtime_defaults(spark)
     kept = SP.stratified_downsample(table(spark, sf_dir, "labels"), "quality", 150, ["doc_id"], seed=42)
@@ -373,6 +381,25 @@ def q_newton_tree(spark, sf_dir):
     return spark.createDataFrame(out, "node string, feature string, threshold double, gain double, weight double")
 
 
+def q_newton_scores(spark, sf_dir):
+    """Output contract of the tree of ``newton_tree`` over every eval row, with
+    the learned probability; a missing feature goes left, as in the fit."""
+    apply_runtime_defaults(spark)
+    from pyspark.ml.feature import VectorAssembler
+    from ..operators import models as MD
+    from ..operators import newton as N
+    rows = lake(spark, sf_dir)
+    train = rows.filter(F.col("split") == "train").select(
+        F.array(*[F.col(c).cast("double") for c in NEWTON_FEATURES]).alias("x"), F.col("will_visit").cast("double").alias("y"), F.lit(0.0).alias("margin"))
+    trees, edges = N.fit_trees(train, N.Settings(rounds=1, max_depth=2, max_bins=255, reg_lambda=1.5, reg_alpha=2.0, min_child_weight=2.0))
+    filled = rows.filter(F.col("split") == "eval").select(
+        "row_id", "user_id", F.col("location_id").alias("gmap_id"), *[F.coalesce(F.col(c).cast("double"), F.lit(float("-inf"))).alias(f"_x{k}") for k, c in enumerate(NEWTON_FEATURES)])
+    vectors = VectorAssembler(inputCols=[f"_x{k}" for k in range(len(NEWTON_FEATURES))], outputCol=MD.FEATURES, handleInvalid="keep").transform(filled)
+    scored = MD.score(N.as_model(trees, edges, "newton_scores").setFeaturesCol(MD.FEATURES), vectors)
+    out = MD.scoring_output(scored, "WillVisit", "1", ("row_id", "user_id", "gmap_id"))
+    return out.withColumn("will_visit_probability", F.round("will_visit_probability", 8))
+
+
 def q_batch_score(spark, sf_dir):
     """Score every eval row with a fitted boosted model (output contract): ids,
     model, and whether the probability lies in [0, 1] and decides the label."""
@@ -630,6 +657,8 @@ def q_weekly_job(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     "newton_tree": q_newton_tree,
+    "newton_scores": q_newton_scores,
+    "strata_split_counts": q_strata_split_counts,
     "prepare_frame": q_prepare_frame,
     "split_by_flag": q_split_by_flag,
     "latest_run_delta": q_latest_run_delta,
@@ -734,6 +763,8 @@ ORACLES: dict[str, str] = {
     "lineitem_ranking": O.lineitem_ranking_sql(),
     "train_candidates": O.train_candidates_sql([c.name for c in default_candidates()]),
     "newton_tree": O.newton_tree_sql(),
+    "newton_scores": O.newton_scores_sql(),
+    "strata_split_counts": O.strata_split_counts_sql(0.7, 0.15),
     "batch_score": O.batch_score_sql(),
     "continue_boosting": O.continue_boosting_sql(),
     "successive_halving": O.successive_halving_sql({2: 4, 4: 2}),

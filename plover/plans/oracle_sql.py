@@ -571,7 +571,7 @@ SELECT candidate_name, 'ok' AS status, CASE WHEN candidate_name = '{baseline}' T
 FROM names, c"""
 
 
-def newton_tree_sql() -> str:
+def _newton_tree_ctes() -> str:
     """The tree of ``newton_tree``: soft-thresholded gains over all distinct values (a missing value lies with the lowest)."""
     features = ["location_popularity", "user_total_visits", "location_avg_rating"]
     soft = lambda g: f"(sign({g}) * greatest(abs({g}) - 2.0, 0))"
@@ -593,8 +593,33 @@ b{k} AS (SELECT *, 0.5 * ({part("gl", "hl")} + {part("(gt - gl)", "(ht - hl)")}
 t1 AS (SELECT t.* REPLACE (CASE WHEN x.v <= b0.v THEN 'root.L' ELSE 'root.R' END AS node) FROM t JOIN c0 x USING (row_id) JOIN b0 ON x.f = b0.f),
 {level("t1", 1)},
 e AS (SELECT node, feature, v, gain, gl, hl, gt, ht FROM b0 UNION ALL SELECT node, feature, v, gain, gl, hl, gt, ht FROM b1),
-n AS (SELECT 'root' AS node, sum(g) AS g, sum(h) AS h FROM t UNION ALL SELECT node || '.L', gl, hl FROM e UNION ALL SELECT node || '.R', gt - gl, ht - hl FROM e)
-SELECT n.node, e.feature, e.v AS threshold, round(e.gain, 6) AS gain, round(-0.3 * {soft("n.g")} / (n.h + 1.5), 8) AS weight FROM n LEFT JOIN e USING (node)"""
+n AS (SELECT 'root' AS node, sum(g) AS g, sum(h) AS h FROM t UNION ALL SELECT node || '.L', gl, hl FROM e UNION ALL SELECT node || '.R', gt - gl, ht - hl FROM e),
+tree AS (SELECT n.node, e.feature, e.v AS threshold, round(e.gain, 6) AS gain, round(-0.3 * {soft("n.g")} / (n.h + 1.5), 8) AS weight, -0.3 * {soft("n.g")} / (n.h + 1.5) AS exact FROM n LEFT JOIN e USING (node))"""
+
+
+def newton_tree_sql() -> str:
+    return f"{_newton_tree_ctes()} SELECT node, feature, threshold, gain, weight FROM tree"
+
+
+def newton_scores_sql() -> str:
+    """Every eval row walks down the tree, two levels."""
+    value = "coalesce(CASE t.feature WHEN 'location_popularity' THEN CAST(location_popularity AS DOUBLE) " \
+            "WHEN 'user_total_visits' THEN CAST(user_total_visits AS DOUBLE) " \
+            "WHEN 'location_avg_rating' THEN CAST(location_avg_rating AS DOUBLE) END, '-Infinity'::DOUBLE)"
+    step = f"CASE WHEN t.feature IS NULL THEN t.node WHEN {value} <= t.threshold THEN t.node || '.L' ELSE t.node || '.R' END"
+    return f"""{_newton_tree_ctes()},
+w1 AS (SELECT l.*, {step} AS place FROM lake l JOIN tree t ON t.node = 'root' WHERE l.split = 'eval'),
+w2 AS (SELECT w1.* EXCLUDE (place), {step} AS place FROM w1 JOIN tree t ON t.node = w1.place)
+SELECT row_id, user_id, location_id AS gmap_id, round(1 / (1 + exp(-exact)), 8) AS will_visit_probability,
+ CAST(exact > 0 AS INT) AS recommend, 'WillVisit' AS model_name, '1' AS model_version FROM w2 JOIN tree ON tree.node = w2.place"""
+
+
+def strata_split_counts_sql(train_pct: float, test_pct: float) -> str:
+    return f"""WITH c AS (SELECT o_custkey, count(*) AS n FROM orders WHERE o_custkey IS NOT NULL GROUP BY 1),
+q AS (SELECT o_custkey, n, CAST(floor(n * {train_pct}::DOUBLE) AS BIGINT) AS a, CAST(floor(n * {test_pct}::DOUBLE) AS BIGINT) AS b FROM c),
+s AS (SELECT o_custkey, 'train' AS split, a AS rows FROM q UNION ALL SELECT o_custkey, 'val', n - a - b FROM q
+ UNION ALL SELECT o_custkey, 'test', b FROM q)
+SELECT * FROM s WHERE rows > 0"""
 
 
 def batch_score_sql() -> str:

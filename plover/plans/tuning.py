@@ -2,9 +2,11 @@
 from __future__ import annotations
 
 import time
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +15,8 @@ from ..operators import metrics as M
 from ..operators import models as MD
 from ..operators import search as H
 from ..operators.features import DatasetBundle
-from ..operators.newton import NewtonBoostingClassifier, Settings, grow
+from ..session import ensure_checkpoint_dir, written
+from ..operators import newton as N
 
 TRIALS_SCHEMA = "trial_id string, iteration int, params map<string,double>, metrics map<string,double>"
 
@@ -29,6 +32,20 @@ def _is_regularised(params: dict) -> bool:
     return any(name in params for name in MD.REGULARISED)
 
 
+def staged_metrics(rows: DataFrame, trees: list, edges: list, every: int) -> DataFrame:
+    """Metric set and log loss after each ``every`` rounds: ``round`` and the metrics, from one scoring pass over ``rows``.
+
+    The scores of all rounds are written once, as both figures read them."""
+    scored = written(N.staged_scores(rows, trees, edges, every), "staged").withColumn("pred", (F.col("score") >= 0.5).cast("int"))
+    losses = M.logloss(scored, "y", "score", ["round"])
+    return M.binary_metrics(scored, "y", "pred", "score", ["round"]).join(losses, "round")
+
+
+def newton_rows(df: DataFrame, target: str) -> DataFrame:
+    """Assembled rows as :mod:`newton` reads them."""
+    return df.select(vector_to_array(MD.FEATURES).alias("x"), F.col(target).cast("double").alias("y"), F.lit(0.0).alias("margin"))
+
+
 def _metrics_at(model, data: dict[str, DataFrame], target: str) -> dict:
     """Validation metrics and both log losses of a fitted model."""
     scored = {part: MD.score(model, df, threshold=0.5) for part, df in data.items()}
@@ -42,9 +59,16 @@ def tune(spark: SparkSession, bundle: DatasetBundle, space: dict, num_samples: i
          metric: str = "roc_auc", mode: str = "max", max_t: int = SEARCH_MAX_ROUNDS,
          grace: int = SEARCH_GRACE_PERIOD, reduction: int = SEARCH_REDUCTION_FACTOR,
          seed: int = 42, reports: DataFrame | None = None, base_params: dict | None = None,
-         best_model_path: str | None = None) -> tuple[DataFrame, DataFrame]:
+         best_model_path: str | None = None, log_path: str | None = None,
+         report_every: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Returns (reports, best).
 
+    Trials with regularised trees keep every finished tree under ``log_path``
+    (default: the checkpoint folder); a search that is called again with the
+    same folder, rows and space grows on from the last tree of each trial. They
+    report after every ``report_every`` rounds (default: at the rungs), all
+    rounds of a rung scored in one pass.
+
     A trial that survives a rung grows on from the trees that it has; it is
     fitted from zero only where an earlier, interrupted run left ``reports``
     without a model. What these reports cover is not fitted again. Sampled
@@ -61,13 +85,31 @@ def tune(spark: SparkSession, bundle: DatasetBundle, space: dict, num_samples: i
             for part, df in (("validation", bundle.val), ("train", bundle.train))}
     train_v = data["train"]
 
+    logs = (log_path or f"{ensure_checkpoint_dir(spark).rstrip('/')}/plover-trials-{uuid.uuid4().hex}").rstrip("/")
+
+    def newton_trees(tid: str, rounds: int):
+        settings = {**MD.newton_settings({"learning_rate": 0.1, "random_state": seed, **trial_rows[tid]}), "rounds": rounds}
+        return N.fit_trees(newton_rows(train_v, target), N.Settings(**settings), log=N.FitLog(spark, f"{logs}/{tid}"))
+
+    def newton_reports(tid: str, past: int, rung: int):
+        """Reports after ``past`` rounds up to the rung, and the model at the rung."""
+        t0 = time.perf_counter()
+        trees, edges = newton_trees(tid, rung)
+        every = report_every or rung
+        staged = {part: staged_metrics(newton_rows(df, target), trees, edges, every).collect() for part, df in data.items()}
+        loss = {r["round"]: r["logloss"] for r in staged["train"]}
+        out = []
+        for r in sorted(staged["validation"], key=lambda r: r["round"]):  # one row per report
+            if past < r["round"] <= rung:
+                m = {k: float(v) for k, v in r.asDict().items() if v is not None and k not in ("round", "logloss")}
+                m.update(validation_logloss=float(r["logloss"]), train_logloss=float(loss[r["round"]]),
+                         training_iteration=float(r["round"]), seconds=time.perf_counter() - t0)
+                out.append((r["round"], m))
+        model = N.as_model(trees, edges, f"newton_{tid}").setFeaturesCol(MD.FEATURES)
+        return out, model
+
     def fitted(p: dict, rounds: int, before):
         spw = float(p.get("scale_pos_weight", 1.0))
-        if _is_regularised(p):
-            settings = {**MD.newton_settings({"learning_rate": 0.1, "random_state": seed, **p}), "rounds": rounds}
-            if before is not None:
-                return grow(before, train_v, target, Settings(**{**settings, "rounds": rounds - len(before.trees)}))
-            return NewtonBoostingClassifier(featuresCol=MD.FEATURES, labelCol=target, settings=settings).fit(train_v)
         if before is not None:
             return MD.grow_boosting(before, train_v, target, rounds - len(before.trees), positive_weight=spw)
         est, fit_on = _gbt_for(p, rounds, target, seed), train_v
@@ -83,12 +125,21 @@ def tune(spark: SparkSession, bundle: DatasetBundle, space: dict, num_samples: i
             done[(r["trial_id"], int(r["iteration"]))] = (dict(r["params"]), dict(r["metrics"]))
     alive = sorted(trial_rows)
     rows, models = [], {}
+    past = 0
     for rung in H.rung_schedule(grace, max_t, reduction):
         for tid in alive:
+            p = trial_rows[tid]
             if (tid, rung) in done:
+                # Reports between the rungs come back with the rung's own.
+                for (_, k), (p, m) in sorted((key, v) for key, v in done.items() if key[0] == tid and past < key[1] < rung):
+                    rows.append((tid, k, {n: float(v) for n, v in p.items()}, m))
                 p, m = done[(tid, rung)]
+            elif _is_regularised(p):
+                staged, models[tid] = newton_reports(tid, past, rung)
+                for k, m in staged[:-1]:
+                    rows.append((tid, k, {n: float(v) for n, v in p.items()}, m))
+                m = staged[-1][1]
             else:
-                p = trial_rows[tid]
                 t0 = time.perf_counter()
                 models[tid] = fitted(p, rung, models.get(tid))
                 m = _metrics_at(models[tid], data, target)
@@ -98,6 +149,7 @@ def tune(spark: SparkSession, bundle: DatasetBundle, space: dict, num_samples: i
         rep = spark.createDataFrame(rows, TRIALS_SCHEMA)
         if rung == max_t:
             break
+        past = rung
         alive = sorted(r["trial_id"] for r in H.survivors(rep, rung, metric, mode, reduction).collect())
     reports_df = spark.createDataFrame(rows, TRIALS_SCHEMA)
     best = H.require_reports(H.best_trial(reports_df, metric, mode), metric)
@@ -105,7 +157,8 @@ def tune(spark: SparkSession, bundle: DatasetBundle, space: dict, num_samples: i
         top = best.first()
         model = models.get(top["trial_id"])
         if model is None or len(model.trees) != top["iteration"]:
-            model = fitted(trial_rows[top["trial_id"]], top["iteration"], None)
+            p = trial_rows[top["trial_id"]]
+            model = newton_reports(top["trial_id"], 0, top["iteration"])[1] if _is_regularised(p) else fitted(p, top["iteration"], None)
         MD.PipelineModel(stages=[pre, asm, model]).write().overwrite().save(best_model_path)
     for held in data.values():
         held.unpersist()

@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from plover.operators import metrics as M
@@ -127,3 +128,21 @@ def test_majority_baseline_metrics_match_constant_predictor(spark):
         for c in ("accuracy", "precision", "recall", "f1", "rows", "roc_auc", "average_precision"):
             a, b = got[c], want[c]
             assert (math.isnan(a) and math.isnan(b)) or abs(a - b) < 1e-12, (labels, c, a, b)
+
+
+def test_medians_of_hard_distributions(spark):
+    rng = np.random.default_rng(1)
+    n = 5001
+    columns = {"wide": np.exp(rng.uniform(-600, 600, n)) * rng.choice([-1, 1], n), "dense": 1 + rng.random(n) * 1e-9,
+               "ints": rng.integers(-3, 4, n).astype(float), "tiny": rng.integers(0, 5000, n) * 5e-324,
+               "endless": np.where(rng.random(n) < .7, np.inf, 1.0), "two": np.repeat([-2.0, 7.0], [2500, 2501])}
+    rows = [tuple(float(c[i]) if i % 11 else (None if i % 2 else float("nan")) for c in columns.values()) for i in range(n)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in columns)) \
+        .withColumn("it's", F.col("ints") * 2).withColumn("none", F.lit(None).cast("double"))
+    got = exact_medians(df, df.columns)
+    for k, c in enumerate(columns):
+        assert got[c] == np.median([r[k] for r in rows if r[k] is not None and r[k] == r[k]]), c
+    assert got["it's"] == 2 * got["ints"] and got["none"] is None
+    assert exact_medians(df.limit(0), ["wide"]) == {"wide": None}
+    even = spark.createDataFrame([(v,) for v in (-3.0, 10.0, 1e300, -0.0, 0.0, 4.0)], "x double")
+    assert exact_medians(even, ["x"]) == {"x": 2.0}

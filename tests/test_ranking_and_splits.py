@@ -211,3 +211,28 @@ def test_running_totals_with_many_parts(spark):
             total += x
             want[k] = (p, total)
     assert {r["k"]: (r["_rk_pos"], r["cum_x"]) for r in got} == want
+
+
+def test_strata_without_a_limit(spark, monkeypatch):
+    """More strata than any broadcast-size cut, one of them with half of all rows; quotas exact, salted or not."""
+    rows = 24_000
+    df = spark.range(rows).select(F.col("id").alias("k"), F.when(F.col("id") % 2 == 0, "hot").otherwise((F.col("id") % 11_003).cast("string")).alias("y"))
+    counts_of = lambda t: {tuple(r[:2]): r[2] for r in t.groupBy("y", "split").count().collect()}
+    n_of = {r[0]: r[1] for r in df.groupBy("y").count().collect()}
+    plain = SP.percent_split(df, 0.5, 0.25, "y", ["k"])
+    want = {}
+    for y, n in n_of.items():
+        a, b = int(n * 0.5), int(n * 0.25)
+        want.update({key: v for key, v in (((y, "train"), a), ((y, "val"), n - a - b), ((y, "test"), b)) if v})
+    assert len(n_of) > 10_000 and counts_of(plain) == want
+    monkeypatch.setattr(SP, "SALT_FROM", 100)
+    salted = SP.percent_split(df, 0.5, 0.25, "y", ["k"])
+    assert plain.exceptAll(salted).isEmpty() and salted.count() == rows
+    capped = SP.stratified_downsample(df, "y", 6_000, ["k"])
+    assert {r[0]: r[1] for r in capped.groupBy("y").count().collect()} == {y: max(1, int(6_000 * n / rows)) for y, n in n_of.items()}
+
+
+def test_cut_inside_equal_keys_of_a_class_is_an_error(spark):
+    df = spark.createDataFrame([(1, "a")] * 6, "k int, y string")
+    with pytest.raises(ValueError):
+        SP.percent_split(df, 0.5, 0.25, "y", ["k"])
