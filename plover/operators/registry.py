@@ -94,12 +94,18 @@ def regression_check(best: DataFrame, prod: DataFrame) -> DataFrame:
     return df.withColumn("register", ok)
 
 
-def next_version(model_versions: DataFrame, decision: DataFrame, model_name: str) -> DataFrame:
+def next_version(model_versions: DataFrame, decision: DataFrame, model_name: str, claims: str | None = None) -> DataFrame:
     """The row to append for a registered run: version ``max + 1`` (1 for a
-    new name), stage Staging, gate tags."""
+    new name), stage Staging, gate tags. With ``claims``, a shared folder, the
+    number is claimed there: writers at the same time get different ones."""
+    accepted = decision.filter(F.col("register"))
     top = model_versions.filter(F.col("name") == model_name).agg(
         F.coalesce(F.max("version"), F.lit(0)).alias("_v"))
-    row = attach_one_row(decision.filter(F.col("register")), top)
+    if claims is not None and not accepted.isEmpty():
+        from ..sources.sinks import claim_version
+        spark = decision.sparkSession
+        top = top.select(F.lit(claim_version(spark, claims, model_name, top.first()["_v"] + 1) - 1).alias("_v"))
+    row = attach_one_row(accepted, top)
     return row.select(
         F.lit(model_name).alias("name"), (F.col("_v") + 1).cast("int").alias("version"),
         F.lit("Staging").alias("stage"), "run_id",

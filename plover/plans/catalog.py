@@ -313,6 +313,15 @@ def q_split_write_roundtrip(spark, sf_dir):
     return back.groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def q_shuffled_write(spark, sf_dir):
+    """Orders written in a seeded shuffle; every row's position when the files are read in order."""
+    apply_runtime_defaults(spark)
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    rank = F.md5(F.concat(F.lit("42:"), F.col("o_orderkey").cast("string")))
+    path = SK.write_shuffled(o, SK.scratch_path(spark, "orders-shuffled"), ["o_orderkey"], rank=rank)
+    return SK.read_shuffled(spark, path)
+
+
 def q_latest_file(spark, sf_dir):
     """Three writes of ``orders`` (by status) into one prefix; the newest
     drop under it (recursive listing) is read back."""
@@ -693,6 +702,7 @@ QUERIES: dict[str, Query] = {
     "old_new_union": q_old_new_union,
     "csv_roundtrip": q_csv_roundtrip,
     "split_write_roundtrip": q_split_write_roundtrip,
+    "shuffled_write": q_shuffled_write,
     "latest_file": q_latest_file,
     "reference_sample": q_reference_sample,
     "top2_checkpoints": q_top2_checkpoints,
@@ -749,6 +759,7 @@ ORACLES: dict[str, str] = {
     "csv_roundtrip": O.csv_roundtrip_sql(),
     "split_write_roundtrip": O.split_write_roundtrip_sql(),
     "leaderboard_markdown": O.leaderboard_markdown_sql(),
+    "shuffled_write": O.shuffled_write_sql(),
     "latest_file": O.latest_file_sql(),
     "reference_sample": O.reference_sample_sql(),
     "top2_checkpoints": O.top2_checkpoints_sql(),

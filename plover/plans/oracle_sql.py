@@ -648,3 +648,8 @@ def weekly_job_sql() -> str:
     """Every segment run is registered once, and the week's best run becomes the next version."""
     return """SELECT TRUE AS ok, 'registered' AS stage, 'registered' AS message,
  CAST(count(DISTINCT event_type) + 1 AS INT) AS registered_version FROM events"""
+
+
+def shuffled_write_sql() -> str:
+    return """SELECT o_orderkey, o_custkey,
+ row_number() OVER (ORDER BY md5('42:' || CAST(o_orderkey AS VARCHAR)), o_orderkey) - 1 AS position FROM orders"""

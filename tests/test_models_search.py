@@ -175,6 +175,32 @@ def test_search_grows_surviving_trials_and_keeps_the_best(spark, bundle, scratch
     assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == held
 
 
+def test_lost_search_goes_on_and_reports_between_rungs(spark, bundle, scratch, monkeypatch):
+    from plover.operators import newton as N
+    from plover.plans.tuning import tune
+    space = {"max_depth": {"type": "choice", "values": [1, 2]}, "reg_lambda": {"type": "uniform", "lower": 0.5, "upper": 2.0}}
+    search = lambda log: tune(spark, bundle, space, 2, max_t=4, grace=2, report_every=1, log_path=f"{scratch}/{log}")[0]
+    figures = lambda df: {(r["trial_id"], r["iteration"]): {k: v for k, v in r["metrics"].items() if k != "seconds"} for r in df.collect()}
+    whole = figures(search("a"))
+    assert sorted(k for _, k in whole) == [1, 1, 2, 2, 3, 4]
+    real, grown = N.grow_tree, []
+
+    def lost(*args):
+        if len(grown) == 5:
+            raise RuntimeError("lost")
+        grown.append(args)
+        return real(*args)
+
+    monkeypatch.setattr(N, "grow_tree", lost)
+    with pytest.raises(RuntimeError):
+        search("b")
+    grown.clear()
+    after = figures(search("b"))
+    assert len(grown) == 1 and after.keys() == whole.keys()
+    for key, m in whole.items():
+        assert after[key] == pytest.approx(m, abs=1e-9)
+
+
 def test_halving_best_and_resume(spark):
     rows = [(f"t{i}", 25, {"p": float(i)}, {"roc_auc": 0.5 + i / 100}) for i in range(5)]
     rows += [("t3", 50, {"p": 3.0}, {"roc_auc": 0.9}), ("t4", 50, {"p": 4.0}, {"roc_auc": 0.8})]

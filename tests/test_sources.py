@@ -99,3 +99,41 @@ def test_csv_without_schema_types_numbers(spark, scratch):
     got = R.read_csv(spark, f"{scratch}/a.csv")
     assert dict(got.dtypes) == {"a": "bigint", "b": "double", "c": "string", "d": "string"}
     assert [r.a for r in got.collect()] == [1, None]
+
+
+def test_shuffled_write_does_not_depend_on_partitions(spark, scratch):
+    import glob
+    from pyspark.sql import functions as F
+    from plover.functions.exprs import seeded_hash
+    from plover.sources import sinks as SK
+    df = spark.range(5000).withColumn("v", F.col("id") * 2)
+    want = [r["id"] for r in df.orderBy(seeded_hash(7, "id"), "id").collect()]
+    for parts, rows in ((3, df), (11, df.repartition(6, "v"))):
+        path = SK.write_shuffled(rows, f"{scratch}/s{parts}", ["id"], seed=7, parts=parts)
+        back = SK.read_shuffled(spark, path)
+        assert back.columns == ["id", "v", "position"]
+        assert [r["id"] for r in back.orderBy("position").collect()] == want
+        assert [r["position"] for r in back.orderBy("position").collect()] == list(range(5000))
+        files = sorted(glob.glob(f"{path}/part-*"))
+        assert len(files) == parts and [r["id"] for f in files for r in spark.read.parquet(f).collect()] == want
+    empty = SK.read_shuffled(spark, SK.write_shuffled(df.limit(0), f"{scratch}/none", ["id"]))
+    assert empty.count() == 0
+
+
+def test_concurrent_writers_claim_different_versions(spark, scratch):
+    from concurrent.futures import ThreadPoolExecutor
+    from plover.sources import sinks as SK
+    with ThreadPoolExecutor(20) as pool:
+        got = list(pool.map(lambda _: SK.claim_version(spark, f"{scratch}/claims", "Will/Visit"), range(20)))
+    assert sorted(got) == list(range(1, 21))
+    assert SK.claim_version(spark, f"{scratch}/claims", "Will/Visit", least=40) == 40
+    assert SK.claim_version(spark, f"{scratch}/claims", "other") == 1
+
+
+def test_next_version_claims(spark, scratch):
+    from plover.operators import registry as R
+    versions = spark.createDataFrame([("M", 3)], "name string, version int")
+    decision = spark.createDataFrame([("r1", "c", 0.7, True)], "run_id string, candidate_name string, f1 double, register boolean")
+    assert R.next_version(versions, decision, "M").first()["version"] == 4
+    assert [R.next_version(versions, decision, "M", f"{scratch}/c").first()["version"] for _ in range(2)] == [4, 5]
+    assert R.next_version(versions, decision.limit(0), "M", f"{scratch}/c").isEmpty()
