@@ -33,9 +33,8 @@ def _is_regularised(params: dict) -> bool:
 
 
 def staged_metrics(rows: DataFrame, trees: list, edges: list, every: int) -> DataFrame:
-    """Metric set and log loss after each ``every`` rounds: ``round`` and the metrics, from one scoring pass over ``rows``.
-
-    The scores of all rounds are written once, as both figures read them."""
+    """Metric set and log loss after each ``every`` rounds: ``round`` and the metrics, from one
+    scoring pass over ``rows``, written once as more than one figure reads it."""
     scored = written(N.staged_scores(rows, trees, edges, every), "staged").withColumn("pred", (F.col("score") >= 0.5).cast("int"))
     losses = M.logloss(scored, "y", "score", ["round"])
     return M.binary_metrics(scored, "y", "pred", "score", ["round"]).join(losses, "round")
@@ -96,10 +95,11 @@ def tune(spark: SparkSession, bundle: DatasetBundle, space: dict, num_samples: i
         t0 = time.perf_counter()
         trees, edges = newton_trees(tid, rung)
         every = report_every or rung
-        staged = {part: staged_metrics(newton_rows(df, target), trees, edges, every).collect() for part, df in data.items()}
-        loss = {r["round"]: r["logloss"] for r in staged["train"]}
+        of_train = N.staged_scores(newton_rows(train_v, target), trees, edges, every)
+        loss = {r["round"]: r["logloss"] for r in M.logloss(of_train, "y", "score", ["round"]).collect()}
+        reported = staged_metrics(newton_rows(data["validation"], target), trees, edges, every).collect()
         out = []
-        for r in sorted(staged["validation"], key=lambda r: r["round"]):  # one row per report
+        for r in sorted(reported, key=lambda r: r["round"]):  # one row per report
             if past < r["round"] <= rung:
                 m = {k: float(v) for k, v in r.asDict().items() if v is not None and k not in ("round", "logloss")}
                 m.update(validation_logloss=float(r["logloss"]), train_logloss=float(loss[r["round"]]),
