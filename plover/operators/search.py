@@ -25,9 +25,19 @@ def _unit(seed: int, trial: F.Column, name: str) -> F.Column:
     return (h.bitwiseAND(F.lit(MANTISSA))).cast("double") / float(1 << 53)
 
 
+def _choice_values(name: str, values: list) -> list:
+    """The values of a choice, which are all numbers (as doubles), all text or all booleans."""
+    if values and (all(isinstance(v, bool) for v in values) or all(isinstance(v, str) for v in values)):
+        return list(values)
+    if values and all(isinstance(v, (int, float)) and not isinstance(v, bool) for v in values):
+        return [float(v) for v in values]
+    raise SearchSpaceError(f"{name}: a choice needs values of one kind: numbers, text or booleans")
+
+
 def sample_search_space(spark: SparkSession, space: dict, num_samples: int, seed: int = 42) -> DataFrame:
-    """``num_samples`` trials; one double column per parameter plus a
-    ``params`` map. ``randint`` excludes its upper bound."""
+    """``num_samples`` trials: one column per parameter (double; text or boolean
+    where a choice is of such values) and the numbers as the map ``params``.
+    ``randint`` excludes its upper bound."""
     for name, spec in space.items():
         if spec.get("type") not in KNOWN_TYPES:
             raise SearchSpaceError(f"Unknown search space type: {spec.get('type')}")
@@ -38,7 +48,7 @@ def sample_search_space(spark: SparkSession, space: dict, num_samples: int, seed
         u = _unit(seed, t, name)
         kind = spec["type"]
         if kind == "choice":
-            values = [float(v) for v in spec["values"]]
+            values = _choice_values(name, spec["values"])
             idx = F.least(F.floor(u * len(values)).cast("int"), F.lit(len(values) - 1))
             cols.append(F.element_at(F.array(*[F.lit(v) for v in values]), idx + 1).alias(name))
         elif kind == "uniform":
@@ -51,11 +61,14 @@ def sample_search_space(spark: SparkSession, space: dict, num_samples: int, seed
             lo, hi = int(spec["lower"]), int(spec["upper"])
             cols.append(F.floor(F.lit(lo) + u * (hi - lo)).cast("double").alias(name))
     out = trials.select(F.format_string("trial_%05d", t).alias("trial_id"), *cols)
-    names = list(space)
-    pairs = []
-    for n in names:
-        pairs += [F.lit(n), F.col(n)]
-    return out.withColumn("params", F.create_map(*pairs) if pairs else F.create_map())
+    numbers = [n for n in space if dict(out.dtypes)[n] == "double"]
+    pairs = [c for n in numbers for c in (F.lit(n), F.col(n))]
+    return out.withColumn("params", (F.create_map(*pairs) if pairs else F.create_map()).cast("map<string,double>"))
+
+
+def with_typed(trials: DataFrame, space: dict) -> DataFrame:
+    """Sampled trials with all parameters, of their types, as the VARIANT object ``typed``."""
+    return trials.withColumn("typed", F.to_variant_object(F.struct(*space)) if space else F.parse_json(F.lit("{}")))
 
 
 def rung_schedule(grace: int, max_t: int, reduction: int) -> list[int]:
@@ -81,17 +94,20 @@ def survivors(reports: DataFrame, iteration: int, metric: str, mode: str = "max"
     return ranked.filter(F.col("_r") <= keep).select("trial_id")
 
 
+def _carried(reports: DataFrame) -> list[str]:
+    """Columns of a report besides its trial; those with typed parameters keep them."""
+    return ["iteration", "params", "metrics", *(["typed"] if "typed" in reports.columns else [])]
+
+
 def best_trial(reports: DataFrame, metric: str, mode: str = "max") -> DataFrame:
     """Best trial by the metric of its last report (ties: the smallest trial id)."""
-    last = reports.groupBy("trial_id").agg(F.max_by(F.struct("iteration", "params", "metrics"),
-                                                    "iteration").alias("r"))
-    last = last.select("trial_id", F.col("r.iteration").alias("iteration"), F.col("r.params").alias("params"),
-                       F.col("r.metrics").alias("metrics"))
+    carried = _carried(reports)
+    last = reports.groupBy("trial_id").agg(F.max_by(F.struct(*carried), "iteration").alias("r"))
+    last = last.select("trial_id", "r.*")
     m = F.col("metrics")[metric]
     valid = last.filter(m.isNotNull() & ~F.isnan(m))
     key = -m if mode == "max" else m
-    best = valid.agg(F.min_by(F.struct("trial_id", "iteration", "params", "metrics"),
-                              F.struct(key, "trial_id")).alias("b"))
+    best = valid.agg(F.min_by(F.struct("trial_id", *carried), F.struct(key, "trial_id")).alias("b"))
     best = best.filter(F.col("b").isNotNull()).select("b.*")
     return best
 
@@ -110,8 +126,8 @@ def pending_trials(trials: DataFrame, reports: DataFrame, iteration: int) -> Dat
 
 def best_summary(best: DataFrame) -> DataFrame:
     """One row: trial id, iteration, params and only finite numeric metrics."""
-    return best.select("trial_id", "iteration", "params",
-                       F.map_filter("metrics", lambda k, v: v.isNotNull() & ~F.isnan(v)).alias("metrics"))
+    finite = F.map_filter("metrics", lambda k, v: v.isNotNull() & ~F.isnan(v)).alias("metrics")
+    return best.select("trial_id", *[finite if c == "metrics" else c for c in _carried(best)])
 
 
 def top_checkpoints(reports: DataFrame, k: int = 2, metric: str = "validation_logloss",

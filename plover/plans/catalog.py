@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import CandidateSpec, default_candidates, default_dataset_spec, default_gate_spec
+from ..config import SEARCH_AT_ONCE, CandidateSpec, default_candidates, default_dataset_spec, default_gate_spec
 from ..functions.lists import expand_list, parse_list
 from ..operators import gates as G
 from ..operators import metrics as M
@@ -360,7 +360,7 @@ def q_train_candidates(spark, sf_dir):
     apply_runtime_defaults(spark)
     from .training import train_candidates
     bundle, _ = _lake_bundle(spark, sf_dir)
-    res = train_candidates(spark, bundle, default_candidates(), with_reference_stats=False)
+    res = train_candidates(spark, bundle, default_candidates(), with_reference_stats=False, at_once=4)
     m, tag = F.col("metrics"), F.col("tags")
     dummy = tag["candidate_kind"] == "dummy"
     return res.decisions.select(tag["candidate_name"].alias("candidate_name"), tag["status"].alias("status"), "gate_tag",
@@ -640,7 +640,7 @@ def q_successive_halving(spark, sf_dir):
     apply_runtime_defaults(spark)
     from .tuning import tune
     bundle, _ = _lake_bundle(spark, sf_dir)
-    reports, _ = tune(spark, bundle, SEARCH_SPACE, 4, max_t=4, grace=2, reduction=2)
+    reports, _ = tune(spark, bundle, SEARCH_SPACE, 4, max_t=4, grace=2, reduction=2, at_once=SEARCH_AT_ONCE)
     m = F.col("metrics")
     return reports.groupBy("iteration").agg(
         F.count(F.lit(1)).alias("trials"), F.max(m["rows"]).alias("val_rows"),

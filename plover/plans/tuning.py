@@ -1,8 +1,11 @@
 """Synchronous successive-halving search over boosted-tree parameters."""
 from __future__ import annotations
 
+import json
 import time
 import uuid
+from functools import partial
+from numbers import Real
 
 from pyspark import StorageLevel
 from pyspark.ml.classification import GBTClassifier
@@ -15,12 +18,22 @@ from ..operators import metrics as M
 from ..operators import models as MD
 from ..operators import search as H
 from ..operators.features import DatasetBundle
-from ..session import ensure_checkpoint_dir, written
+from ..session import ensure_checkpoint_dir, side_by_side, written
 from ..operators import newton as N
 
 TRIALS_SCHEMA = "trial_id string, iteration int, params map<string,double>, metrics map<string,double>"
 
 
+def _reports_frame(spark: SparkSession, rows: list[tuple], trials: dict[str, dict]) -> DataFrame:
+    """Reports (one per trial and report) with all parameters of their trial, typed, as the VARIANT object ``typed``."""
+    made = [(*r, json.dumps(trials[r[0]])) for r in rows]
+    return spark.createDataFrame(made, TRIALS_SCHEMA + ", typed string").withColumn("typed", F.parse_json("typed"))
+
+
+def _numbers(params: dict) -> dict[str, float]:
+    return {k: float(v) for k, v in params.items() if isinstance(v, Real) and not isinstance(v, bool)}
+
+
 def _gbt_for(params: dict, rounds: int, target: str, seed: int) -> GBTClassifier:
     return GBTClassifier(featuresCol=MD.FEATURES, labelCol=target, maxIter=int(rounds),
                          maxDepth=int(params.get("max_depth", 6)),
@@ -29,7 +42,7 @@ def _gbt_for(params: dict, rounds: int, target: str, seed: int) -> GBTClassifier
 
 
 def _is_regularised(params: dict) -> bool:
-    return any(name in params for name in MD.REGULARISED)
+    return any(name in params for name in (*MD.REGULARISED, *MD.GROWTH))
 
 
 def staged_metrics(rows: DataFrame, trees: list, edges: list, every: int) -> DataFrame:
@@ -59,14 +72,17 @@ def tune(spark: SparkSession, bundle: DatasetBundle, space: dict, num_samples: i
          grace: int = SEARCH_GRACE_PERIOD, reduction: int = SEARCH_REDUCTION_FACTOR,
          seed: int = 42, reports: DataFrame | None = None, base_params: dict | None = None,
          best_model_path: str | None = None, log_path: str | None = None,
-         report_every: int | None = None) -> tuple[DataFrame, DataFrame]:
+         report_every: int | None = None, at_once: int = 1) -> tuple[DataFrame, DataFrame]:
     """Returns (reports, best).
 
     Trials with regularised trees keep every finished tree under ``log_path``
     (default: the checkpoint folder); a search that is called again with the
     same folder, rows and space grows on from the last tree of each trial. They
     report after every ``report_every`` rounds (default: at the rungs), all
-    rounds of a rung scored in one pass.
+    rounds of a rung scored in one pass. ``at_once`` trials of a rung run at a
+    time over the one cached input, in fair scheduler pools; their reports are
+    those of a serial run. Choices may be text or booleans; every report has
+    all parameters with their types in ``typed``, the numbers also in ``params``.
 
     A trial that survives a rung grows on from the trees that it has; it is
     fitted from zero only where an earlier, interrupted run left ``reports``
@@ -75,9 +91,9 @@ def tune(spark: SparkSession, bundle: DatasetBundle, space: dict, num_samples: i
     metrics and both log losses. The best trial's model, behind the fitted
     preprocessor, is written to ``best_model_path``."""
     target = bundle.target
-    trials = H.sample_search_space(spark, space, num_samples, seed)
-    trial_rows = {r["trial_id"]: {**(base_params or {}), **r["params"]}
-                  for r in trials.select("trial_id", "params").collect()}
+    trials = H.with_typed(H.sample_search_space(spark, space, num_samples, seed), space)
+    trial_rows = {r["trial_id"]: {**(base_params or {}), **r["typed"].toPython()}
+                  for r in trials.select("trial_id", "typed").collect()}
     pre, asm = MD.fit_preprocessor(bundle.train, bundle.feature_columns)
     keep = [*bundle.key_columns, target]
     data = {part: asm.transform(pre.transform(df)).select(*keep, MD.FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
@@ -126,32 +142,34 @@ def tune(spark: SparkSession, bundle: DatasetBundle, space: dict, num_samples: i
     alive = sorted(trial_rows)
     rows, models = [], {}
     past = 0
+    def run_trial(tid: str, rung: int) -> tuple[list[tuple], object]:
+        """Reports of one trial after ``past`` rounds up to the rung, and its model (none where reports were there)."""
+        p = trial_rows[tid]
+        if (tid, rung) in done:
+            # Reports between the rungs come back with the rung's own.
+            kept = sorted((k, m) for (t, k), (_, m) in done.items() if t == tid and past < k <= rung)
+            return [(tid, k, _numbers(p), m) for k, m in kept], models.get(tid)
+        if _is_regularised(p):
+            staged, model = newton_reports(tid, past, rung)
+            return [(tid, k, _numbers(p), m) for k, m in staged], model
+        t0 = time.perf_counter()
+        model = fitted(p, rung, models.get(tid))
+        m = _metrics_at(model, data, target)
+        m["seconds"] = time.perf_counter() - t0
+        m["training_iteration"] = float(len(model.trees))
+        return [(tid, rung, _numbers(p), m)], model
+
     for rung in H.rung_schedule(grace, max_t, reduction):
-        for tid in alive:
-            p = trial_rows[tid]
-            if (tid, rung) in done:
-                # Reports between the rungs come back with the rung's own.
-                for (_, k), (p, m) in sorted((key, v) for key, v in done.items() if key[0] == tid and past < key[1] < rung):
-                    rows.append((tid, k, {n: float(v) for n, v in p.items()}, m))
-                p, m = done[(tid, rung)]
-            elif _is_regularised(p):
-                staged, models[tid] = newton_reports(tid, past, rung)
-                for k, m in staged[:-1]:
-                    rows.append((tid, k, {n: float(v) for n, v in p.items()}, m))
-                m = staged[-1][1]
-            else:
-                t0 = time.perf_counter()
-                models[tid] = fitted(p, rung, models.get(tid))
-                m = _metrics_at(models[tid], data, target)
-                m["seconds"] = time.perf_counter() - t0
-                m["training_iteration"] = float(len(models[tid].trees))
-            rows.append((tid, rung, {k: float(v) for k, v in p.items()}, m))
-        rep = spark.createDataFrame(rows, TRIALS_SCHEMA)
+        for tid, (made, model) in zip(alive, side_by_side(spark, [partial(run_trial, tid, rung) for tid in alive], at_once)):
+            rows += made
+            if model is not None:
+                models[tid] = model
+        rep = _reports_frame(spark, rows, trial_rows)
         if rung == max_t:
             break
         past = rung
         alive = sorted(r["trial_id"] for r in H.survivors(rep, rung, metric, mode, reduction).collect())
-    reports_df = spark.createDataFrame(rows, TRIALS_SCHEMA)
+    reports_df = _reports_frame(spark, rows, trial_rows)
     best = H.require_reports(H.best_trial(reports_df, metric, mode), metric)
     if best_model_path:
         top = best.first()

@@ -175,6 +175,63 @@ def test_search_grows_surviving_trials_and_keeps_the_best(spark, bundle, scratch
     assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == held
 
 
+def test_text_choices_and_trials_at_once(spark, bundle, tmp_path, monkeypatch):
+    import threading
+    from plover.operators import newton as N
+    from plover.plans.tuning import tune
+    space = {"grow_policy": {"type": "choice", "values": ["depthwise", "lossguide"]}, "reg_lambda": {"type": "uniform", "lower": 0.5, "upper": 2.0},
+             "max_depth": {"type": "choice", "values": [2, 3]}}
+    sampled = H.with_typed(H.sample_search_space(spark, space, 30, seed=3), space).collect()
+    assert {r["grow_policy"] for r in sampled} == {"depthwise", "lossguide"}
+    assert all(r["typed"].toPython() == {k: r[k] for k in space} and "grow_policy" not in r["params"] for r in sampled)
+    for values in ([], ["a", 1], [True, 1.0]):
+        with pytest.raises(H.SearchSpaceError):
+            H.sample_search_space(spark, {"x": {"type": "choice", "values": values}}, 2)
+    real, running, most = N.grow_tree, set(), []
+    pools = set()
+
+    def watched(*args):
+        running.add(threading.get_ident())
+        most.append(len(running))
+        pools.add(spark.sparkContext.getLocalProperty("spark.scheduler.pool"))
+        try:
+            return real(*args)
+        finally:
+            running.discard(threading.get_ident())
+
+    monkeypatch.setattr(N, "grow_tree", watched)
+    figures = lambda got: [(r["trial_id"], r["iteration"], r["typed"].toPython(), {k: v for k, v in r["metrics"].items() if k != "seconds"}) for r in got]
+    one, _ = tune(spark, bundle, space, 4, max_t=2, grace=1, seed=3)
+    assert max(most) == 1 and pools == {None}
+    two, best = tune(spark, bundle, space, 4, max_t=2, grace=1, seed=3, at_once=2)
+    assert max(most) == 2 and {"plover-0", "plover-1", "plover-2", "plover-3"} <= pools
+    a, b = figures(one.collect()), figures(two.collect())
+    assert [x[:3] for x in a] == [x[:3] for x in b]
+    for x, y in zip(a, b):
+        assert x[3] == pytest.approx(y[3], abs=1e-9)
+    two.write.parquet(str(tmp_path / "reports"))
+    back = spark.read.parquet(str(tmp_path / "reports"))
+    kept = back.select(F.try_variant_get("typed", "$.grow_policy", "string").alias("p"), F.try_variant_get("typed", "$.max_depth", "double").alias("d"))
+    assert {r["p"] for r in kept.collect()} == {t["grow_policy"] for _, _, t, _ in b} and kept.filter("d is null").isEmpty()
+    assert best.first()["typed"].toPython()["grow_policy"] in ("depthwise", "lossguide")
+
+
+def test_failed_jobs_side_by_side(spark):
+    from plover.session import side_by_side
+    seen = []
+
+    def job(k):
+        seen.append(spark.range(k).count())
+        if k == 2:
+            raise ValueError("two")
+        return k
+
+    with pytest.raises(ValueError):
+        side_by_side(spark, [lambda k=k: job(k) for k in range(5)], 3)
+    assert sorted(seen) == [0, 1, 2, 3, 4]
+    assert side_by_side(spark, [lambda k=k: k for k in range(5)], 3) == [0, 1, 2, 3, 4]
+
+
 def test_lost_search_goes_on_and_reports_between_rungs(spark, bundle, scratch, monkeypatch):
     from plover.operators import newton as N
     from plover.plans.tuning import tune
