@@ -1,7 +1,9 @@
 """Registered queries: (spark, sf_dir) -> DataFrame, each over whole tables."""
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -339,6 +341,87 @@ def q_leaderboard_markdown(spark, sf_dir):
     return R.leaderboard_markdown(R.leaderboard(derived_runs(spark, sf_dir)))
 
 
+def q_catalog_fallback(spark, sf_dir):
+    """Orders through the fallback chain: from a catalog table that exists, and
+    from the greatest write under a prefix where the named table does not."""
+    apply_runtime_defaults(spark)
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    name = f"plover_orders_{uuid.uuid4().hex[:12]}"
+    o.filter("o_orderstatus <> 'P'").write.option("path", SK.scratch_path(spark, "orders-table")).saveAsTable(name)
+    prefix = SK.scratch_path(spark, "orders-lake")
+    for run, rows in (("run_a", o.filter("o_orderstatus = 'F'")), ("run_b", o.filter("o_orderstatus = 'P'"))):
+        rows.write.parquet(f"{prefix}/{run}")
+    found = RD.load_with_fallback(spark, name, prefix).withColumn("via", F.lit("table"))
+    return found.unionByName(RD.load_with_fallback(spark, f"{name}_missing", prefix).withColumn("via", F.lit("prefix")))
+
+
+def q_source_builders(spark, sf_dir):
+    """Training bundles of the same lake rows through both kinds of source, a
+    train and validation CSV pair and the newest Parquet write of a folder:
+    rows, positives and sums of features per source and part."""
+    apply_runtime_defaults(spark)
+    spec = default_dataset_spec()
+    rows = lake(spark, sf_dir)
+    folder = SK.scratch_path(spark, "source")
+    fs = SP.split_by_flag(rows, spec)
+    csv = RD.choose_source(train_csv=SK.write_csv(fs.train, f"{folder}/train-csv"), val_csv=SK.write_csv(fs.eval, f"{folder}/val-csv"))
+    fs.eval.withColumn(spec.split_column, F.lit(spec.split_eval_value)).write.parquet(f"{folder}/lake")  # an older write
+    rows.write.mode("append").parquet(f"{folder}/lake")
+    drop = RD.choose_source(parquet=f"{folder}/lake")
+    bundles = {csv.kind: RD.bundle_from_csv(spark, csv.train_csv, csv.val_csv, spec, fs.train.schema, ("row_id",)),
+               drop.kind: RD.bundle_from_parquet(spark, drop.parquet, spec, ("row_id",))}
+    sums = [F.sum(F.col(spec.column_rename.get(c, c)).cast("double")).alias(c) for c in NEWTON_FEATURES]
+    out = [df.agg(F.lit(kind).alias("source"), F.lit(part).alias("part"), F.count(F.lit(1)).alias("rows"), F.sum(b.target).cast("long").alias("positives"),
+                  F.lit(len(b.feature_columns)).alias("features"), *sums)
+           for kind, b in bundles.items() for part, df in (("train", b.train), ("validation", b.val))]
+    return rounded(reduce(DataFrame.unionByName, out))
+
+
+def q_run_log(spark, sf_dir):
+    """Run records of the event segments appended to a run table in two writes and read back."""
+    apply_runtime_defaults(spark)
+    runs = derived_runs(spark, sf_dir)
+    path = SK.scratch_path(spark, "runs")
+    dummy = F.col("tags")["candidate_kind"] == "dummy"
+    for part in (runs.filter(dummy), runs.filter(~dummy)):
+        SK.append_runs(part, path)
+    t, m = F.col("tags"), F.col("metrics")
+    return spark.read.parquet(path).select("run_id", t["candidate_name"].alias("candidate_name"), t["candidate_kind"].alias("candidate_kind"),
+                                           F.round(m["f1"], 10).alias("f1"), F.round(m["roc_auc"], 10).alias("roc_auc"))
+
+
+def q_full_refit(spark, sf_dir):
+    """A model without rounds to continue is fitted anew on old and new rows:
+    majority class of the older runs against that of all runs, kept at one
+    threshold and rejected at another. What the run table, the decision
+    records and the saved models (current, backup, rejected) hold."""
+    apply_runtime_defaults(spark)
+    from ..operators import models as MD
+    from .training import retrain
+    spec = default_dataset_spec()
+    fs = SP.split_by_flag(lake(spark, sf_dir), spec)
+    last = F.lit(SP.run_date_of(fs.train))
+    d = F.col("pipeline_run_date")
+    needed = [*NEWTON_FEATURES, "will_visit"]
+    older, latest, val = (df.select(*needed) for df in (fs.train.filter(d.isNull() | (d != last)), fs.train.filter(d == last), fs.eval))
+    cand = CandidateSpec("baseline", "dummy", {"strategy": "most_frequent"})
+    old, _ = MD.fit_pipeline(MD.build_estimator(cand.kind, cand.params, "will_visit"), NEWTON_FEATURES, older, "will_visit")
+    out = []
+    for threshold in (0.0, 0.001):
+        base = SK.scratch_path(spark, "refit")
+        retrain(spark, old, cand, latest, val, "will_visit", threshold=threshold, old_rows=older, artifact_dir=base, runs_path=f"{base}/_runs")
+        summary = F.from_json("summary", "decision string, saved string, backup string")
+        kept = spark.read.json(f"{base}/_decisions").select(summary.alias("s")).select("s.*").first()
+        majority = {k: MD.PipelineModel.load(kept[k]).stages[-1] if kept[k] else None for k in ("saved", "backup")}
+        run, m = spark.read.parquet(f"{base}/_runs"), F.col("metrics")
+        out.append(run.select(
+            F.lit(threshold).alias("threshold"), F.col("tags")["decision"].alias("decision"), F.round(m["old.accuracy"], 10).alias("old_accuracy"),
+            F.round(m["new.accuracy"], 10).alias("new_accuracy"), m["new_rows"].alias("new_rows"), m["val_rows"].alias("val_rows"),
+            F.lit(kept["decision"]).alias("recorded"), F.lit("_rejected/" in kept["saved"]).alias("set_aside"),
+            *[F.lit(v.getOrDefault("majority") if v is not None else None).cast("double").alias(f"{k}_majority") for k, v in majority.items()]))
+    return reduce(DataFrame.unionByName, out)
+
+
 MODEL_CANDIDATES = [
     CandidateSpec("baseline", "dummy", {"strategy": "most_frequent"}, "majority class"),
     CandidateSpec("boosted_small", "xgboost", {"learning_rate": 0.3, "max_depth": 4, "n_estimators": 10,
@@ -721,6 +804,10 @@ QUERIES: dict[str, Query] = {
     "continue_boosting": q_continue_boosting,
     "successive_halving": q_successive_halving,
     "weekly_job": q_weekly_job,
+    "catalog_fallback": q_catalog_fallback,
+    "source_builders": q_source_builders,
+    "run_log": q_run_log,
+    "full_refit": q_full_refit,
 }
 
 ORACLES: dict[str, str] = {
@@ -780,4 +867,8 @@ ORACLES: dict[str, str] = {
     "continue_boosting": O.continue_boosting_sql(),
     "successive_halving": O.successive_halving_sql({2: 4, 4: 2}),
     "weekly_job": O.weekly_job_sql(),
+    "catalog_fallback": O.catalog_fallback_sql(),
+    "source_builders": O.source_builders_sql(),
+    "run_log": O.run_log_sql(),
+    "full_refit": O.full_refit_sql(),
 }

@@ -653,3 +653,39 @@ def weekly_job_sql() -> str:
 def shuffled_write_sql() -> str:
     return """SELECT o_orderkey, o_custkey,
  row_number() OVER (ORDER BY md5('42:' || CAST(o_orderkey AS VARCHAR)), o_orderkey) - 1 AS position FROM orders"""
+
+
+def catalog_fallback_sql() -> str:
+    return """SELECT o_orderkey, o_orderstatus, o_totalprice, 'table' AS via FROM orders WHERE o_orderstatus <> 'P'
+UNION ALL SELECT o_orderkey, o_orderstatus, o_totalprice, 'prefix' FROM orders WHERE o_orderstatus = 'P'"""
+
+
+def source_builders_sql() -> str:
+    return f"""WITH lake AS ({LAKE_SQL}), parts AS (
+SELECT CASE split WHEN 'train' THEN 'train' ELSE 'validation' END AS part, CAST(count(*) AS BIGINT) AS rows, CAST(sum(will_visit) AS BIGINT) AS positives,
+ 84 AS features, CAST(sum(location_popularity) AS DOUBLE) AS location_popularity, CAST(sum(user_total_visits) AS DOUBLE) AS user_total_visits,
+ round(sum(location_avg_rating), 10) AS location_avg_rating
+FROM lake WHERE split IN ('train', 'eval') GROUP BY 1)
+SELECT s.source, p.* FROM parts p, (VALUES ('csv'), ('parquet')) s(source)"""
+
+
+def run_log_sql() -> str:
+    return f"""WITH {runs_cte()}
+SELECT run_id, candidate_name, candidate_kind, round(f1, 10) AS f1, round(roc_auc, 10) AS roc_auc FROM runs"""
+
+
+def full_refit_sql() -> str:
+    share = "round(CAST(count(*) FILTER (WHERE will_visit = {m}) AS DOUBLE) / count(*), 10)"
+    majority = "CASE WHEN 2 * sum(will_visit) > count(*) THEN 1 ELSE 0 END"
+    return f"""WITH lake AS ({LAKE_SQL}), train AS (SELECT * FROM lake WHERE split = 'train'),
+last AS (SELECT max(pipeline_run_date) AS d FROM train),
+old_m AS (SELECT {majority} AS m FROM train, last WHERE pipeline_run_date <> d),
+all_m AS (SELECT {majority} AS m FROM train),
+fresh AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM train, last WHERE pipeline_run_date = d),
+val AS (SELECT {share.format(m='(SELECT m FROM old_m)')} AS old_accuracy, {share.format(m='(SELECT m FROM all_m)')} AS new_accuracy,
+ CAST(count(*) AS DOUBLE) AS val_rows FROM lake WHERE split = 'eval')
+SELECT t.threshold, CASE WHEN t.threshold <= 0 THEN 'keep' ELSE 'reject' END AS decision, old_accuracy, new_accuracy,
+ (SELECT n FROM fresh) AS new_rows, val_rows, CASE WHEN t.threshold <= 0 THEN 'keep' ELSE 'reject' END AS recorded, t.threshold > 0 AS set_aside,
+ CAST((SELECT m FROM all_m) AS DOUBLE) AS saved_majority,
+ CASE WHEN t.threshold <= 0 THEN CAST((SELECT m FROM old_m) AS DOUBLE) END AS backup_majority
+FROM val, (VALUES (CAST(0.0 AS DOUBLE)), (CAST(0.001 AS DOUBLE))) t(threshold)"""

@@ -7,6 +7,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -147,15 +148,20 @@ def read_latest_metadata(spark: SparkSession, prefix: str) -> DataFrame:
     return spark.read.json(resolve_greatest_key(spark, prefix, "*.json"), multiLine=True)
 
 
+_NO_TABLE = ("TABLE_OR_VIEW_NOT_FOUND", "SCHEMA_NOT_FOUND")
+
+
 def read_table_or_none(spark: SparkSession, name: str) -> DataFrame | None:
-    """A catalog table, or None when it is missing, unreadable or empty."""
+    """A catalog table, or None when the catalog has none of that name or it is
+    empty. Any other failure (permissions, damaged files) is raised."""
     try:
         df = spark.table(name)
-        if df.isEmpty():
+        empty = df.isEmpty()
+    except AnalysisException as exc:
+        if exc.getCondition() in _NO_TABLE:
             return None
-        return df
-    except Exception:
-        return None
+        raise
+    return None if empty else df
 
 
 def load_with_fallback(spark: SparkSession, table_name: str | None, prefix: str | None) -> DataFrame:

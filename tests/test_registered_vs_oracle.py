@@ -12,7 +12,8 @@ SF = "/root/testdata/sf0.001"
 CHECKED = ["latest_file", "reference_sample", "top2_checkpoints", "best_checkpoint_trial",
            "halving_survivors", "run_records_flat", "load_split_counts",
            "retrain_metric_prefixes", "dated_export", "decision_sidecar", "latest_metadata",
-           "batch_score", "continue_boosting", "successive_halving", "weekly_job"]
+           "batch_score", "continue_boosting", "successive_halving", "weekly_job",
+           "catalog_fallback", "source_builders", "run_log", "full_refit"]
 
 
 def _norm(v):
