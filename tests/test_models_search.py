@@ -306,3 +306,21 @@ def test_training_sinks(spark, bundle, scratch):
     assert {r[0] for r in runs.select(F.col("tags")["quality_gate"]).collect()} == {"exempt", "failed"}
     side = spark.read.json(os.path.join(scratch, "art", "_rejected", "decisions"))
     assert [r["candidate"] for r in side.collect()] == ["weak"]
+
+
+def test_logistic_coefficients_equal_plain_newton_steps(spark):
+    import numpy as np
+    from pyspark.ml.feature import VectorAssembler
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(400, 2)) * [1.0, 3.0]
+    y = (rng.random(400) < 1 / (1 + np.exp(-(0.4 + x[:, 0] - 0.5 * x[:, 1])))).astype(float)
+    rows = VectorAssembler(inputCols=["a", "b"], outputCol=MD.FEATURES).transform(
+        spark.createDataFrame([(float(a), float(b), float(t)) for (a, b), t in zip(x, y)], "a double, b double, y double"))
+    model = MD.build_estimator("logistic_regression", {"C": 0.05, "max_iter": 200}, "y", 400).estimator.fit(rows)
+    # 1/2 |w|^2 + C * sum(log loss), the intercept free
+    full, w = np.column_stack([x, np.ones(400)]), np.zeros(3)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-full @ w))
+        slope = 0.05 * full.T @ (p - y) + w * [1, 1, 0]
+        w = w - np.linalg.solve(0.05 * (full.T * (p * (1 - p))) @ full + np.diag([1, 1, 0]), slope)
+    assert np.allclose([*model.coefficients, model.intercept], w, atol=1e-3)
