@@ -1,4 +1,7 @@
 """What tasks read and send as inputs grow."""
+import pytest
+
+from plover.operators import newton as N
 from plover.plans import tables as T
 from pyspark.sql import functions as F
 
@@ -17,3 +20,17 @@ def test_lake_partitions_follow_the_rows(spark, scratch, monkeypatch):
         assert sum(held) == n and max(held) <= 2 * 100 and rows.distinct().count() == n
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_histograms_are_one_row_per_task_and_pair(spark):
+    """Tasks send packed histograms, not cells, and no more tasks than run at a time do so while their rows are few."""
+    rows = spark.range(4000).repartition(16).selectExpr("array(rand(1), rand(2), double(id % 2)) AS x", "double(rand(3) > 0.5) AS y", "0D AS margin")
+    s = N.Settings(rounds=1, max_depth=2, max_bins=32)
+    edges = N.bin_edges(rows, s.max_bins)
+    table = N.written(N._bin_rows(rows, edges, 1.0), "bins").coalesce(4)
+    tree = N.Tree()
+    active = [tree.add(0.0)]
+    sent = N.histograms(table, [], tree, active, 3, s.max_bins, [0, 1, 2], 1, 1.0)
+    assert sent.count() <= 4 * 3
+    best = N._best_splits(table, [], tree, active, 3, [0, 1, 2], s, 0)
+    assert len(best) == 1 and best[0]["b"]["hl"] <= best[0]["h"] == pytest.approx(1000.0)
