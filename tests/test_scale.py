@@ -34,3 +34,18 @@ def test_histograms_are_one_row_per_task_and_pair(spark):
     assert sent.count() <= 4 * 3
     best = N._best_splits(table, [], tree, active, 3, [0, 1, 2], s, 0)
     assert len(best) == 1 and best[0]["b"]["hl"] <= best[0]["h"] == pytest.approx(1000.0)
+
+
+def test_trials_share_their_binned_rows(spark, scratch, monkeypatch):
+    """Fits with other settings on shared binned rows are those on rows of their own; edges are looked for once."""
+    rows = spark.range(3000).selectExpr("array(rand(1), rand(2)) AS x", "double(rand(3) > 0.6) AS y", "0D AS margin").localCheckpoint()
+    shared = N.FitLog(spark, f"{scratch}/rows").start(rows, N.Settings())
+    real, calls = N.bin_edges, []
+    monkeypatch.setattr(N, "bin_edges", lambda *a: calls.append(a) or real(*a))
+    for k, s in enumerate([N.Settings(rounds=2, max_depth=2), N.Settings(rounds=2, max_depth=3, positive_weight=3.0)]):
+        got, edges = N.fit_trees(rows, s, log=N.FitLog(spark, f"{scratch}/t{k}", shared))
+        assert not calls and edges == shared[1]
+        own, _ = N.fit_trees(rows, s)
+        assert [t.feature for t in got] == [t.feature for t in own] and [t.bin for t in got] == [t.bin for t in own]
+        assert got[1].value == pytest.approx(own[1].value)
+        calls.clear()
